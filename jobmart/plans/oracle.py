@@ -82,3 +82,108 @@ WHERE s.p_type IS NOT NULL
 """,
     SKILL_LINES_CTE,
 )
+
+# Raw API jobs: per-line values and per-order aggregates in line order.
+API_CTE = """
+api_lines AS (
+  SELECT l.l_orderkey AS k, l.l_linenumber AS ln, l.l_partkey AS pk, l.l_suppkey AS sk,
+         p.p_name, p.p_brand, p.p_type, sn.n_name AS s_nation,
+         row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS pos
+  FROM lineitem l
+  JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation sn ON s.s_nationkey = sn.n_nationkey
+),
+api_agg AS (
+  SELECT k,
+    string_agg(CASE WHEN ln % 3 = 0 THEN NULL ELSE 'Warehouse ' || CAST(sk AS VARCHAR) END, '|' ORDER BY pos) AS addresses,
+    string_agg(CASE WHEN ln % 4 = 0 THEN NULL ELSE p_name END, ', ' ORDER BY pos) AS children,
+    string_agg(CASE WHEN ln % 5 = 0 THEN NULL ELSE p_type END, '|' ORDER BY pos) AS industries,
+    string_agg(CASE WHEN ln % 4 = 3 THEN NULL ELSE p_type END, '|' ORDER BY pos) AS skills,
+    string_agg(CASE WHEN ln % 5 = 4 THEN NULL
+                    ELSE p_brand || ': ' || CASE WHEN ln % 6 = 0 THEN ''
+                                                 ELSE p_name || ' ' || p_brand || ' #' || CAST(ln AS VARCHAR) END
+               END, '|' ORDER BY pos) AS benefits,
+    count(*) FILTER (WHERE ln % 5 <> 4) AS n_benefits,
+    max(CASE WHEN pos = 1 THEN p_brand END) AS first_brand
+  FROM api_lines GROUP BY k
+),
+api_city_first AS (
+  SELECT k, city, min(pos) AS pos FROM (
+    SELECT k, pos, COALESCE(NULLIF(CASE WHEN ln % 3 = 0 THEN s_nation WHEN ln % 3 = 1 THEN '' END, ''),
+                            'VN-' || s_nation) AS city
+    FROM api_lines) GROUP BY k, city
+),
+api_cities AS (SELECT k, string_agg(city, '|' ORDER BY pos) AS cities FROM api_city_first GROUP BY k),
+api_raw AS (
+  SELECT b.*, COALESCE(a.addresses, '') AS addresses, COALESCE(a.children, '') AS children,
+         COALESCE(a.industries, '') AS industries, COALESCE(a.skills, '') AS skills,
+         COALESCE(a.benefits, '') AS benefits, COALESCE(a.n_benefits, 0) AS n_benefits,
+         COALESCE(c.cities, '') AS cities,
+         CASE WHEN b.k % 4 = 0 THEN NULL WHEN b.k % 4 = 1 THEN '' ELSE a.first_brand END AS parent
+  FROM base b LEFT JOIN api_agg a ON a.k = b.k LEFT JOIN api_cities c ON c.k = b.k
+),
+api AS (
+  SELECT CAST(k AS VARCHAR) AS jobId, 'VietnamWorks' AS source,
+    CASE WHEN k % 5 IN (0, 1) THEN 'https://www.vietnamworks.com/job-' || CAST(k AS VARCHAR) || '-jv'
+         ELSE 'https://jobs.example.com/' || CAST(k AS VARCHAR) END AS jobUrl,
+    prio AS jobTitle, c_name AS companyName,
+    CASE WHEN k % 4 = 0 THEN '' ELSE 'Orders of ' || c_name END AS jobDescription,
+    CASE WHEN k % 4 = 1 THEN '' ELSE r_name END AS jobRequirement,
+    CASE WHEN k % 9 = 0 THEN '' ELSE c_mktsegment END AS jobLevel,
+    CASE WHEN parent <> '' AND children <> '' THEN parent || ' > ' || children
+         WHEN parent <> '' THEN parent ELSE children END AS jobFunction,
+    industries, addresses AS workingLocations, cities, skills, benefits, CAST(n_benefits AS BIGINT) AS n_benefits,
+    CASE WHEN k % 3 = 0 THEN CAST(lo AS DOUBLE) ELSE 0.0 END
+      * CASE WHEN k % 3 = 0 AND k % 10 = 3 THEN 0.0 ELSE 1.0 END AS salaryMin,
+    CASE WHEN k % 3 = 0 THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END AS salaryMax,
+    CASE WHEN k % 4 = 0 THEN 'USD' ELSE 'VND' END AS salaryCurrency,
+    CASE WHEN k % 3 = 0 THEN '' ELSE n_name END AS companyProfile,
+    '' AS companySize, '' AS companyLogo,
+    CASE WHEN k % 2 = 0 THEN '' ELSE c_name END AS contactName,
+    CASE WHEN k % 2 = 0 THEN '' ELSE 'Negotiable' END AS prettySalary,
+    CAST(CASE WHEN k % 8 = 0 THEN 0 ELSE k % 10 END AS BIGINT) AS yearsOfExperience,
+    strftime(od, '%Y-%m-%d') AS postedDate,
+    strftime(CAST(od AS DATE) + 30, '%Y-%m-%d') AS expiredDate,
+    k
+  FROM api_raw
+)
+"""
+
+
+def with_api(body: str) -> str:
+    return with_feed(body, API_CTE)
+
+
+SQL["unnest_response"] = with_api(
+    """
+SELECT jobId, source, jobUrl, jobTitle, jobLevel, jobFunction, industries, workingLocations, cities,
+       skills, benefits, salaryMin, salaryMax, salaryCurrency, prettySalary, yearsOfExperience,
+       postedDate, expiredDate, companyProfile, contactName, jobDescription
+FROM api WHERE k IN (SELECT k FROM base WHERE (k // 50) % 7 <> 3)
+"""
+)
+SQL["location_lists"] = with_api("SELECT jobId, workingLocations, cities FROM api")
+SQL["function_label"] = with_api("SELECT jobId, jobFunction FROM api")
+SQL["benefit_strings"] = with_api("SELECT jobId, benefits, n_benefits FROM api")
+SQL["industry_names"] = with_api("SELECT jobId, skills, industries FROM api")
+SQL["salary_gate"] = with_api("SELECT jobId, salaryMin, salaryMax, salaryCurrency FROM api")
+SQL["defaults_url"] = with_api(
+    """
+SELECT jobId, source, jobUrl, jobTitle, companyName, jobDescription, jobRequirement, jobLevel,
+       companyProfile, companySize, companyLogo, contactName, prettySalary, yearsOfExperience,
+       postedDate, expiredDate
+FROM api
+"""
+)
+
+_CLEAN = "regexp_replace(regexp_replace({c}, '\\r?\\n', ' ', 'g'), '^\\s+|\\s+$', '', 'g')"
+SQL["clean_text"] = f"""
+SELECT 'documents' AS origin, doc_id AS row_id, CAST(NULL AS BIGINT) AS turn,
+       COALESCE({_CLEAN.format(c='text')}, '') AS clean
+FROM documents
+UNION ALL
+SELECT 'conversations' AS origin, conv_id AS row_id, turn,
+       COALESCE({_CLEAN.format(c='text')}, '') AS clean
+FROM conversations
+"""

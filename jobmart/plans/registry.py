@@ -35,3 +35,100 @@ def q_jobs_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Explode the posting's skill list."""
     return marts.job_skills(job_feed(spark, sf_dir, with_skills=True))
+
+
+# ---------------------------------------------------------------------------
+# Raw API document flatten (S7, V1–V13) and text cleaning (V2)
+# ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from jobmart.functions.text import clean_text  # noqa: E402
+from jobmart.operators import conform  # noqa: E402
+from jobmart.sources import documents  # noqa: E402
+from jobmart.sources.feed import FEED_INGEST_TS, read_table  # noqa: E402
+
+
+
+def _ingest() -> F.Column:
+    return F.lit(FEED_INGEST_TS).cast("timestamp")
+
+_LIST_SEP = "|"
+
+
+def _joined(name: str) -> F.Column:
+    return F.array_join(F.col(name), _LIST_SEP).alias(name)
+
+
+def _api_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform.conform_api(documents.api_jobs(spark, sf_dir), "job", _ingest())
+
+
+@register("unnest_response")
+def q_unnest_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + V1 + V3–V12 over search-response JSON text (wrong types included)."""
+    jobs = conform.unnest_response(documents.api_response_pages(spark, sf_dir))
+    typed = jobs.select(conform.api_job_from_variant(F.col("job_v")).alias("job"))
+    postings, _rejects = conform.split_rejects(conform.conform_api(typed, "job", _ingest()))
+    return postings.select(
+        "jobId", "source", "jobUrl", "jobTitle", "jobLevel", "jobFunction",
+        _joined("industries"), _joined("workingLocations"), _joined("cities"),
+        _joined("skills"), _joined("benefits"),
+        "salaryMin", "salaryMax", "salaryCurrency", "prettySalary", "yearsOfExperience",
+        "postedDate", "expiredDate", "companyProfile", "contactName", "jobDescription",
+    )
+
+
+@register("location_lists")
+def q_location_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 addresses (order, duplicates kept) and V4 cities (first-seen distinct)."""
+    return _api_postings(spark, sf_dir).select("jobId", _joined("workingLocations"), _joined("cities"))
+
+
+@register("function_label")
+def q_function_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5: ``parent > child, child`` job-function label."""
+    return _api_postings(spark, sf_dir).select("jobId", "jobFunction")
+
+
+@register("benefit_strings")
+def q_benefit_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6: ``name: cleaned value`` per benefit with a name."""
+    return _api_postings(spark, sf_dir).select(
+        "jobId", _joined("benefits"), F.size("benefits").cast("bigint").alias("n_benefits")
+    )
+
+
+@register("industry_names")
+def q_industry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 skill names and V8 industry names (truthy, order and duplicates kept)."""
+    return _api_postings(spark, sf_dir).select("jobId", _joined("skills"), _joined("industries"))
+
+
+@register("salary_gate")
+def q_salary_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: range-only salary and currency default."""
+    return _api_postings(spark, sf_dir).select("jobId", "salaryMin", "salaryMax", "salaryCurrency")
+
+
+@register("defaults_url")
+def q_defaults_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V10 defaults, V11 URL fallback, V12 source tag and id as text."""
+    return _api_postings(spark, sf_dir).select(
+        "jobId", "source", "jobUrl", "jobTitle", "companyName", "jobDescription", "jobRequirement",
+        "jobLevel", "companyProfile", "companySize", "companyLogo", "contactName", "prettySalary",
+        "yearsOfExperience", "postedDate", "expiredDate",
+    )
+
+
+@register("clean_text")
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 over every document and conversation turn (whole texts)."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        F.lit("documents").alias("origin"), F.col("doc_id").alias("row_id"),
+        F.lit(None).cast("bigint").alias("turn"), clean_text("text").alias("clean"),
+    )
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
+        F.lit("conversations").alias("origin"), F.col("conv_id").alias("row_id"),
+        F.col("turn"), clean_text("text").alias("clean"),
+    )
+    return docs.unionByName(turns)
