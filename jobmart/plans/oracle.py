@@ -187,3 +187,149 @@ SELECT 'conversations' AS origin, conv_id AS row_id, turn,
        COALESCE({_CLEAN.format(c='text')}, '') AS clean
 FROM conversations
 """
+
+# ---------------------------------------------------------------------------
+# Web pages
+# ---------------------------------------------------------------------------
+JP_CTE = """
+jp AS (
+  SELECT k, prio, c_name, n_name, r_name, lo, od, k % 8 AS k8, k % 13 = 5 AS challenge
+  FROM base
+)
+"""
+
+_STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+_HREFS = "regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)"
+_ORIGIN = "regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)"
+_RESOLVE = f"""
+CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+     WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || href
+     WHEN starts_with(href, '/') THEN {_ORIGIN} || href
+     WHEN starts_with(href, '#') THEN split_part(url, '#', 1) || href
+     WHEN starts_with(href, '?') THEN regexp_extract(url, '^([^?#]*)', 1) || href
+     WHEN href = '' THEN split_part(url, '#', 1)
+     ELSE CASE WHEN regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) = ''
+               THEN {_ORIGIN} || '/'
+               ELSE regexp_extract(regexp_extract(url, '^([^?#]*)', 1), '^(.*/)', 1) END || href
+END"""
+
+SQL["page_links"] = f"""
+WITH a AS (
+  SELECT page_id, url, unnest(hs) AS href, generate_subscripts(hs, 1) AS i
+  FROM (SELECT page_id, url, {_HREFS} AS hs FROM pages)
+),
+r AS (SELECT page_id, {_RESOLVE} AS link, i FROM a),
+f AS (SELECT page_id, link, min(i) AS fi FROM r GROUP BY page_id, link)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY fi) - 1 AS pos, link FROM f
+"""
+
+CANDIDATES_CTE = """
+cand AS (
+  SELECT page_id AS pos, url FROM pages
+  UNION ALL
+  SELECT 10000000000 + k * 2 AS pos,
+         'https://vn.joboko.com/viec-lam-' || lower(regexp_replace(prio, '[^A-Za-z0-9]+', '-', 'g')) || '-xvi' || CAST(k AS VARCHAR) AS url
+  FROM base
+  UNION ALL
+  SELECT 10000000000 + k * 2 + 1 AS pos,
+         CASE k % 6
+           WHEN 0 THEN p WHEN 1 THEN p || '#top' WHEN 2 THEN p || '?u=1' WHEN 3 THEN p || 'b'
+           WHEN 4 THEN '  ' || p || '#x '
+           ELSE 'https://other.example/viec-lam-a-xvi' || CAST(k AS VARCHAR) END AS url
+  FROM (SELECT k, 'https://vn.joboko.com/viec-lam-' || lower(regexp_replace(prio, '[^A-Za-z0-9]+', '-', 'g')) || '-xvi' || CAST(k AS VARCHAR) AS p FROM base)
+)
+"""
+_DOM_ID = "CASE WHEN regexp_extract({u}, '-xvi(\\d+)(?:$|[?#])', 1) <> '' THEN 'joboko_' || regexp_extract({u}, '-xvi(\\d+)(?:$|[?#])', 1) END"
+_TOPCV_ID = "'topcv_' || split_part(regexp_extract({u}, '[^/]*$', 0), '.', 1)"
+
+SQL["link_filter"] = with_feed(
+    f"""
+SELECT link, min(pos) AS first_pos, {_DOM_ID.format(u='link')} AS job_id
+FROM (
+  SELECT split_part(s, '#', 1) AS link, pos FROM (SELECT {_STRIP.format(x='url')} AS s, pos FROM cand)
+  WHERE s <> '' AND starts_with(s, 'https://vn.joboko.com/viec-lam') AND regexp_matches(s, '-xvi\\d+(?:$|[?#])')
+)
+GROUP BY link
+""",
+    CANDIDATES_CTE,
+)
+
+_TOPCV_URL = "'https://www.topcv.vn/viec-lam/' || lower(regexp_replace(prio, '[^A-Za-z0-9]+', '-', 'g')) || '/' || CAST(k AS VARCHAR) || '.html?ta=x'"
+SQL["url_ids"] = with_feed(
+    f"""
+SELECT url, {_DOM_ID.format(u='url')} AS joboko_id, {_TOPCV_ID.format(u='url')} AS topcv_id
+FROM (SELECT url FROM cand UNION ALL SELECT {_TOPCV_URL} AS url FROM base)
+""",
+    CANDIDATES_CTE,
+)
+
+SQL["jsonld_blocks"] = with_feed(
+    """
+SELECT k AS job_id, 0 AS pos,
+       CASE k8 WHEN 1 THEN '["Thing","JobPosting"]' WHEN 2 THEN 'WebSite' WHEN 5 THEN NULL ELSE 'JobPosting' END AS block_type
+FROM jp WHERE k8 <> 4
+UNION ALL
+SELECT k AS job_id, 1 AS pos, 'WebSite' AS block_type FROM jp WHERE k8 = 5
+""",
+    JP_CTE,
+)
+
+SQL["jsonld_first"] = with_feed(
+    """
+SELECT k AS job_id, CASE WHEN k8 IN (0, 1, 7) THEN prio WHEN k8 = 6 THEN '' END AS title
+FROM jp WHERE k8 NOT IN (3, 4)
+""",
+    JP_CTE,
+)
+
+SQL["jsonld_pick"] = with_feed(
+    """
+SELECT k AS job_id, CASE WHEN k8 = 6 THEN '' ELSE prio END AS title,
+       CASE WHEN k8 = 7 THEN NULL ELSE c_name END AS company
+FROM jp WHERE k8 IN (0, 1, 3, 6, 7)
+""",
+    JP_CTE,
+)
+
+SQL["valid_postings"] = with_feed(
+    """
+SELECT 'topcv_' || CAST(k AS VARCHAR) AS jobId, prio AS jobTitle, c_name AS companyName,
+       CASE WHEN k8 = 0 THEN n_name ELSE n_name || '|' || r_name END AS cities,
+       CASE WHEN k8 = 0 THEN CAST(lo AS DOUBLE) ELSE 0.0 END AS salaryMin,
+       CASE WHEN k8 = 0 THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END AS salaryMax,
+       CASE WHEN k8 = 0 THEN strftime(od, '%Y-%m-%d') END AS postedDate
+FROM jp WHERE k8 IN (0, 1) AND NOT challenge
+""",
+    JP_CTE,
+)
+
+_H1_TEXT = (
+    "regexp_replace(replace(replace(replace(replace(replace(replace("
+    "regexp_replace(regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),"
+    " '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'),"
+    " '^\\s+|\\s+$', '', 'g')"
+)
+SQL["dom_fields"] = f"""
+SELECT page_id, {_H1_TEXT} AS title, '' AS company, '' AS locations, '' AS salary,
+       '' AS description_html, '' AS requirements_html, '' AS benefits_html
+FROM pages
+"""
+
+SQL["page_length"] = "SELECT page_id, CAST(length(html) AS BIGINT) AS html_length FROM pages"
+
+SQL["not_posting"] = with_feed("SELECT k AS job_id FROM jp WHERE k8 = 4 AND k % 3 = 0", JP_CTE)
+
+_BLOCKED = (
+    "(contains(lower({b}), 'xác minh bạn là con người') OR contains(lower({b}), 'verify you are human')"
+    " OR contains(lower({b}), 'captcha') OR contains(lower({b}), 'cloudflare'))"
+)
+SQL["challenge_filter"] = with_feed(
+    f"""
+SELECT 'pages' AS origin, page_id AS row_id, {_BLOCKED.format(b='html')} AS blocked FROM pages
+UNION ALL
+SELECT 'documents' AS origin, doc_id AS row_id, {_BLOCKED.format(b='text')} AS blocked FROM documents
+UNION ALL
+SELECT 'detail' AS origin, k AS row_id, challenge AS blocked FROM jp
+""",
+    JP_CTE,
+)

@@ -132,3 +132,124 @@ def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("turn"), clean_text("text").alias("clean"),
     )
     return docs.unionByName(turns)
+
+
+# ---------------------------------------------------------------------------
+# Web pages
+# ---------------------------------------------------------------------------
+from jobmart.functions.text import dom_job_id, jsonld_job_id  # noqa: E402
+from jobmart.functions.variant import get as vget  # noqa: E402
+from jobmart.functions.variant import truthy  # noqa: E402
+from jobmart.operators import pages as P  # noqa: E402
+
+
+@register("page_links")
+def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every anchor of every page, resolved, distinct in document order."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    links = P.extract_links(pages)
+    return links.select("page_id", F.col("pos").cast("bigint").alias("pos"), "link")
+
+
+@register("link_filter")
+def q_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 (+W3): detail-page links kept once at their first position."""
+    kept = P.first_seen_links(documents.job_link_candidates(spark, sf_dir))
+    return kept.select("link", "first_pos", dom_job_id("link").alias("job_id"))
+
+
+@register("url_ids")
+def q_url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 regex id and W4 split id for every candidate and detail-page URL."""
+    urls = documents.job_link_candidates(spark, sf_dir).select("url").unionByName(
+        documents.jsonld_pages(spark, sf_dir).select("url")
+    )
+    return urls.select("url", dom_job_id("url").alias("joboko_id"), jsonld_job_id("url").alias("topcv_id"))
+
+
+@register("jsonld_blocks")
+def q_jsonld_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parseable JSON-LD blocks per page with their ``@type``."""
+    pages = documents.jsonld_pages(spark, sf_dir)
+    blocks = pages.select(
+        F.col("o_orderkey").alias("job_id"), F.posexplode(P.jsonld_blocks(F.col("html"))).alias("pos", "block")
+    )
+    return blocks.select("job_id", "pos", vget(F.col("block"), "$['@type']", "string").alias("block_type"))
+
+
+@register("jsonld_first")
+def q_jsonld_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first block only; pages whose first block is missing, broken
+    or falsy are dropped."""
+    pages = documents.jsonld_pages(spark, sf_dir).select(
+        F.col("o_orderkey").alias("job_id"), P.jsonld_first(F.col("html")).alias("ld")
+    )
+    return pages.where(F.col("ld").isNotNull() & truthy(F.col("ld"))).select(
+        "job_id", vget(F.col("ld"), "$.title", "string").alias("title")
+    )
+
+
+@register("jsonld_pick")
+def q_jsonld_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first JobPosting object among the blocks."""
+    pages = documents.jsonld_pages(spark, sf_dir).select(
+        F.col("o_orderkey").alias("job_id"), P.pick_job_posting(P.jsonld_blocks(F.col("html"))).alias("ld")
+    )
+    return pages.where(F.col("ld").isNotNull()).select(
+        "job_id",
+        vget(F.col("ld"), "$.title", "string").alias("title"),
+        vget(F.col("ld"), "$.hiringOrganization.name", "string").alias("company"),
+    )
+
+
+@register("valid_postings")
+def q_valid_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4, W6, W11, W12, W13 then conform: valid JSON-LD postings as rows."""
+    pages = documents.jsonld_pages(spark, sf_dir)
+    records = P.jsonld_records(pages).withColumn("crawled_at", _ingest())
+    postings = conform.conform_jsonld(records)
+    return postings.select(
+        "jobId", "jobTitle", "companyName", _joined("cities"), "salaryMin", "salaryMax", "postedDate"
+    )
+
+
+@register("dom_fields")
+def q_dom_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DOM field extraction with selector fallbacks over every page."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "html")
+    return pages.select("page_id", P.dom_record(F.col("html")).alias("d")).select("page_id", "d.*")
+
+
+@register("page_length")
+def q_page_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters of HTML per page."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "html")
+    return pages.select("page_id", F.length("html").cast("bigint").alias("html_length"))
+
+
+@register("not_posting")
+def q_not_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with no JobPosting block and no DOM title."""
+    pages = documents.jsonld_pages(spark, sf_dir)
+    rec = pages.select(
+        F.col("o_orderkey").alias("job_id"),
+        P.pick_job_posting(P.jsonld_blocks(F.col("html"))).alias("ld"),
+        P.dom_record(F.col("html")).alias("dom"),
+    )
+    return rec.where(~P.is_posting_page(F.col("ld"), F.col("dom"))).select("job_id")
+
+
+@register("challenge_filter")
+def q_challenge_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bot-check pages flagged across pages, documents and detail pages."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "html").select(
+        F.lit("pages").alias("origin"), F.col("page_id").alias("row_id"), F.col("html").alias("body")
+    )
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text").select(
+        F.lit("documents").alias("origin"), F.col("doc_id").alias("row_id"), F.col("text").alias("body")
+    )
+    detail = documents.jsonld_pages(spark, sf_dir).select(
+        F.lit("detail").alias("origin"), F.col("o_orderkey").alias("row_id"), F.col("html").alias("body")
+    )
+    allp = pages.unionByName(docs).unionByName(detail)
+    return allp.select("origin", "row_id", P.is_challenge_page(F.col("body")).alias("blocked"))

@@ -139,3 +139,107 @@ def api_response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit('{"data": ['), F.col("items"), F.lit("]}")))
     )
     return grouped.select("page", body.alias("body"))
+
+
+def _slug(c: F.Column) -> F.Column:
+    return F.lower(F.regexp_replace(c, "[^A-Za-z0-9]+", "-"))
+
+
+def _script(body: F.Column) -> F.Column:
+    return F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+
+
+def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, url, html): job detail pages with JSON-LD blocks.
+
+    By ``k % 8``: 0 one JobPosting (location object); 1 ``@type`` list and a
+    location list; 2 a WebSite block only; 3 a broken block before a good
+    one; 4 no block (and an empty h1 when ``k % 3 == 0``); 5 a top-level
+    array block then a WebSite block; 6 an empty title; 7 an empty
+    organisation and location list. ``k % 13 == 5`` adds a bot-check text.
+    """
+    base = feed_base(spark, sf_dir)
+    k = F.col("o_orderkey")
+    k8 = k % 8
+    org = F.struct(F.col("c_name").alias("name"))
+    loc_obj = F.struct(F.struct(F.col("n_name").alias("addressLocality")).alias("address"))
+    title = F.col("o_orderpriority")
+    jp_obj = F.to_json(F.struct(
+        F.lit("JobPosting").alias("@type"), title.alias("title"), org.alias("hiringOrganization"),
+        loc_obj.alias("jobLocation"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("datePosted"),
+        F.struct(F.lit("VND").alias("currency"), F.struct(
+            F.floor("o_totalprice").alias("minValue"), (F.floor("o_totalprice") + 1000).alias("maxValue")
+        ).alias("value")).alias("baseSalary"),
+    ))
+    jp_list_type = F.to_json(F.struct(
+        F.array(F.lit("Thing"), F.lit("JobPosting")).alias("@type"), title.alias("title"),
+        org.alias("hiringOrganization"),
+        F.array(F.struct(F.struct(F.col("n_name").alias("addressLocality"),
+                                  F.lit(None).cast("string").alias("addressRegion")).alias("address")),
+                F.struct(F.struct(F.lit(None).cast("string").alias("addressLocality"),
+                                            F.col("r_name").alias("addressRegion")).alias("address"))).alias("jobLocation"),
+    ))
+    website = F.to_json(F.struct(F.lit("WebSite").alias("@type"), F.col("c_name").alias("name")))
+    jp_empty_title = F.to_json(F.struct(
+        F.lit("JobPosting").alias("@type"), F.lit("").alias("title"), org.alias("hiringOrganization"),
+        loc_obj.alias("jobLocation"),
+    ))
+    jp_empty_org = F.to_json(F.struct(
+        F.lit("JobPosting").alias("@type"), title.alias("title"),
+        F.struct(F.lit(None).cast("string").alias("name")).alias("hiringOrganization"),
+        F.array().cast("array<string>").alias("jobLocation"),
+    ))
+    blocks = (
+        F.when(k8 == 0, _script(jp_obj))
+        .when(k8 == 1, _script(jp_list_type))
+        .when(k8 == 2, _script(website))
+        .when(k8 == 3, F.concat(_script(F.lit('{"@type": "JobPosting", "title": ')), _script(jp_obj)))
+        .when(k8 == 4, F.lit(""))
+        .when(k8 == 5, F.concat(_script(F.concat(F.lit("["), jp_obj, F.lit("]"))), _script(website)))
+        .when(k8 == 6, _script(jp_empty_title))
+        .otherwise(_script(jp_empty_org))
+    )
+    h1 = F.when((k8 == 4) & (k % 3 == 0), F.lit("")).otherwise(title)
+    challenge = F.when(k % 13 == 5, F.lit("<div>Please Verify You Are Human</div>")).otherwise(F.lit(""))
+    html = F.concat(
+        F.lit("<html><head><title>"), title, F.lit("</title>"), blocks, F.lit("</head><body>"),
+        challenge, F.lit("<h1>"), h1, F.lit("</h1></body></html>"),
+    )
+    url = F.concat(
+        F.lit("https://www.topcv.vn/viec-lam/"), _slug(title), F.lit("/"), k.cast("string"), F.lit(".html?ta=x")
+    )
+    return base.select(k, url.alias("url"), html.alias("html"))
+
+
+def job_link_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pos, url): listing links as a crawler would collect them — every page
+    URL of the ``pages`` table plus two detail-page links per order (a plain
+    one and a variant chosen by ``k % 6``: fragment, query, bad id suffix,
+    padded, other host, relative-looking)."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url").select(
+        F.col("page_id").alias("pos"), F.col("url")
+    )
+    base = feed_base(spark, sf_dir).select("o_orderkey", "o_orderpriority")
+    k = F.col("o_orderkey")
+    plain = F.concat(
+        F.lit("https://vn.joboko.com/viec-lam-"), _slug(F.col("o_orderpriority")), F.lit("-xvi"), k.cast("string")
+    )
+    k6 = k % 6
+    variant = (
+        F.when(k6 == 0, plain)
+        .when(k6 == 1, F.concat(plain, F.lit("#top")))
+        .when(k6 == 2, F.concat(plain, F.lit("?u=1")))
+        .when(k6 == 3, F.concat(plain, F.lit("b")))
+        .when(k6 == 4, F.concat(F.lit("  "), plain, F.lit("#x ")))
+        .otherwise(F.concat(F.lit("https://other.example/viec-lam-a-xvi"), k.cast("string")))
+    )
+    offset = F.lit(10_000_000_000)
+    feed = base.select(
+        F.explode(
+            F.array(
+                F.struct((offset + k * 2).alias("pos"), plain.alias("url")),
+                F.struct((offset + k * 2 + 1).alias("pos"), variant.alias("url")),
+            )
+        ).alias("c")
+    ).select("c.pos", "c.url")
+    return pages.unionByName(feed)
