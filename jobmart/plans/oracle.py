@@ -333,3 +333,136 @@ SELECT 'detail' AS origin, k AS row_id, challenge AS blocked FROM jp
 """,
     JP_CTE,
 )
+
+# ---------------------------------------------------------------------------
+# Event log: upserts, landing, counters
+# ---------------------------------------------------------------------------
+_EV = "event_id, ts, user_id, event_type, value, props"
+_CUT = "TIMESTAMP '2024-01-15 00:00:00'"
+
+SQL["upsert_last_wins"] = f"""
+SELECT {_EV} FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+SQL["upsert_fields"] = """
+WITH u AS (
+  SELECT user_id, ts, event_id,
+         CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type,
+         CASE WHEN event_type <> 'view' THEN value END AS value,
+         CASE WHEN event_type <> 'click' THEN props END AS props
+  FROM events
+)
+SELECT user_id,
+       arg_max(event_type, (ts, event_id)) FILTER (WHERE event_type IS NOT NULL) AS event_type,
+       arg_max(value, (ts, event_id)) FILTER (WHERE value IS NOT NULL) AS value,
+       arg_max(props, (ts, event_id)) FILTER (WHERE props IS NOT NULL) AS props,
+       max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
+       false AS synced_to_datalake
+FROM u GROUP BY user_id
+"""
+
+SQL["insert_if_absent"] = f"""
+WITH ex AS (
+  SELECT {_EV} FROM events WHERE event_type = 'signup'
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+),
+nb AS (
+  SELECT {_EV} FROM events
+  WHERE event_type <> 'signup' AND user_id NOT IN (SELECT user_id FROM ex)
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+)
+SELECT {_EV} FROM ex UNION ALL SELECT {_EV} FROM nb
+"""
+
+SQL["upsert_counts"] = f"""
+WITH b AS (SELECT user_id, count(*) AS n FROM events WHERE ts >= {_CUT} GROUP BY user_id),
+     e AS (SELECT DISTINCT user_id FROM events WHERE ts < {_CUT})
+SELECT CAST(sum(n) AS BIGINT) AS batch_rows, CAST(count(*) AS BIGINT) AS batch_keys,
+       CAST(count(*) FILTER (WHERE e.user_id IS NULL) AS BIGINT) AS inserted,
+       CAST(count(*) FILTER (WHERE e.user_id IS NOT NULL) AS BIGINT) AS updated
+FROM b LEFT JOIN e ON b.user_id = e.user_id
+"""
+
+SQL["new_keys"] = """
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events)
+SELECT DISTINCT b.day, b.user_id FROM d b
+WHERE NOT EXISTS (SELECT 1 FROM d s WHERE s.user_id = b.user_id AND s.day < b.day)
+"""
+
+SQL["batch_cap"] = """
+SELECT event_id, day, CASE WHEN rn <= 50 THEN rn END AS rank, rn > 50 AS pending
+FROM (SELECT event_id, CAST(ts AS DATE) AS day,
+             row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+      FROM events)
+"""
+
+SQL["unsynced"] = "SELECT event_id, user_id FROM events WHERE event_id % 3 <> 0"
+
+SQL["landing_paths"] = """
+WITH d AS (
+  SELECT event_id,
+         COALESCE(CASE WHEN event_id % 10 <> 0 THEN 'evt_' || CAST(event_id AS VARCHAR) END,
+                  'oid_' || CAST(event_id AS VARCHAR)) AS doc_key,
+         COALESCE(CASE WHEN event_type <> 'error' THEN event_type END, 'unknown') AS source,
+         CASE WHEN event_id % 9 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE ts END AS lts
+  FROM events
+)
+SELECT event_id, doc_key, source, CAST(lts AS DATE) AS day,
+       source || '/' || strftime(lts, '%Y/%m/%d') || '/' || doc_key || '.json' AS path
+FROM d
+"""
+
+SQL["load_counters"] = """
+WITH f AS (
+  SELECT event_id FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+),
+d AS (SELECT CAST(e.ts AS DATE) AS day, f.event_id IS NOT NULL AS saved
+      FROM events e LEFT JOIN f ON e.event_id = f.event_id)
+SELECT day, CAST(count(*) AS BIGINT) AS found, CAST(count(*) FILTER (WHERE saved) AS BIGINT) AS saved
+FROM d GROUP BY ROLLUP (day)
+"""
+
+SQL["sync_counts"] = """
+SELECT source, CAST(count(*) AS BIGINT) AS synced
+FROM (SELECT COALESCE(CASE WHEN event_type <> 'error' THEN event_type END, 'unknown') AS source
+      FROM events WHERE event_id % 3 <> 0)
+GROUP BY ROLLUP (source)
+"""
+
+SQL["latest_partition"] = f"""
+SELECT {_EV} FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
+"""
+SQL["snapshot_roundtrip"] = f"SELECT {_EV} FROM events"
+SQL["parquet_roundtrip"] = SQL["jobs_fact"]
+SQL["csv_sample"] = SQL["jobs_fact"] + "\nORDER BY job_id LIMIT 200"
+
+SQL["union_sources"] = with_feed(
+    """
+SELECT jobId AS job_id, 'VietnamWorks' AS source, jobTitle AS job_title, companyName AS company_name,
+       replace(cities, '|', ', ') AS city, salaryMin AS salary_min, salaryMax AS salary_max,
+       CAST(od AS DATE) AS posted_date, (salaryMin + salaryMax) / 2 AS salary_avg
+FROM api JOIN base USING (k) WHERE k % 3 = 0
+UNION ALL
+SELECT 'topcv_' || CAST(k AS VARCHAR), 'TopCV', prio, c_name,
+       CASE WHEN k8 = 0 THEN n_name ELSE n_name || ', ' || r_name END,
+       CASE WHEN k8 = 0 THEN CAST(lo AS DOUBLE) ELSE 0.0 END,
+       CASE WHEN k8 = 0 THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END,
+       CASE WHEN k8 = 0 THEN CAST(od AS DATE) END,
+       CASE WHEN k8 = 0 THEN lo + 500.0 ELSE 0.0 END
+FROM jp WHERE k % 3 = 1 AND k8 IN (0, 1) AND NOT challenge
+UNION ALL
+SELECT 'joboko_' || CAST(k AS VARCHAR), 'Joboko', prio,
+       CASE WHEN k8 IN (0, 1, 3, 6) THEN c_name END,
+       CASE WHEN k8 IN (0, 3, 6) THEN n_name WHEN k8 = 1 THEN n_name || ', ' || r_name ELSE '' END,
+       CASE WHEN k8 IN (0, 3) THEN CAST(lo AS DOUBLE) ELSE 0.0 END,
+       CASE WHEN k8 IN (0, 3) THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END,
+       CASE WHEN k8 IN (0, 3) THEN CAST(od AS DATE) END,
+       CASE WHEN k8 IN (0, 3) THEN lo + 500.0 ELSE 0.0 END
+FROM jp WHERE k % 3 = 2
+""",
+    API_CTE,
+    JP_CTE,
+)

@@ -253,3 +253,203 @@ def q_challenge_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     allp = pages.unionByName(docs).unionByName(detail)
     return allp.select("origin", "row_id", P.is_challenge_page(F.col("body")).alias("blocked"))
+
+
+# ---------------------------------------------------------------------------
+# Upserts, landing, counters (K5–K8, A1–A4, S6, Y1–Y6) over the event log
+# key = user_id, version = (ts, event_id)
+# ---------------------------------------------------------------------------
+from jobmart.operators import landing as L  # noqa: E402
+from jobmart.operators import metrics as M  # noqa: E402
+from jobmart.operators import upsert as U  # noqa: E402
+
+_KEY = ["user_id"]
+_VERSION = ["ts", "event_id"]
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+_CUT = "2024-01-15 00:00:00"
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "events", *_EVENT_COLS)
+
+
+def _cut() -> F.Column:
+    return F.lit(_CUT).cast("timestamp_ntz")
+
+
+@register("upsert_last_wins")
+def q_upsert_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 row level: newest version per key."""
+    return U.latest_per_key(_events(spark, sf_dir), _KEY, _VERSION).select(*_EVENT_COLS)
+
+
+@register("upsert_fields")
+def q_upsert_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 field level (``$set``) + K6 (a merged document is unsynced again)."""
+    ev = _events(spark, sf_dir)
+    updates = ev.select(
+        "user_id", "ts", "event_id",
+        F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"),
+        F.when(F.col("event_type") != "view", F.col("value")).alias("value"),
+        F.when(F.col("event_type") != "click", F.col("props")).alias("props"),
+    )
+    existing, batch = updates.where(F.col("ts") < _cut()), updates.where(F.col("ts") >= _cut())
+    merged = U.merge_fields(existing, batch, _KEY, _VERSION, ["event_type", "value", "props"])
+    return merged.withColumn("synced_to_datalake", F.lit(False))
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: existing (first signup per user) never changes; other users enter
+    with their first event."""
+    ev = _events(spark, sf_dir)
+    existing = U.first_per_key(ev.where(F.col("event_type") == "signup"), _KEY, _VERSION)
+    batch = ev.where(F.col("event_type") != "signup")
+    return U.insert_if_absent(existing, batch, _KEY, _VERSION).select(*_EVENT_COLS)
+
+
+@register("upsert_counts")
+def q_upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: inserted vs updated keys of the batch after the cut date."""
+    ev = _events(spark, sf_dir)
+    return U.upsert_counts(ev.where(F.col("ts") < _cut()), ev.where(F.col("ts") >= _cut()), _KEY)
+
+
+def _with_day(ev: DataFrame) -> DataFrame:
+    return ev.withColumn("day", F.to_date("ts"))
+
+
+@register("new_keys")
+def q_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per daily batch, the keys not seen in any earlier batch."""
+    ev = _with_day(_events(spark, sf_dir))
+    return L.new_keys_per_batch(ev, "day", _KEY).select("day", "user_id")
+
+
+@register("batch_cap")
+def q_batch_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 50 rows per day ranked, the rest kept as pending."""
+    ev = _with_day(_events(spark, sf_dir)).select("event_id", "ts", "day")
+    capped = L.cap_per_batch(ev, "day", ["ts", "event_id"])
+    return capped.select("event_id", "day", F.col("rank").cast("bigint").alias("rank"), "pending")
+
+
+def _landing_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows shaped as store documents: some without jobId, source or a
+    parseable crawled_at; sync flag true / false / missing."""
+    ev = _events(spark, sf_dir)
+    eid = F.col("event_id")
+    return ev.select(
+        "event_id", "user_id", "event_type", "ts",
+        F.when(eid % 10 != 0, F.concat(F.lit("evt_"), eid.cast("string"))).alias("jobId"),
+        F.concat(F.lit("oid_"), eid.cast("string")).alias("_id"),
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("source"),
+        F.when(eid % 9 == 0, F.lit("not-a-date"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("crawled_at"),
+        F.lit(None).cast("timestamp").alias("fetched_at"),
+        F.when(eid % 3 == 0, F.lit(True)).when(eid % 3 == 1, F.lit(False)).alias("synced_to_datalake"),
+    )
+
+
+@register("unsynced")
+def q_unsynced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 (+K8 ledger input): documents still to land; missing flag = unsynced."""
+    return L.unsynced(_landing_docs(spark, sf_dir)).select("event_id", "user_id")
+
+
+@register("landing_paths")
+def q_landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key, source, landing day and object path per document."""
+    docs = _landing_docs(spark, sf_dir)
+    key = L.doc_key(F.col("jobId"), F.col("_id"))
+    source = L.doc_source(F.col("source"))
+    ts = L.landing_time(F.col("crawled_at"), F.col("fetched_at"), _ingest())
+    return docs.select(
+        "event_id", key.alias("doc_key"), source.alias("source"), F.to_date(ts).alias("day"),
+        L.landing_path(source, ts, key).alias("path"),
+    )
+
+
+@register("load_counters")
+def q_load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: per day found / saved (first event of a user) and a total row."""
+    ev = _with_day(_events(spark, sf_dir))
+    firsts = U.first_per_key(ev.select("user_id", "ts", "event_id"), _KEY, _VERSION).select(
+        "event_id", F.lit(True).alias("saved")
+    )
+    flagged = ev.join(firsts, "event_id", "left").withColumn("saved", F.coalesce("saved", F.lit(False)))
+    return M.load_counters(flagged, "day", "saved")
+
+
+@register("sync_counts")
+def q_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A4: landed documents per source and in total."""
+    docs = L.unsynced(_landing_docs(spark, sf_dir))
+    return M.synced_counts(docs.withColumn("source", L.doc_source(F.col("source"))), "source")
+
+
+# ---------------------------------------------------------------------------
+# Round trips through the sinks and readers
+# ---------------------------------------------------------------------------
+from jobmart.session import shared_dir  # noqa: E402
+from jobmart.sources import readers, sinks  # noqa: E402
+
+_EVENT_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+@register("latest_partition")
+def q_latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 landing by day, then S2 + S1: read only the newest day."""
+    root = shared_dir(spark, "landing-by-day")
+    sinks.write_landing(_with_day(_events(spark, sf_dir)).withColumnRenamed("day", "dt"), root, ["dt"])
+    return readers.read_latest(spark, root, _EVENT_DDL).select(*_EVENT_COLS)
+
+
+@register("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/K4 partitioned JSON landing, read back with an explicit schema."""
+    root = shared_dir(spark, "snapshot")
+    ev = _with_day(_events(spark, sf_dir))
+    sinks.write_landing(ev.withColumn("source", F.col("event_type")).withColumnRenamed("day", "dt"), root, ["source", "dt"])
+    return readers.read_raw(spark, root, _EVENT_DDL).select(*_EVENT_COLS)
+
+
+@register("parquet_roundtrip")
+def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 then S4: jobs_fact written as snappy parquet and read back."""
+    path = shared_dir(spark, "jobs_fact") + "/jobs_fact.parquet"
+    sinks.write_parquet(q_jobs_fact(spark, sf_dir), path)
+    return readers.read_raw(spark, path)
+
+
+@register("csv_sample")
+def q_csv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: first 200 jobs_fact rows by job_id as a one-file header CSV."""
+    from jobmart import schemas as S
+
+    path = shared_dir(spark, "jobs_fact_sample")
+    sinks.write_csv_sample(q_jobs_fact(spark, sf_dir), path, ["job_id"])
+    return sinks.read_csv_sample(spark, path, S.JOBS_FACT_DDL)
+
+
+# ---------------------------------------------------------------------------
+# Three sources conformed into one jobs_fact
+# ---------------------------------------------------------------------------
+@register("union_sources")
+def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API jobs, JSON-LD pages and DOM pages conformed and stacked, then the mart."""
+    k = F.col("o_orderkey")
+    api = conform.conform_api(documents.api_jobs(spark, sf_dir).where(k % 3 == 0), "job", _ingest())
+    detail = documents.jsonld_pages(spark, sf_dir)
+    topcv = conform.conform_jsonld(
+        P.jsonld_records(detail.where(k % 3 == 1)).withColumn("crawled_at", _ingest())
+    )
+    dom_pages = detail.where(k % 3 == 2).withColumn(
+        "url", F.concat(F.lit("https://vn.joboko.com/viec-lam-x-xvi"), k.cast("string"))
+    )
+    joboko = conform.conform_dom(P.dom_records(dom_pages).withColumn("fetched_at", _ingest()))
+    fact = marts.jobs_fact(conform.union_sources(api, topcv, joboko))
+    return fact.select(
+        "job_id", "source", "job_title", "company_name", "city", "salary_min", "salary_max",
+        "posted_date", "salary_avg",
+    )
