@@ -466,3 +466,25 @@ FROM jp WHERE k % 3 = 2
     API_CTE,
     JP_CTE,
 )
+
+# Streaming merges: equal to the batch merges on the same input.
+SQL["stream_first_wins"] = f"""
+SELECT {_EV} FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+"""
+SQL["stream_last_wins"] = SQL["upsert_last_wins"]
+SQL["stream_landing"] = f"SELECT {_EV} FROM events WHERE event_id % 3 <> 0"
+
+# Model inputs
+SQL["train_source"] = with_feed(
+    """
+SELECT job_id, location, level, (salary_min + salary_max) / 2 AS salary_avg
+FROM fact WHERE (salary_min + salary_max) / 2 > 0
+"""
+)
+SQL["string_index"] = with_feed(
+    """
+SELECT location, CAST(row_number() OVER (ORDER BY n DESC, location) - 1 AS DOUBLE) AS loc_idx
+FROM (SELECT location, count(*) AS n FROM fact WHERE (salary_min + salary_max) / 2 > 0 GROUP BY location)
+"""
+)

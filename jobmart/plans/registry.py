@@ -453,3 +453,82 @@ def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "job_id", "source", "job_title", "company_name", "city", "salary_min", "salary_max",
         "posted_date", "salary_avg",
     )
+
+
+# ---------------------------------------------------------------------------
+# Streaming merges (K7, K5 on a stream; S6/K8 through the file-source checkpoint)
+# ---------------------------------------------------------------------------
+from jobmart.streaming import upserts as ST  # noqa: E402
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ST.file_stream(spark, sf_dir, _EVENT_DDL, glob="events.parquet")
+
+
+@register("stream_first_wins")
+def q_stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 as a stateful stream (first version per key, emitted once)."""
+    root = shared_dir(spark, "stream-first-wins")
+    out = ST.first_wins_stream(_event_stream(spark, sf_dir), _KEY, _VERSION)
+    ST.run_available(out, root + "/out", root + "/checkpoint")
+    return spark.read.parquet(root + "/out").select(*_EVENT_COLS)
+
+
+@register("stream_last_wins")
+def q_stream_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 as a stateful stream: append log of winning versions, compacted on read."""
+    root = shared_dir(spark, "stream-last-wins")
+    out = ST.last_wins_stream(_event_stream(spark, sf_dir), _KEY, _VERSION)
+    ST.run_available(out, root + "/out", root + "/checkpoint")
+    log = spark.read.parquet(root + "/out")
+    return U.latest_per_key(log, _KEY, _VERSION).select(*_EVENT_COLS)
+
+
+@register("stream_landing")
+def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unsynced documents landed by a checkpointed file stream
+    (a second run with the same checkpoint lands nothing new)."""
+    root = shared_dir(spark, "stream-landing")
+    ev = _event_stream(spark, sf_dir)
+    docs = L.unsynced(
+        ev.withColumn(
+            "synced_to_datalake",
+            F.when(F.col("event_id") % 3 == 0, F.lit(True)).when(F.col("event_id") % 3 == 1, F.lit(False)),
+        )
+    )
+    docs = ST.with_event_day(docs.withColumn("source", L.doc_source(F.col("event_type"))))
+    ST.landing_stream(docs.drop("synced_to_datalake"), root + "/out", root + "/checkpoint")
+    return readers.read_raw(spark, root + "/out", _EVENT_DDL).select(*_EVENT_COLS)
+
+
+# ---------------------------------------------------------------------------
+# Salary model
+# ---------------------------------------------------------------------------
+from jobmart.plans import train as TR  # noqa: E402
+
+
+@register("train_source")
+def q_train_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: jobs with a positive average salary."""
+    return TR.training_source(q_jobs_fact(spark, sf_dir)).select("job_id", "location", "level", "salary_avg")
+
+
+@register("string_index")
+def q_string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: frequency-descending index of each location label."""
+    source = TR.training_source(q_jobs_fact(spark, sf_dir)).select("location")
+    indexer = TR.StringIndexer(inputCol="location", outputCol="loc_idx", handleInvalid="keep").fit(source)
+    return indexer.transform(source.distinct())
+
+
+@register("hash_split")
+def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stable 80/20 split flag per job (Spark's xxhash64, rows-only check)."""
+    return TR.hash_split(TR.training_source(q_jobs_fact(spark, sf_dir))).select("job_id", "is_train")
+
+
+@register("salary_model")
+def q_salary_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, save and evaluate the forest (rows-only check)."""
+    _model, metrics = TR.train(q_jobs_fact(spark, sf_dir), shared_dir(spark, "salary-model"))
+    return metrics
