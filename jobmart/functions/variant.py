@@ -7,7 +7,7 @@ the crawler's ``safe_list`` / ``safe_dict`` guards (V1) without a UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart import schemas as S
@@ -46,3 +46,16 @@ def unnest_documents(v: Column) -> Column:
     """A landed file holds one top-level array or one object; both become
     one row per document (a truncated file gives one null row)."""
     return F.explode(F.coalesce(get(v, "$", "array<variant>"), F.array(v)))
+
+
+def evaluate_once(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """Add ``expr`` as column ``name``, computed exactly once per row.
+
+    Catalyst substitutes an aliased expression into every filter pushed
+    below the projection and into each later projection that uses it, so an
+    expensive parse (regex + JSON) referenced by a filter and a projection
+    runs several times per row. A one-element ``explode`` is a Generate
+    node: predicates on its output cannot move below it, so the parse runs
+    once and everything above reads the column.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))

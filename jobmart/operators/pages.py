@@ -27,7 +27,7 @@ from jobmart.functions.text import (
     jsonld_job_id,
     strip_ws,
 )
-from jobmart.functions.variant import get, is_job_posting, truthy
+from jobmart.functions.variant import evaluate_once, get, is_job_posting, truthy
 
 HREF_PATTERN = r'<a\s[^>]*href="([^"]*)"'
 JSONLD_PATTERN = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
@@ -88,8 +88,7 @@ def jsonld_blocks(html: Column) -> Column:
 
 def jsonld_first(html: Column) -> Column:
     """The first ld+json block only; missing or unparsable -> null."""
-    first = F.regexp_extract(html, JSONLD_PATTERN, 1)
-    return F.when(first != "", F.try_parse_json(first))
+    return F.try_parse_json(F.regexp_extract(html, JSONLD_PATTERN, 1))
 
 
 def pick_job_posting(blocks: Column) -> Column:
@@ -152,16 +151,17 @@ def dom_records(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     """Detail pages -> raw DOM-source records
     (jobId, url, json_ld, dom, html_length, source), non-postings dropped."""
     html = F.col(html_col)
-    rec = pages.select(
-        dom_job_id(url_col).alias("jobId"),
-        F.col(url_col).alias("url"),
-        pick_job_posting(jsonld_blocks(html)).alias("json_ld"),
-        dom_record(html).alias("dom"),
-        F.length(html).cast("bigint").alias("html_length"),
+    keyed = pages.select(dom_job_id(url_col).alias("jobId"), F.col(url_col).alias("url"), html.alias("_html"))
+    keyed = keyed.where(F.col("jobId").isNotNull())
+    parsed = evaluate_once(keyed, pick_job_posting(jsonld_blocks(F.col("_html"))), "json_ld")
+    parsed = evaluate_once(parsed, dom_record(F.col("_html")), "dom")
+    rec = parsed.where(is_posting_page(F.col("json_ld"), F.col("dom"))).select(
+        "jobId", "url", "json_ld", "dom",
+        F.length("_html").cast("bigint").alias("html_length"),
         F.lit(S.SOURCE_DOM).alias("source"),
         F.lit(False).alias("synced_to_datalake"),
     )
-    return rec.where(F.col("jobId").isNotNull() & is_posting_page(F.col("json_ld"), F.col("dom")))
+    return rec
 
 
 def jsonld_records(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -169,10 +169,12 @@ def jsonld_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
     (jobId, jobUrl, source, json_ld); challenge pages, pages without a first
     block and invalid postings are dropped."""
     html = F.col(html_col)
-    rec = pages.where(~is_challenge_page(html)).select(
+    kept = pages.where(~is_challenge_page(html)).select(
         jsonld_job_id(url_col).alias("jobId"),
         F.col(url_col).alias("jobUrl"),
         F.lit(S.SOURCE_JSONLD).alias("source"),
-        jsonld_first(html).alias("json_ld"),
+        html.alias("_html"),
     )
-    return rec.where(F.col("json_ld").isNotNull() & is_valid_posting(F.col("json_ld")))
+    parsed = evaluate_once(kept, jsonld_first(F.col("_html")), "json_ld").drop("_html")
+    ld = F.col("json_ld")
+    return parsed.where(ld.isNotNull() & truthy(ld) & is_valid_posting(ld))

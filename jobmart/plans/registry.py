@@ -139,7 +139,7 @@ def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 from jobmart.functions.text import dom_job_id, jsonld_job_id  # noqa: E402
 from jobmart.functions.variant import get as vget  # noqa: E402
-from jobmart.functions.variant import truthy  # noqa: E402
+from jobmart.functions.variant import evaluate_once, truthy  # noqa: E402
 from jobmart.operators import pages as P  # noqa: E402
 
 
@@ -181,9 +181,8 @@ def q_jsonld_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_jsonld_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first block only; pages whose first block is missing, broken
     or falsy are dropped."""
-    pages = documents.jsonld_pages(spark, sf_dir).select(
-        F.col("o_orderkey").alias("job_id"), P.jsonld_first(F.col("html")).alias("ld")
-    )
+    pages = documents.jsonld_pages(spark, sf_dir).select(F.col("o_orderkey").alias("job_id"), "html")
+    pages = evaluate_once(pages, P.jsonld_first(F.col("html")), "ld")
     return pages.where(F.col("ld").isNotNull() & truthy(F.col("ld"))).select(
         "job_id", vget(F.col("ld"), "$.title", "string").alias("title")
     )
@@ -192,9 +191,8 @@ def q_jsonld_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("jsonld_pick")
 def q_jsonld_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first JobPosting object among the blocks."""
-    pages = documents.jsonld_pages(spark, sf_dir).select(
-        F.col("o_orderkey").alias("job_id"), P.pick_job_posting(P.jsonld_blocks(F.col("html"))).alias("ld")
-    )
+    pages = documents.jsonld_pages(spark, sf_dir).select(F.col("o_orderkey").alias("job_id"), "html")
+    pages = evaluate_once(pages, P.pick_job_posting(P.jsonld_blocks(F.col("html"))), "ld")
     return pages.where(F.col("ld").isNotNull()).select(
         "job_id",
         vget(F.col("ld"), "$.title", "string").alias("title"),
@@ -231,11 +229,9 @@ def q_page_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_not_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with no JobPosting block and no DOM title."""
     pages = documents.jsonld_pages(spark, sf_dir)
-    rec = pages.select(
-        F.col("o_orderkey").alias("job_id"),
-        P.pick_job_posting(P.jsonld_blocks(F.col("html"))).alias("ld"),
-        P.dom_record(F.col("html")).alias("dom"),
-    )
+    rec = pages.select(F.col("o_orderkey").alias("job_id"), "html")
+    rec = evaluate_once(rec, P.pick_job_posting(P.jsonld_blocks(F.col("html"))), "ld")
+    rec = rec.withColumn("dom", P.dom_record(F.col("html")))  # only dom.title is used: keep it prunable
     return rec.where(~P.is_posting_page(F.col("ld"), F.col("dom"))).select("job_id")
 
 
@@ -530,5 +526,6 @@ def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("salary_model")
 def q_salary_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save and evaluate the forest (rows-only check)."""
-    _model, metrics = TR.train(q_jobs_fact(spark, sf_dir), shared_dir(spark, "salary-model"))
+    root = shared_dir(spark, "salary-model")
+    _model, metrics = TR.train(q_jobs_fact(spark, sf_dir), root + "/model", root + "/train_rows")
     return metrics

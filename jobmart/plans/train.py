@@ -76,12 +76,21 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     )
 
 
-def train(fact: DataFrame, model_path: str | None = None) -> tuple[PipelineModel | None, DataFrame | None]:
+def train(
+    fact: DataFrame, model_path: str | None = None, work_dir: str | None = None
+) -> tuple[PipelineModel | None, DataFrame | None]:
     """Fit on the hash-split train rows, evaluate on the rest, save (K9).
 
-    Returns ``(None, None)`` when no row has a positive salary (L1 clean exit).
+    The indexers, the bin count, every tree level and the evaluation each
+    re-read the training rows; with ``work_dir`` (a folder under the shared
+    ``spark.checkpoint.dir``) the rows are written once as parquet and read
+    back, which cuts the lineage to the raw tables and survives executor
+    loss. Returns ``(None, None)`` when no row has a positive salary (L1).
     """
-    source = hash_split(training_source(fact))
+    source = hash_split(training_source(fact).select("job_id", *feature_columns(fact), LABEL))
+    if work_dir:
+        source.write.mode("overwrite").parquet(work_dir)
+        source = fact.sparkSession.read.parquet(work_dir)
     if source.isEmpty():
         return None, None
     columns = feature_columns(source)
