@@ -169,12 +169,11 @@ def jsonld_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
     (jobId, jobUrl, source, json_ld); challenge pages, pages without a first
     block and invalid postings are dropped."""
     html = F.col(html_col)
-    kept = pages.where(~is_challenge_page(html)).select(
+    rec = pages.where(~is_challenge_page(html)).select(
         jsonld_job_id(url_col).alias("jobId"),
         F.col(url_col).alias("jobUrl"),
         F.lit(S.SOURCE_JSONLD).alias("source"),
-        html.alias("_html"),
+        jsonld_first(html).alias("json_ld"),
     )
-    parsed = evaluate_once(kept, jsonld_first(F.col("_html")), "json_ld").drop("_html")
     ld = F.col("json_ld")
-    return parsed.where(ld.isNotNull() & truthy(ld) & is_valid_posting(ld))
+    return rec.where(ld.isNotNull() & truthy(ld) & is_valid_posting(ld))
