@@ -50,13 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/jobmart-che
     """Use the cluster's ``spark.checkpoint.dir``; set ``fallback`` only when unset.
 
     On a cluster the setting names a shared folder (HDFS/object store) so
-    checkpoints and intermediate tables survive executor loss. The fallback
-    exists for local tests only.
+    checkpoints and intermediate tables survive executor loss; a
+    machine-local fallback is used only in local mode (tests), otherwise an
+    unset setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    directory = configured or fallback
     if not configured:
-        spark.conf.set("spark.checkpoint.dir", directory)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store)")
+        spark.conf.set("spark.checkpoint.dir", fallback)
+    directory = configured or fallback
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(directory)
     return directory
