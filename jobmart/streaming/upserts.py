@@ -20,15 +20,21 @@ record per key. ``maxFilesPerTrigger`` bounds each micro-batch.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
+# The per-key state functions run in Python workers. Pickle this module's
+# functions by value so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _best_row(pdfs: Iterator[pd.DataFrame], order_cols: list[str], newest: bool) -> pd.DataFrame | None:
     best = None
