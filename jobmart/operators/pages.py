@@ -97,12 +97,15 @@ def pick_job_posting(blocks: Column) -> Column:
 
 
 def is_valid_posting(ld: Column) -> Column:
-    """Title, hiringOrganization.name and jobLocation all truthy."""
+    """Title, hiringOrganization.name and jobLocation all truthy.
+
+    A non-object block (array, scalar) has no ``$.title``, so it fails the
+    first test without a separate type check.
+    """
     title = get(ld, "$.title", "variant")
     org_name = get(ld, "$.hiringOrganization.name", "variant")
     location = get(ld, "$.jobLocation", "variant")
-    is_object = F.coalesce(F.schema_of_variant(ld).startswith("OBJECT"), F.lit(False))
-    return is_object & truthy(title) & truthy(org_name) & truthy(location)
+    return truthy(title) & truthy(org_name) & truthy(location)
 
 
 def _class_regex(classes: list[str], inner_anchor: bool) -> str:
