@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +48,26 @@ def text_steps(texts: list[str], limit: int = STEP_CHARS) -> Iterator[tuple[int,
 def no_nulls(series) -> list[str]:
     """A pandas text column as a list, null as the empty text."""
     return ["" if x is None or x != x else x for x in series]
+
+
+ARROW = {"string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "long": pa.int64(), "int": pa.int32()}
+
+
+def mapped(docs: DataFrame, text_col: str, keep: list[str], added: dict[str, str], make: Callable) -> DataFrame:
+    """The columns ``keep`` of ``docs``, as they are, and the columns ``added`` (name to
+    type): each task calls ``make()`` once, and what it returns maps a list of texts
+    (null as the empty text) to one array for each added column."""
+    schema = docs.select(keep).schema
+    for name, kind in added.items():
+        schema = schema.add(name, kind)
+    names, kinds = schema.names, [ARROW[k] for k in added.values()]
+    own = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            texts = ["" if t is None else t for t in batch.column(own).to_pylist()]
+            new = [pa.array(x, kind, from_pandas=True) for x, kind in zip(work(texts), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(own)] + new, names=names)
+
+    return docs.select(*keep, docs[text_col].alias("_text")).mapInArrow(run, schema)

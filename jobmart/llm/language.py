@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm import charlm
-from jobmart.llm.common import fold, no_nulls, read_table, text_steps
+from jobmart.llm.common import fold, mapped, no_nulls, read_table, text_steps
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
@@ -32,7 +32,6 @@ CALIBRATION = 16
 REJECT_SIGMAS = 6.0
 MIN_CALIBRATION_TEXTS = 8
 TEMPERATURES = (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5, 0.75, 1.0)
-SCORED = "lang_pred string, score double, entropy double, rejected boolean"
 
 
 @dataclass
@@ -127,46 +126,39 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Identifier(models, temperature, limits)
 
 
-def _identify(table: np.ndarray, fitted: Identifier, text_at: str, extra: list[str]):
+def _identify(table: np.ndarray, fitted: Identifier):
     names = list(fitted.models)
     models = list(fitted.models.values())
     mean, between, within = (
         np.array([fitted.limits.get(x, (np.inf, 0.0, 0.0))[i] for x in names]) for i in range(3)
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            n, letters, sums, _ = entropies(no_nulls(pdf[text_at]), table, models)
-            out = pdf[extra].copy()
-            if not names:
-                yield out.assign(_lang_pred=UNKNOWN, _score=0.0, _entropy=None, _rejected=True)
-                continue
-            best = sums.argmin(1)
-            rows = np.arange(len(pdf))
-            entropy = sums[rows, best] / np.maximum(n, 1)
-            gap = sums - sums[rows, best][:, None]
-            score = 1.0 / np.exp(-fitted.temperature * gap).sum(1)
-            limit = mean[best] + REJECT_SIGMAS * np.sqrt(between[best] + 2 * within[best] / np.maximum(n, 1))
-            none = letters == 0
-            yield out.assign(
-                _lang_pred=np.where(none, UNKNOWN, np.array(names, dtype=object)[best]),
-                _score=np.where(none, 0.0, score),
-                _entropy=np.where(none, np.nan, entropy),
-                _rejected=none | (entropy > limit),
-            )
+    def find(texts: list[str]):
+        if not names:
+            count = len(texts)
+            return [UNKNOWN] * count, [0.0] * count, [None] * count, [True] * count
+        n, letters, sums, _ = entropies(texts, table, models)
+        best = sums.argmin(1)
+        rows = np.arange(len(texts))
+        entropy = sums[rows, best] / np.maximum(n, 1)
+        gap = sums - sums[rows, best][:, None]
+        score = 1.0 / np.exp(-fitted.temperature * gap).sum(1)
+        limit = mean[best] + REJECT_SIGMAS * np.sqrt(between[best] + 2 * within[best] / np.maximum(n, 1))
+        none = letters == 0
+        return (
+            np.where(none, UNKNOWN, np.array(names, dtype=object)[best]),
+            np.where(none, 0.0, score),
+            np.where(none, np.nan, entropy),
+            none | (entropy > limit),
+        )
 
-    return run
+    return lambda: find
 
 
 def identify(docs: DataFrame, fitted: Identifier, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (its columns ``keep``, all by default) with _lang_pred, _score, _entropy, _rejected."""
-    keep = docs.columns if keep is None else keep
-    fields = [docs.schema[c] for c in keep]
-    schema = docs.select(keep).schema
-    for name, kind in (("_lang_pred", "string"), ("_score", "double"), ("_entropy", "double"), ("_rejected", "boolean")):
-        schema = schema.add(name, kind)
-    need = [f.name for f in fields] + ([] if text_col in keep else [text_col])
-    return docs.select(need).mapInPandas(_identify(charlm.letter_table(), fitted, text_col, keep), schema)
+    added = {"_lang_pred": "string", "_score": "double", "_entropy": "double", "_rejected": "boolean"}
+    return mapped(docs, text_col, docs.columns if keep is None else keep, added, _identify(charlm.letter_table(), fitted))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
