@@ -95,21 +95,24 @@ def contains_any(c: Column | str, needles: list[str]) -> Column:
     return cond
 
 
-# HTML entities decoded when turning markup into text (&amp; last, so an
-# escaped entity such as "&amp;lt;" decodes once, to "&lt;").
+# Entities that a link's attribute value can hold (&amp; last, so that an escaped
+# entity such as "&amp;lt;" decodes once, to "&lt;").
 HTML_ENTITIES = [
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
     ("&#39;", "'"),
-    ("&nbsp;", " "),
+    ("&#x27;", "'"),
+    ("&#47;", "/"),
+    ("&#x2F;", "/"),
+    ("&#38;", "&"),
     ("&amp;", "&"),
 ]
 
 
-def html_to_text(c: Column | str) -> Column:
-    """Approximate ``innerText.trim()``: drop tags, decode entities, strip."""
-    out = F.regexp_replace(_col(c), "<[^>]*>", "")
+def decode_entities(c: Column | str) -> Column:
+    """Decode the entities of ``HTML_ENTITIES``."""
+    out = _col(c)
     for entity, char in HTML_ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return strip_ws(out)
+    return out

@@ -137,6 +137,26 @@ def split_rejects(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return postings.where(ok), postings.where(~ok)
 
 
+def _plain_text(v: Column) -> Column:
+    """A variant that is itself a string; null for any other value."""
+    return F.when(F.schema_of_variant(v) == "STRING", get(v, "$", "string"))
+
+
+def _text_list(ld: Column, path: str, split: bool) -> Column:
+    """A list of texts, or one text (comma-separated where ``split``), as a list."""
+    one = F.coalesce(_plain_text(get(ld, path, "variant")), F.lit(""))
+    single = F.split(one, r"\s*,\s*") if split else F.array(one)
+    return F.filter(F.coalesce(get(ld, path, "array<string>"), single), A.is_truthy_text)
+
+
+def _amount(ld: Column, path: str) -> Column:
+    """A salary bound: the number itself (its text form ``2.5E7`` must not be stripped),
+    else parsed text, else a scalar ``baseSalary.value``, else 0."""
+    bound = get(ld, f"$.baseSalary.value.{path}", "double")
+    text = parse_salary_text(get(ld, f"$.baseSalary.value.{path}", "string"))
+    return F.coalesce(F.abs(bound), text, F.abs(get(ld, "$.baseSalary.value", "double")), F.lit(0.0))
+
+
 def _jsonld_fields(ld: Column) -> dict[str, Column]:
     """Posting fields read from a schema.org JobPosting variant.
 
@@ -151,6 +171,7 @@ def _jsonld_fields(ld: Column) -> dict[str, Column]:
         F.transform(
             locations,
             lambda x: F.coalesce(
+                F.nullif(_plain_text(x), F.lit("")),
                 F.nullif(get(x, "$.address.addressLocality", "string"), F.lit("")),
                 F.nullif(get(x, "$.address.addressRegion", "string"), F.lit("")),
             ),
@@ -166,7 +187,7 @@ def _jsonld_fields(ld: Column) -> dict[str, Column]:
         "jobRequirement": _default_text(get(ld, "$.qualifications", "string")),
         "jobLevel": _default_text(get(ld, "$.occupationalCategory", "string")),
         "jobFunction": F.lit(""),
-        "industries": F.filter(F.array(get(ld, "$.industry", "string")), A.is_truthy_text),
+        "industries": _text_list(ld, "$.industry", split=False),
         "companyName": get(ld, "$.hiringOrganization.name", "string"),
         "companyProfile": F.lit(""),
         "companySize": F.lit(""),
@@ -174,12 +195,10 @@ def _jsonld_fields(ld: Column) -> dict[str, Column]:
         "contactName": F.lit(""),
         "workingLocations": streets,
         "cities": F.array_distinct(localities),
-        "skills": F.filter(
-            F.split(F.coalesce(get(ld, "$.skills", "string"), F.lit("")), r"\s*,\s*"), A.is_truthy_text
-        ),
+        "skills": _text_list(ld, "$.skills", split=True),
         "benefits": F.array().cast("array<string>"),
-        "salaryMin": F.coalesce(parse_salary_text(get(ld, "$.baseSalary.value.minValue", "string")), F.lit(0.0)),
-        "salaryMax": F.coalesce(parse_salary_text(get(ld, "$.baseSalary.value.maxValue", "string")), F.lit(0.0)),
+        "salaryMin": _amount(ld, "minValue"),
+        "salaryMax": _amount(ld, "maxValue"),
         "salaryCurrency": F.coalesce(get(ld, "$.baseSalary.currency", "string"), F.lit(S.DEFAULT_CURRENCY)),
         "prettySalary": F.lit(""),
         "yearsOfExperience": F.lit(0).cast("bigint"),

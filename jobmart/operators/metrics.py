@@ -1,4 +1,4 @@
-"""Load counters (A1–A4).
+"""Load counters (A1, A2, A4).
 
 All are grouped aggregates (partial + final hash aggregate); totals come
 from ``rollup`` in the same job instead of separate ``count()`` actions.
@@ -10,16 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    """A1: one-row global count."""
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
-
-
-def load_counters(df: DataFrame, page_col: str, saved_col: str) -> DataFrame:
-    """A2: per page found/saved and an overall row (page null)."""
-    return df.rollup(page_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("found"),
-        F.count_if(F.col(saved_col)).cast("bigint").alias("saved"),
+def load_counters(found: DataFrame, saved: DataFrame, page_col: str) -> DataFrame:
+    """A2: per page the rows ``found`` and ``saved`` (each has ``page_col``), and an
+    overall row (page null): two partial counts in one rollup, no join."""
+    both = found.select(page_col, F.lit(1).alias("_found"), F.lit(0).alias("_saved")).unionByName(
+        saved.select(page_col, F.lit(0).alias("_found"), F.lit(1).alias("_saved"))
+    )
+    return both.rollup(page_col).agg(
+        F.sum("_found").cast("bigint").alias("found"), F.sum("_saved").cast("bigint").alias("saved")
     )
 
 

@@ -6,10 +6,11 @@ any size is processed in parallel with no shuffle. The only shuffle is the
 cross-page first-seen dedup of links (``first_seen_links``), an aggregate on
 the link with map-side partial aggregation.
 
-Limits of regex over HTML (documented, Hard 3): attribute values must be
-double-quoted, nested elements with the same tag end at the first closing
-tag, and only the entities in ``HTML_ENTITIES`` are decoded. Resolved links
-are not percent-encoded the way a browser's ``a.href`` is.
+Links and JSON-LD blocks are found by regular expressions that take tags and
+attributes in any case, values in double, single or no quotes, and decode the
+entities a link can hold (Hard 3). DOM fields (W8) come from a parser
+(``jobmart.functions.dom``). Resolved links are not percent-encoded the way a
+browser's ``a.href`` is.
 """
 
 from __future__ import annotations
@@ -18,19 +19,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart import schemas as S
+from jobmart.functions.dom import dom_record
 from jobmart.functions.text import (
     contains_any,
+    decode_entities,
     dom_job_id,
     dom_link_kept,
     drop_fragment,
-    html_to_text,
     jsonld_job_id,
     strip_ws,
 )
 from jobmart.functions.variant import evaluate_once, get, is_job_posting, truthy
 
-HREF_PATTERN = r'<a\s[^>]*href="([^"]*)"'
-JSONLD_PATTERN = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
+# The value of an anchor's own href attribute: a space before it, so that data-href is
+# another attribute, and quoted values of other attributes are skipped whole.
+_SKIP = r"""(?:"[^"]*"|'[^']*'|[^>"'])*?"""
+HREF_PATTERN = rf"""(?i)<a(?=\s){_SKIP}\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+JSONLD_PATTERN = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
 _SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
 
 
@@ -38,16 +43,33 @@ def _origin(url: Column) -> Column:
     return F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
 
 
+def _without_dots(url: Column) -> Column:
+    """Resolve ``.`` and ``..`` segments of an absolute URL's path."""
+    head = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    tail = F.regexp_extract(url, r"^[^?#]*(.*)$", 1)
+    parts = F.split(path, "/")
+
+    def step(acc: Column, part: Column) -> Column:
+        up = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", acc).otherwise(F.array_append(acc, part))
+
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step)
+    open_end = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    clean = F.concat(head, F.array_join(kept, "/"), open_end, tail)
+    return F.when((head != "") & path.rlike(r"/\.\.?(/|$)"), clean).otherwise(url)
+
+
 def resolve_url(href: Column, base: Column) -> Column:
     """Resolve ``href`` against the page URL ``base`` (scheme, host-relative,
-    path-relative, query and fragment forms)."""
+    path-relative, query and fragment forms, ``.`` and ``..`` segments)."""
     base_no_frag = F.substring_index(base, "#", 1)
     base_no_query = F.regexp_extract(base, r"^([^?#]*)", 1)
     has_path = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
     directory = F.when(has_path == "", F.concat(_origin(base), F.lit("/"))).otherwise(
         F.regexp_extract(base_no_query, r"^(.*/)", 1)
     )
-    return (
+    full = (
         F.when(href.rlike(_SCHEME), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
         .when(href.startswith("/"), F.concat(_origin(base), href))
@@ -56,6 +78,14 @@ def resolve_url(href: Column, base: Column) -> Column:
         .when(href == "", base_no_frag)
         .otherwise(F.concat(directory, href))
     )
+    return _without_dots(full)
+
+
+def hrefs(html: Column) -> Column:
+    """The href of every anchor in document order, trimmed, entities decoded."""
+    values = [F.regexp_extract_all(html, F.lit(HREF_PATTERN), F.lit(k)) for k in (1, 2, 3)]
+    whole = F.transform(F.arrays_zip(*values), lambda x: F.concat(x["0"], x["1"], x["2"]))
+    return F.transform(whole, lambda h: strip_ws(decode_entities(h)))
 
 
 def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -63,10 +93,11 @@ def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """Anchors whose raw ``href`` contains one of ``markers`` (all anchors
     when ``markers`` is None), resolved to absolute, distinct in document
     order per page -> (id, pos, link)."""
-    hrefs = F.regexp_extract_all(F.col(html_col), F.lit(HREF_PATTERN), 1)
+    found = hrefs(F.col(html_col))
     if markers:
-        hrefs = F.filter(hrefs, lambda h: contains_any(h, markers))
-    links = F.array_distinct(F.transform(hrefs, lambda h: resolve_url(h, F.col(url_col))))
+        found = F.filter(found, lambda h: contains_any(h, markers))
+    pages = evaluate_once(pages, found, "_hrefs")
+    links = F.array_distinct(F.transform("_hrefs", lambda h: resolve_url(h, F.col(url_col))))
     return pages.select(F.col(id_col), F.posexplode(links).alias("pos", "link"))
 
 
@@ -108,37 +139,6 @@ def is_valid_posting(ld: Column) -> Column:
     return truthy(title) & truthy(org_name) & truthy(location)
 
 
-def _class_regex(classes: list[str], inner_anchor: bool) -> str:
-    looks = "".join(rf'(?=[^"]*\b{c}\b)' for c in classes)
-    opening = rf'<([a-zA-Z][a-zA-Z0-9]*)\s[^>]*class="{looks}[^"]*"[^>]*>'
-    if inner_anchor:
-        return rf"(?is){opening}.*?<a(?:\s[^>]*)?>(.*?)</a>"
-    return rf"(?is){opening}(.*?)</\1>"
-
-
-def selector_html(html: Column, selector: str) -> Column:
-    """innerHTML of the first element matching a simple CSS selector
-    (``tag``, ``.a.b`` or ``.a tag``)."""
-    parts = selector.split()
-    if selector.startswith("."):
-        classes = [c for c in parts[0].split(".") if c]
-        return F.regexp_extract(html, _class_regex(classes, len(parts) > 1), 2)
-    return F.regexp_extract(html, rf"(?is)<{selector}(?:\s[^>]*)?>(.*?)</{selector}>", 1)
-
-
-def dom_record(html: Column) -> Column:
-    """Per field the first non-empty selector match; text fields are
-    tag-stripped, decoded and trimmed; ``*_html`` fields keep the markup."""
-    fields = []
-    for name, selectors in S.DOM_TEXT_SELECTORS.items():
-        options = [F.nullif(html_to_text(selector_html(html, s)), F.lit("")) for s in selectors]
-        fields.append(F.coalesce(*options, F.lit("")).alias(name))
-    for name, selectors in S.DOM_HTML_SELECTORS.items():
-        options = [F.nullif(selector_html(html, s), F.lit("")) for s in selectors]
-        fields.append(F.coalesce(*options, F.lit("")).alias(name))
-    return F.struct(*fields)
-
-
 def is_challenge_page(html: Column, keywords: list[str] | None = None) -> Column:
     """The lower-cased page contains any bot-check keyword."""
     return contains_any(F.lower(html), keywords or S.CHALLENGE_KEYWORDS)
@@ -157,7 +157,7 @@ def dom_records(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     keyed = pages.select(dom_job_id(url_col).alias("jobId"), F.col(url_col).alias("url"), html.alias("_html"))
     keyed = keyed.where(F.col("jobId").isNotNull())
     parsed = evaluate_once(keyed, pick_job_posting(jsonld_blocks(F.col("_html"))), "json_ld")
-    parsed = evaluate_once(parsed, dom_record(F.col("_html")), "dom")
+    parsed = parsed.withColumn("dom", dom_record(F.col("_html")))
     rec = parsed.where(is_posting_page(F.col("json_ld"), F.col("dom"))).select(
         "jobId", "url", "json_ld", "dom",
         F.length("_html").cast("bigint").alias("html_length"),
@@ -176,7 +176,8 @@ def jsonld_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
         jsonld_job_id(url_col).alias("jobId"),
         F.col(url_col).alias("jobUrl"),
         F.lit(S.SOURCE_JSONLD).alias("source"),
-        jsonld_first(html).alias("json_ld"),
+        html.alias("_html"),
     )
+    rec = evaluate_once(rec, jsonld_first(F.col("_html")), "json_ld").drop("_html")
     ld = F.col("json_ld")
     return rec.where(ld.isNotNull() & truthy(ld) & is_valid_posting(ld))

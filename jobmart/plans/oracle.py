@@ -160,7 +160,7 @@ SQL["unnest_response"] = with_api(
 SELECT jobId, source, jobUrl, jobTitle, jobLevel, jobFunction, industries, workingLocations, cities,
        skills, benefits, salaryMin, salaryMax, salaryCurrency, prettySalary, yearsOfExperience,
        postedDate, expiredDate, companyProfile, contactName, jobDescription
-FROM api WHERE k IN (SELECT k FROM base WHERE (k // 50) % 7 <> 3)
+FROM api
 """
 )
 SQL["location_lists"] = with_api("SELECT jobId, workingLocations, cities FROM api")
@@ -172,7 +172,7 @@ SQL["defaults_url"] = with_api(
     """
 SELECT jobId, source, jobUrl, jobTitle, companyName, jobDescription, jobRequirement, jobLevel,
        companyProfile, companySize, companyLogo, contactName, prettySalary, yearsOfExperience,
-       postedDate, expiredDate
+       postedDate, expiredDate, '2024-02-01 00:00:00' AS crawled_at
 FROM api
 """
 )
@@ -193,7 +193,10 @@ FROM conversations
 # ---------------------------------------------------------------------------
 JP_CTE = """
 jp AS (
-  SELECT k, prio, c_name, n_name, r_name, lo, od, k % 8 AS k8, k % 13 = 5 AS challenge
+  SELECT k, prio, c_name, c_mktsegment, n_name, r_name, lo, od, k % 8 AS k8, k % 13 = 5 AS challenge,
+         k % 16 = 8 AS other_forms,
+         CASE WHEN k % 8 IN (0, 3) THEN CASE WHEN k % 16 = 8 THEN lo + 25000000.0 ELSE lo * 1.0 END ELSE 0.0 END AS jp_min,
+         CASE WHEN k % 8 IN (0, 3) THEN CASE WHEN k % 16 = 8 THEN (lo + 25000000.0) * 2 ELSE lo + 1000.0 END ELSE 0.0 END AS jp_max
   FROM base
 )
 """
@@ -295,25 +298,49 @@ SQL["valid_postings"] = with_feed(
     """
 SELECT 'topcv_' || CAST(k AS VARCHAR) AS jobId, prio AS jobTitle, c_name AS companyName,
        CASE WHEN k8 = 0 THEN n_name ELSE n_name || '|' || r_name END AS cities,
-       CASE WHEN k8 = 0 THEN CAST(lo AS DOUBLE) ELSE 0.0 END AS salaryMin,
-       CASE WHEN k8 = 0 THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END AS salaryMax,
-       CASE WHEN k8 = 0 THEN strftime(od, '%Y-%m-%d') END AS postedDate
+       CAST(jp_min AS DOUBLE) AS salaryMin, CAST(jp_max AS DOUBLE) AS salaryMax,
+       CASE WHEN k8 = 0 THEN strftime(od, '%Y-%m-%d') END AS postedDate,
+       CASE WHEN other_forms THEN 'sales|' || r_name ELSE '' END AS skills,
+       CASE WHEN other_forms THEN c_mktsegment || '|' || r_name ELSE '' END AS industries
 FROM jp WHERE k8 IN (0, 1) AND NOT challenge
 """,
     JP_CTE,
 )
 
-_H1_TEXT = (
-    "regexp_replace(replace(replace(replace(replace(replace(replace("
-    "regexp_replace(regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),"
-    " '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'),"
-    " '^\\s+|\\s+$', '', 'g')"
-)
-SQL["dom_fields"] = f"""
-SELECT page_id, {_H1_TEXT} AS title, '' AS company, '' AS locations, '' AS salary,
-       '' AS description_html, '' AS requirements_html, '' AS benefits_html
+# Pages hold at most an h1; the detail pages' fields come from the base columns.
+SQL["dom_fields"] = with_feed(
+    """
+SELECT 'pages' AS origin, page_id,
+       trim(replace(replace(replace(replace(
+         regexp_replace(regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
+         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS title,
+       '' AS company, '' AS locations, '' AS salary, '' AS description_html, '' AS requirements_html, '' AS benefits_html
 FROM pages
+UNION ALL
+SELECT 'detail', k, prio || ' & café',
+       CASE k % 3 WHEN 1 THEN c_name || ' <VN>' ELSE c_name END,
+       n_name, CASE WHEN k % 5 = 2 THEN CAST(lo AS VARCHAR) ELSE CAST(lo AS VARCHAR) || ' VND' END,
+       'part one<div>inner ' || r_name || '</div>part two',
+       '<p>' || c_mktsegment || '</p><section>deep</section>end', 'none &amp; all'
+FROM base
 """
+)
+
+SQL["listing_links"] = with_feed(
+    """
+SELECT site, k AS list_id, CAST(row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS BIGINT) AS pos,
+       'https://www.' || site || '.vn' || path AS link
+FROM (
+  SELECT k, site, unnest(paths) AS path, unnest(range(len(paths))) AS i FROM (
+    SELECT k, CASE WHEN k % 2 = 0 THEN 'topcv' ELSE 'joboko' END AS site, CASE WHEN k % 2 = 0
+      THEN ['/viec-lam/a-' || k || '.html?x=1&y=2', '/list/viec-lam/b-' || k, '/viec-lam/c']
+      ELSE ['/viec-lam/a-' || k || '.html?x=1&y=2', '/list/viec-lam/b-' || k, '/viec-lam/c',
+            '/list/all/viec-lam-' || k, '/vacancies/' || k] END AS paths
+    FROM base
+  )
+)
+"""
+)
 
 SQL["page_length"] = "SELECT page_id, CAST(length(html) AS BIGINT) AS html_length FROM pages"
 
@@ -345,42 +372,53 @@ SELECT {_EV} FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """
 
-SQL["upsert_fields"] = """
-WITH u AS (
+# Events of which one in eleven lacks the key.
+_KEYED = """
+kv AS (SELECT event_id, ts, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, event_type, value, props FROM events)
+"""
+
+SQL["key_rejects"] = "SELECT event_id, ts, event_type FROM events WHERE event_id % 11 = 0 OR user_id IS NULL"
+
+SQL["upsert_fields"] = f"""
+WITH {_KEYED}, u AS (
   SELECT user_id, ts, event_id,
          CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type,
          CASE WHEN event_type <> 'view' THEN value END AS value,
-         CASE WHEN event_type <> 'click' THEN props END AS props
-  FROM events
+         CASE WHEN event_type <> 'click' THEN props END AS props,
+         event_id % 2 = 0 AS flag, ts >= {_CUT} AS new
+  FROM kv WHERE user_id IS NOT NULL
+    AND CASE WHEN ts >= {_CUT} THEN user_id % 5 <> 0 ELSE user_id % 3 <> 0 END
 )
 SELECT user_id,
        arg_max(event_type, (ts, event_id)) FILTER (WHERE event_type IS NOT NULL) AS event_type,
        arg_max(value, (ts, event_id)) FILTER (WHERE value IS NOT NULL) AS value,
        arg_max(props, (ts, event_id)) FILTER (WHERE props IS NOT NULL) AS props,
        max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
-       false AS synced_to_datalake
+       CASE WHEN bool_or(new) THEN false ELSE arg_max(flag, (ts, event_id)) END AS synced_to_datalake
 FROM u GROUP BY user_id
 """
 
 SQL["insert_if_absent"] = f"""
-WITH ex AS (
-  SELECT {_EV} FROM events WHERE event_type = 'signup'
+WITH {_KEYED}, ex AS (
+  SELECT {_EV} FROM kv WHERE event_type = 'signup' AND user_id IS NOT NULL AND user_id % 3 <> 0
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
 ),
 nb AS (
-  SELECT {_EV} FROM events
-  WHERE event_type <> 'signup' AND user_id NOT IN (SELECT user_id FROM ex)
+  SELECT {_EV} FROM kv
+  WHERE event_type <> 'signup' AND user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM ex)
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
 )
 SELECT {_EV} FROM ex UNION ALL SELECT {_EV} FROM nb
 """
 
 SQL["upsert_counts"] = f"""
-WITH b AS (SELECT user_id, count(*) AS n FROM events WHERE ts >= {_CUT} GROUP BY user_id),
-     e AS (SELECT DISTINCT user_id FROM events WHERE ts < {_CUT})
+WITH {_KEYED},
+     b AS (SELECT user_id, count(*) AS n FROM kv WHERE ts >= {_CUT} AND user_id IS NOT NULL GROUP BY user_id),
+     e AS (SELECT DISTINCT user_id FROM kv WHERE ts < {_CUT} AND user_id % 3 <> 0)
 SELECT CAST(sum(n) AS BIGINT) AS batch_rows, CAST(count(*) AS BIGINT) AS batch_keys,
        CAST(count(*) FILTER (WHERE e.user_id IS NULL) AS BIGINT) AS inserted,
-       CAST(count(*) FILTER (WHERE e.user_id IS NOT NULL) AS BIGINT) AS updated
+       CAST(count(*) FILTER (WHERE e.user_id IS NOT NULL) AS BIGINT) AS updated,
+       (SELECT count(*) FROM kv WHERE ts >= {_CUT} AND user_id IS NULL) AS rejected
 FROM b LEFT JOIN e ON b.user_id = e.user_id
 """
 
@@ -393,7 +431,8 @@ WHERE NOT EXISTS (SELECT 1 FROM d s WHERE s.user_id = b.user_id AND s.day < b.da
 SQL["batch_cap"] = """
 SELECT event_id, day, CASE WHEN rn <= 50 THEN rn END AS rank, rn > 50 AS pending
 FROM (SELECT event_id, CAST(ts AS DATE) AS day,
-             row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+             row_number() OVER (PARTITION BY CAST(ts AS DATE)
+               ORDER BY CASE WHEN event_id % 13 <> 0 THEN date_trunc('hour', ts) END NULLS FIRST, event_id) AS rn
       FROM events)
 """
 
@@ -405,7 +444,8 @@ WITH d AS (
          COALESCE(CASE WHEN event_id % 10 <> 0 THEN 'evt_' || CAST(event_id AS VARCHAR) END,
                   'oid_' || CAST(event_id AS VARCHAR)) AS doc_key,
          COALESCE(CASE WHEN event_type <> 'error' THEN event_type END, 'unknown') AS source,
-         CASE WHEN event_id % 9 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE ts END AS lts
+         CASE WHEN event_id % 18 = 0 THEN TIMESTAMP '2024-01-20 12:00:00'
+              WHEN event_id % 9 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE ts END AS lts
   FROM events
 )
 SELECT event_id, doc_key, source, CAST(lts AS DATE) AS day,
@@ -433,7 +473,21 @@ GROUP BY ROLLUP (source)
 
 SQL["latest_partition"] = f"""
 SELECT {_EV} FROM events
-WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
+WHERE event_id % 17 <> 0 AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_id % 17 <> 0)
+"""
+SQL["legacy_snapshot"] = """
+SELECT event_id, 'o' || event_id AS doc_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS at FROM events
+"""
+SQL["landing_dedup"] = """
+SELECT event_type AS source, CAST(ts AS DATE) AS day, user_id AS doc_key, ts, event_id, value FROM events
+WHERE event_type IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+SQL["landed_ledger"] = """
+SELECT CASE WHEN event_id % 10 <> 0 THEN 'evt_' ELSE 'oid_' END || event_id AS doc_key, event_id,
+       CASE WHEN event_id % 4 <> 0 THEN 1 ELSE 2 END AS run,
+       COALESCE(CASE WHEN event_type <> 'error' THEN event_type END, 'unknown') AS source
+FROM events WHERE event_id % 3 <> 0
 """
 SQL["snapshot_roundtrip"] = f"SELECT {_EV} FROM events"
 SQL["parquet_roundtrip"] = SQL["jobs_fact"]
@@ -444,30 +498,24 @@ SQL["union_sources"] = with_feed(
 SELECT jobId AS job_id, 'VietnamWorks' AS source, jobTitle AS job_title, companyName AS company_name,
        replace(cities, '|', ', ') AS city, salaryMin AS salary_min, salaryMax AS salary_max,
        CAST(od AS DATE) AS posted_date, (salaryMin + salaryMax) / 2 AS salary_avg
-FROM api JOIN base USING (k) WHERE k % 3 = 0
+FROM api JOIN base USING (k)
 UNION ALL
 SELECT 'topcv_' || CAST(k AS VARCHAR), 'TopCV', prio, c_name,
        CASE WHEN k8 = 0 THEN n_name ELSE n_name || ', ' || r_name END,
-       CASE WHEN k8 = 0 THEN CAST(lo AS DOUBLE) ELSE 0.0 END,
-       CASE WHEN k8 = 0 THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END,
-       CASE WHEN k8 = 0 THEN CAST(od AS DATE) END,
-       CASE WHEN k8 = 0 THEN lo + 500.0 ELSE 0.0 END
-FROM jp WHERE k % 3 = 1 AND k8 IN (0, 1) AND NOT challenge
+       jp_min, jp_max, CASE WHEN k8 = 0 THEN CAST(od AS DATE) END, (jp_min + jp_max) / 2
+FROM jp WHERE k8 IN (0, 1) AND NOT challenge
 UNION ALL
 SELECT 'joboko_' || CAST(k AS VARCHAR), 'Joboko', prio,
        CASE WHEN k8 IN (0, 1, 3, 6) THEN c_name END,
        CASE WHEN k8 IN (0, 3, 6) THEN n_name WHEN k8 = 1 THEN n_name || ', ' || r_name ELSE '' END,
-       CASE WHEN k8 IN (0, 3) THEN CAST(lo AS DOUBLE) ELSE 0.0 END,
-       CASE WHEN k8 IN (0, 3) THEN CAST(lo + 1000 AS DOUBLE) ELSE 0.0 END,
-       CASE WHEN k8 IN (0, 3) THEN CAST(od AS DATE) END,
-       CASE WHEN k8 IN (0, 3) THEN lo + 500.0 ELSE 0.0 END
-FROM jp WHERE k % 3 = 2
+       jp_min, jp_max, CASE WHEN k8 IN (0, 3) THEN CAST(od AS DATE) END, (jp_min + jp_max) / 2
+FROM jp WHERE NOT (k8 = 4 AND k % 3 = 0)
 """,
     API_CTE,
     JP_CTE,
 )
 
-# Streaming merges: equal to the batch merges on the same input.
+# Streams whose files arrive in the order of time: the batch merges' results.
 SQL["stream_first_wins"] = f"""
 SELECT {_EV} FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
@@ -488,3 +536,55 @@ SELECT location, CAST(row_number() OVER (ORDER BY n DESC, location) - 1 AS DOUBL
 FROM (SELECT location, count(*) AS n FROM fact WHERE (salary_min + salary_max) / 2 > 0 GROUP BY location)
 """
 )
+
+
+_MD5_SPLIT = "('0x' || substr(md5(job_id), 1, 8))::BIGINT % 100 < 80"
+_ROWS = f"""
+train_rows AS (
+  SELECT job_id, location, level, (salary_min + salary_max) / 2 AS salary_avg, {_MD5_SPLIT} AS is_train
+  FROM fact WHERE (salary_min + salary_max) / 2 > 0
+),
+feats AS (
+  SELECT t.*, coalesce(l.m, o.m) AS location_mean, coalesce(v.m, o.m) AS level_mean
+  FROM train_rows t
+  LEFT JOIN (SELECT location, avg(salary_avg) AS m FROM train_rows WHERE is_train GROUP BY 1) l ON l.location = t.location
+  LEFT JOIN (SELECT level, avg(salary_avg) AS m FROM train_rows WHERE is_train GROUP BY 1) v ON v.level = t.level
+  CROSS JOIN (SELECT avg(salary_avg) AS m FROM train_rows WHERE is_train) o
+)
+"""
+SQL["hash_split"] = with_feed("SELECT job_id, is_train FROM train_rows", _ROWS)
+SQL["feature_rows"] = with_feed("SELECT job_id, is_train, salary_avg, location_mean, level_mean FROM feats", _ROWS)
+SQL["rmse"] = with_feed(
+    """
+SELECT round(sqrt(avg(pow(salary_avg - location_mean, 2)) FILTER (WHERE NOT is_train)), 2) AS rmse,
+       count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test
+FROM feats
+""",
+    _ROWS,
+)
+SQL["salary_model"] = with_feed(
+    """
+SELECT count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test, true AS within
+FROM train_rows
+""",
+    _ROWS,
+)
+SQL["model_reload"] = with_feed("SELECT job_id, true AS same FROM train_rows", _ROWS)
+
+SQL["salary_parse"] = with_feed(
+    """
+SELECT CAST(b.k AS VARCHAR) AS jobId, f.salary_min AS from_text, CAST(b.lo * 100 AS DOUBLE) AS from_whole,
+       CAST(b.lo * 100 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS from_real
+FROM base b JOIN fact f ON f.k = b.k
+"""
+)
+SQL["city_fallback"] = with_feed("SELECT CAST(k AS VARCHAR) AS jobId, city FROM feed")
+SQL["optional_columns"] = with_feed(
+    """
+SELECT CAST(b.k AS VARCHAR) AS job_id, CAST(NULL AS VARCHAR) AS job_title, CAST(NULL AS VARCHAR) AS company_name,
+       b.r_name AS city, CAST(0 AS DOUBLE) AS salary_min, f.salary_max, CAST(NULL AS DATE) AS posted_date,
+       f.salary_max / 2 AS salary_avg, b.r_name AS location, CAST(NULL AS VARCHAR) AS level,
+       CAST(NULL AS VARCHAR) AS salary_currency, CAST(NULL AS VARCHAR) AS source
+FROM base b JOIN fact f ON f.k = b.k
+"""
+)

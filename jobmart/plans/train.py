@@ -1,102 +1,123 @@
 """Salary model (L1–L6, A5, K9) on ``jobs_fact``.
 
-Random-forest regression of ``salary_avg`` on indexed ``location`` and
-``level``. Differences from the original script, all for repeatable
-results: a seeded forest, ``maxBins`` raised to the category count (the
-default 32 fails once a categorical feature has more than 31 values), and a
-hash split on ``job_id`` instead of ``randomSplit`` (whose assignment changes
-with partitioning).
+Random-forest regression of ``salary_avg`` on ``location`` and ``level``. Differences
+from the original script: a seeded forest; a split by digits of the job id's MD5 instead
+of ``randomSplit`` (whose assignment changes with partitioning); and, as locations are
+free text whose number grows with the data, the forest's features are the train split's
+mean salary per location and per level instead of their indices. So no list of labels
+reaches the driver and the forest needs a fixed number of bins. The indices themselves
+(L2) are a distributed count, sort and join.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FEATURES = {"location": "loc_idx", "level": "lvl_idx"}
+CATEGORIES = ("location", "level")
 LABEL = "salary_avg"
 NUM_TREES = 50
+MAX_BINS = 64
 SEED = 42
 TRAIN_PERCENT = 80
+_ENCODED = {"location": "location_mean", "level": "level_mean"}
 
 
 def training_source(fact: DataFrame) -> DataFrame:
-    """L1: rows with a positive salary (pushed down to the parquet scan)."""
+    """L1: rows with a positive salary. The filter reaches a mart's parquet scan; over
+    raw postings the salary is computed first."""
     return fact.where(F.col(LABEL) > 0)
 
 
 def hash_split(df: DataFrame, key: str = "job_id", percent: int = TRAIN_PERCENT) -> DataFrame:
-    """``is_train`` from a hash of the key: the same rows land in the same
-    split whatever the partitioning."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(100)) < percent)
+    """``is_train`` from the first 32 bits of the key's MD5: the same rows land in
+    the same split whatever the partitioning."""
+    digits = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn("is_train", digits % 100 < percent)
 
 
 def feature_columns(df: DataFrame) -> list[str]:
     """Only the categorical columns the frame has."""
-    return [c for c in FEATURES if c in df.columns]
+    return [c for c in CATEGORIES if c in df.columns]
+
+
+def label_index(df: DataFrame, column: str, work_dir: str) -> DataFrame:
+    """L2: (label, index) by falling frequency, ties by label; nulls have no index.
+
+    A global row number without one big task: the distinct labels are range-sorted and
+    written, numbered within their file, and shifted by the files' running sizes."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc(column)]
+    ranged = counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged.write.mode("overwrite").parquet(work_dir)
+    stored = df.sparkSession.read.parquet(work_dir)
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    shift = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return stored.withColumn("_own", own).join(shift, "_part").select(
+        F.col(column).alias("label"), (F.col("_own") + F.col("_shift") - 1).cast("double").alias("index")
+    )
+
 
+def encode_means(rows: DataFrame) -> DataFrame:
+    """L3: rows (with ``is_train`` and the label) with the train split's mean salary of
+    each category; a category that the train split lacks gets the overall mean."""
+    train = rows.where("is_train")
+    overall = F.lit(train.agg(F.avg(LABEL)).first()[0]).cast("double")
+    out = rows
+    for c in feature_columns(rows):
+        means = train.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(LABEL).alias("_mean"))
+        out = out.join(means, c, "left").withColumn(_ENCODED[c], F.coalesce("_mean", overall)).drop("_mean")
+    return out
 
-def index_stages(df: DataFrame) -> list[StringIndexer]:
-    """L2: frequency-descending indices, unseen labels kept in an extra bucket."""
-    return [
-        StringIndexer(inputCol=c, outputCol=FEATURES[c], handleInvalid="keep")
-        for c in feature_columns(df)
-    ]
 
+def evaluate(predictions: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """A5: RMSE on the test rows, with split sizes and the label's spread, in one aggregate."""
+    err = F.pow(F.col(LABEL) - F.col(prediction), 2)
+    return predictions.agg(
+        F.sqrt(F.avg(F.when(~F.col("is_train"), err))).alias("rmse"),
+        F.count_if(F.col("is_train")).cast("bigint").alias("n_train"),
+        F.count_if(~F.col("is_train")).cast("bigint").alias("n_test"),
+        F.stddev_pop(F.when(~F.col("is_train"), F.col(LABEL))).alias("spread"),
+    )
 
-def max_bins_for(df: DataFrame, columns: list[str]) -> int:
-    """L4 guard: bins must cover every category (+1 for the unseen bucket).
-    One aggregate job returning a few numbers."""
-    counts = df.agg(*[F.countDistinct(c).alias(c) for c in columns]).first()
-    return max([32] + [int(counts[c]) + 1 for c in columns])
 
+def feature_rows(fact: DataFrame, work_dir: str) -> DataFrame:
+    """The model's rows, written once to the shared folder ``work_dir`` (every
+    tree pass reads them: it cuts the lineage and survives lost executors)."""
+    source = training_source(fact)
+    rows = hash_split(source.select("job_id", *feature_columns(source), LABEL))
+    if not feature_columns(rows):
+        raise ValueError("need at least one of: " + ", ".join(CATEGORIES))
+    encode_means(rows).write.mode("overwrite").parquet(work_dir)
+    return fact.sparkSession.read.parquet(work_dir)
 
-def build_pipeline(df: DataFrame, max_bins: int) -> Pipeline:
-    """L2–L5."""
-    columns = feature_columns(df)
-    if not columns:
-        raise ValueError("need at least one of: " + ", ".join(FEATURES))
-    assembler = VectorAssembler(inputCols=[FEATURES[c] for c in columns], outputCol="features")
+
+def fit(rows: DataFrame) -> PipelineModel:
+    """The forest on the train split."""
+    inputs = [_ENCODED[c] for c in feature_columns(rows)]
     forest = RandomForestRegressor(
-        featuresCol="features", labelCol=LABEL, numTrees=NUM_TREES, maxBins=max_bins, seed=SEED
+        featuresCol="features", labelCol=LABEL, numTrees=NUM_TREES, maxBins=MAX_BINS, seed=SEED
     )
-    return Pipeline(stages=[*index_stages(df), assembler, forest])
+    stages = [VectorAssembler(inputCols=inputs, outputCol="features"), forest]
+    return Pipeline(stages=stages).fit(rows.where("is_train"))
 
 
-def evaluate(predictions: DataFrame) -> DataFrame:
-    """A5: RMSE on the test rows, with split sizes, in one aggregate."""
-    err = F.pow(F.col(LABEL) - F.col("prediction"), 2)
-    return predictions.agg(
-        F.sqrt(F.avg(F.when(~F.col("is_train"), err))).alias("rmse"),
-        F.count_if(F.col("is_train")).cast("bigint").alias("n_train"),
-        F.count_if(~F.col("is_train")).cast("bigint").alias("n_test"),
-    )
+def train(fact: DataFrame, model_path: str, work_dir: str) -> tuple[PipelineModel | None, DataFrame]:
+    """Fit, save (K9) and predict: (model, the rows with ``prediction``). Without a row of
+    a positive salary (L1) there is no model and the predictions are empty."""
+    rows = feature_rows(fact, work_dir)
+    if rows.where("is_train").isEmpty():
+        return None, rows.withColumn("prediction", F.lit(None).cast("double"))
+    model = fit(rows)
+    model.write().overwrite().save(model_path)
+    return model, model.transform(rows).drop("features")
 
 
-def train(
-    fact: DataFrame, model_path: str | None = None, work_dir: str | None = None
-) -> tuple[PipelineModel | None, DataFrame | None]:
-    """Fit on the hash-split train rows, evaluate on the rest, save (K9).
-
-    The indexers, the bin count, every tree level and the evaluation each
-    re-read the training rows; with ``work_dir`` (a folder under the shared
-    ``spark.checkpoint.dir``) the rows are written once as parquet and read
-    back, which cuts the lineage to the raw tables and survives executor
-    loss. Returns ``(None, None)`` when no row has a positive salary (L1).
-    """
-    source = hash_split(training_source(fact).select("job_id", *feature_columns(fact), LABEL))
-    if work_dir:
-        source.write.mode("overwrite").parquet(work_dir)
-        source = fact.sparkSession.read.parquet(work_dir)
-    if source.isEmpty():
-        return None, None
-    columns = feature_columns(source)
-    max_bins = max_bins_for(source, columns)
-    model = build_pipeline(source, max_bins).fit(source.where(F.col("is_train")))
-    if model_path:
-        model.write().overwrite().save(model_path)
-    metrics = evaluate(model.transform(source)).withColumn("max_bins", F.lit(max_bins))
-    return model, metrics
+def reload(model_path: str) -> PipelineModel:
+    """K9: the saved pipeline."""
+    return PipelineModel.load(model_path)

@@ -108,14 +108,17 @@ def _api_job(k, lines) -> F.Column:
     )
 
 
-def api_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_jobs(spark: SparkSession, sf_dir: str, with_lines: bool = True) -> DataFrame:
     """(job struct): one raw API job per order; orders without lines get an
-    empty line list. The struct follows ``schemas.API_JOB``."""
+    empty line list. The struct follows ``schemas.API_JOB``. Queries that use no list
+    of the job pass ``with_lines=False`` and read no line items."""
     base = feed_base(spark, sf_dir)
     lines = order_lines(spark, sf_dir)
-    joined = base.join(lines, "o_orderkey", "left").withColumn(
-        "lines", F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType))
-    )
+    none = F.array().cast(lines.schema["lines"].dataType)
+    if with_lines:
+        joined = base.join(lines, "o_orderkey", "left").withColumn("lines", F.coalesce("lines", none))
+    else:
+        joined = base.withColumn("lines", none)
     k = F.col("o_orderkey")
     return joined.select(k, _api_job(k, F.col("lines")).alias("job"))
 
@@ -123,9 +126,9 @@ def api_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def api_response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, body): search responses as JSON text, ``API_PAGE_SIZE`` jobs each.
 
-    Page p % 7 == 3 carries ``"data": "oops"`` (not a list, so no jobs);
-    page p % 5 == 0 appends a non-object element (a job without id, which
-    the conform step rejects).
+    Page p % 5 == 0 appends a non-object element (a job without id, which the conform
+    step rejects). For each page p % 7 == 3 there is one more response, malformed by
+    p % 3: ``data`` is a text, an object, or the body is cut off; it yields no job.
     """
     jobs = api_jobs(spark, sf_dir)
     page = F.floor(F.col("o_orderkey") / API_PAGE_SIZE)
@@ -133,12 +136,16 @@ def api_response_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.collect_list(F.to_json("job")), ",").alias("items")
     )
     p = F.col("page")
-    body = (
-        F.when(p % 7 == 3, F.lit('{"data": "oops"}'))
-        .when(p % 5 == 0, F.concat(F.lit('{"data": ['), F.col("items"), F.lit(", 1]}")))
-        .otherwise(F.concat(F.lit('{"data": ['), F.col("items"), F.lit("]}")))
+    body = F.when(
+        p % 5 == 0, F.concat(F.lit('{"data": ['), F.col("items"), F.lit(", 1]}"))
+    ).otherwise(F.concat(F.lit('{"data": ['), F.col("items"), F.lit("]}")))
+    broken = (
+        F.when(p % 3 == 0, F.lit('{"data": "oops"}'))
+        .when(p % 3 == 1, F.lit('{"data": {"jobId": 1}}'))
+        .otherwise(F.lit('{"data": [{"jobId": 1'))
     )
-    return grouped.select("page", body.alias("body"))
+    bodies = F.when(p % 7 == 3, F.array(body, broken)).otherwise(F.array(body))
+    return grouped.select("page", F.explode(bodies).alias("body"))
 
 
 def _slug(c: F.Column) -> F.Column:
@@ -152,7 +159,9 @@ def _script(body: F.Column) -> F.Column:
 def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, url, html): job detail pages with JSON-LD blocks.
 
-    By ``k % 8``: 0 one JobPosting (location object); 1 ``@type`` list and a
+    By ``k % 8``: 0 one JobPosting (location object; where ``k % 16 == 8`` the location
+    is a text, the salary a number above 1e7 in E-notation, skills and industry are
+    lists); 1 ``@type`` list and a
     location list; 2 a WebSite block only; 3 a broken block before a good
     one; 4 no block (and an empty h1 when ``k % 3 == 0``); 5 a top-level
     array block then a WebSite block; 6 an empty title; 7 an empty
@@ -171,6 +180,16 @@ def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.floor("o_totalprice").alias("minValue"), (F.floor("o_totalprice") + 1000).alias("maxValue")
         ).alias("value")).alias("baseSalary"),
     ))
+    big = (F.floor("o_totalprice") + 25_000_000).cast("double")
+    jp_other_forms = F.to_json(F.struct(
+        F.lit("JobPosting").alias("@type"), title.alias("title"), org.alias("hiringOrganization"),
+        F.col("n_name").alias("jobLocation"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("datePosted"),
+        F.array(F.lit("sales"), F.lit(""), F.col("r_name")).alias("skills"),
+        F.array(F.col("c_mktsegment"), F.col("r_name")).alias("industry"),
+        F.struct(F.lit("VND").alias("currency"), F.struct(
+            big.alias("minValue"), (big * 2).alias("maxValue")
+        ).alias("value")).alias("baseSalary"),
+    ))
     jp_list_type = F.to_json(F.struct(
         F.array(F.lit("Thing"), F.lit("JobPosting")).alias("@type"), title.alias("title"),
         org.alias("hiringOrganization"),
@@ -190,7 +209,8 @@ def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array().cast("array<string>").alias("jobLocation"),
     ))
     blocks = (
-        F.when(k8 == 0, _script(jp_obj))
+        F.when(k % 16 == 8, _script(jp_other_forms))
+        .when(k8 == 0, _script(jp_obj))
         .when(k8 == 1, _script(jp_list_type))
         .when(k8 == 2, _script(website))
         .when(k8 == 3, F.concat(_script(F.lit('{"@type": "JobPosting", "title": ')), _script(jp_obj)))
@@ -211,6 +231,72 @@ def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(k, url.alias("url"), html.alias("html"))
 
 
+def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, html): detail pages whose fields are DOM elements only.
+
+    All seven fields occur, with nested elements of one tag, attributes in any order
+    and quotes, named and numeric entities, void elements and comments; decoys carry
+    longer class names that only begin like the real ones. By ``k % 3`` the company is
+    an anchor in the hero text, the hero text itself, or in the side bar (then a login
+    anchor elsewhere on the page must not be taken); ``k % 4 == 1`` has no ``h1``,
+    ``k % 5 == 2`` takes the second selector for place and salary."""
+    base = feed_base(spark, sf_dir)
+    k = F.col("o_orderkey")
+    name, nation, region = F.col("c_name"), F.col("n_name"), F.col("r_name")
+
+    def text(*parts) -> F.Column:
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    title = (
+        F.when(k % 4 == 1, text("<p CLASS='x nw-company-hero__title'> ", F.col("o_orderpriority"), " &amp; caf&eacute; </p>"))
+        .otherwise(text("<H1 id=t>\n", F.col("o_orderpriority"), " &amp; caf&#233;<br></H1>"))
+    )
+    company = (
+        F.when(k % 3 == 0, text('<div class="nw-company-hero__text">by <b><a href="/c">', name, "</a></b></div>"))
+        .when(k % 3 == 1, text("<div class=nw-company-hero__text>", name, " &lt;VN&gt;</div>"))
+        .otherwise(text('<div class="nw-sidebar-company__title"><span>', name, "</span></div>"))
+    )
+    place = (
+        F.when(k % 5 == 2, text('<ul class="job-work-places text-left"><li>', nation, "</li></ul>"))
+        .otherwise(text('<span class="nw-company-hero__address">', nation, "</span>"))
+    )
+    salary = (
+        F.when(k % 5 == 2, text('<div class="nw-job-list__main">', F.floor("o_totalprice").cast("string"), "</div>"))
+        .otherwise(text('<div class="big text-left job-base-infos">', F.floor("o_totalprice").cast("string"), " <i>VND</i></div>"))
+    )
+    html = text(
+        "<!doctype html><html><head><title>x</title></head><body><!-- <h1>no</h1> -->",
+        '<div class="text-left job-desc-header">decoy</div><div class="nw-company-hero__text-x">decoy</div>',
+        title, company, '<p><a href="/login">Login</a></p>', place, salary,
+        '<div data-x="a>b" class="text-left job-desc">part one<div>inner ', region, "</div>part two</div>",
+        '<section class="job-requirement text-left"><p>', F.col("c_mktsegment"), "</p><section>deep</section>end</section>",
+        '<div class="text-left job-benefit">', F.lit("none &amp; all"), "</div></body></html>",
+    )
+    return base.select(k, html.alias("html"))
+
+
+# Hosts and the markers that select their links.
+LISTING_SITES = {"topcv": S.JSONLD_LINK_MARKERS, "joboko": S.DOM_LINK_MARKERS}
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, site, url, html): a listing page per order with links in many forms:
+    case, quotes, entities, ``..`` segments, other attributes, repeats, other targets."""
+    base = feed_base(spark, sf_dir).select("o_orderkey")
+    k = F.col("o_orderkey").cast("string")
+    site = F.when(F.col("o_orderkey") % 2 == 0, F.lit("topcv")).otherwise(F.lit("joboko"))
+    url = F.concat(F.lit("https://www."), site, F.lit(".vn/list/all/page.html?p="), k)
+    html = F.concat(
+        F.lit('<A HREF="/viec-lam/a-'), k, F.lit(".html?x=1&amp;y=2\">a</A>"),
+        F.lit("<a class='b' href='../viec-lam/b-"), k, F.lit("'>b</a>"),
+        F.lit('<a href="/viec-lam/c" data-href="/viec-lam/no">c</a><a data-href="/viec-lam/no">d</a>'),
+        F.lit("<a title='a > b' href=./viec-lam-"), k, F.lit(">e</a><a href=\"/about\">f</a>"),
+        F.lit('<a href=" /viec-lam/a-'), k, F.lit('.html?x=1&#38;y=2 ">again</a><a href="/vacancies/'), k, F.lit('">g</a>'),
+        F.lit("<abbr href='/viec-lam/no'>h</abbr>"),
+    )
+    return base.select("o_orderkey", site.alias("site"), url.alias("url"), html.alias("html"))
+
+
 def job_link_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pos, url): listing links as a crawler would collect them — every page
     URL of the ``pages`` table plus two detail-page links per order (a plain

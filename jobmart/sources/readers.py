@@ -4,9 +4,8 @@
   is an extra full scan, and one stray value flips a column's type.
 * Landed JSON is JSON Lines (splittable); legacy whole-file arrays are read
   with ``multiLine`` into one VARIANT per file and unnested.
-* The latest day is chosen from the partition directory names (a listing
-  bounded by the number of days), then read with a partition filter so
-  only that day's files are opened.
+* The latest day is chosen from the paths of the landed files (the listing that Spark
+  makes for the read anyway), then only that day's files are opened.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.functions.variant import unnest_documents
@@ -23,9 +22,13 @@ from jobmart.functions.variant import unnest_documents
 def normalize_path(path: str) -> tuple[str, str]:
     """S3: map ``s3://`` to ``s3a://`` and pick the format by suffix
     (``.parquet`` -> parquet, else JSON). Unlike the original script, a
-    ``.parquet`` path is read as parquet."""
+    ``.parquet`` path is read as parquet. A scheme that Spark's file systems do not
+    serve is an error."""
     if path.startswith("s3://"):
         path = "s3a://" + path[len("s3://"):]
+    scheme = path.split("://", 1)[0].lower() if "://" in path else ""
+    if scheme in ("http", "https", "ftp", "mongodb", "jdbc"):
+        raise ValueError(f"can't read {scheme}:// paths; land the files in a file system or object store")
     fmt = "parquet" if re.search(r"\.parquet/?$", path) else "json"
     return path, fmt
 
@@ -48,32 +51,53 @@ def read_array_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(unnest_documents(F.col("file")).alias("doc"))
 
 
-def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
-    """Values of ``column=<value>`` sub-directories directly under ``root``."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
-        return []
-    prefix = f"{column}="
-    return [
-        st.getPath().getName()[len(prefix):]
-        for st in fs.listStatus(hadoop_path)
-        if st.isDirectory() and st.getPath().getName().startswith(prefix)
-    ]
-
-
-def latest_partition(spark: SparkSession, root: str, column: str = "dt") -> str:
-    """The newest ``dt=YYYY-MM-DD`` partition (date order); error when
-    there is none."""
-    values = partition_values(spark, root, column)
-    if not values:
-        raise RuntimeError(f"no {column}= partitions under {root}")
-    return max(values, key=lambda v: dt.date.fromisoformat(v)).__str__()
-
-
-def read_latest(spark: SparkSession, root: str, schema: str, column: str = "dt") -> DataFrame:
-    """S1+S2: read only the latest day's partition (pruned at planning)."""
-    day = latest_partition(spark, root, column)
-    df = spark.read.schema(schema).json(root)
-    return df.where(F.col(column) == F.lit(day).cast("date"))
+_DAY_IN_PATH = (re.compile(r"/dt=(\d{4}-\d{2}-\d{2})/"), re.compile(r"/(\d{4})/(\d{2})/(\d{2})/"))
+
+
+def day_of(path: str) -> dt.date | None:
+    """The day in a landed file's path: ``dt=<day>`` at any level, or ``/Y/m/d/``;
+    null for a file without a (valid) day, such as the default partition's."""
+    for pattern in _DAY_IN_PATH:
+        found = pattern.search(path)
+        if found:
+            try:
+                return dt.date.fromisoformat("-".join(found.groups()))
+            except ValueError:
+                return None
+    return None
+
+
+def latest_files(spark: SparkSession, root: str) -> tuple[dt.date, list[str]]:
+    """The newest day below ``root`` and the folders that hold its files."""
+    listed = spark.read.option("recursiveFileLookup", True).format("text").load(normalize_path(root)[0]).inputFiles()
+    days = {f: d for f in listed if (d := day_of(f)) is not None}
+    if not days:
+        raise RuntimeError(f"no day folders under {root}")
+    newest = max(days.values())
+    return newest, sorted({f.rsplit("/", 1)[0] for f, d in days.items() if d == newest})
+
+
+def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """S1+S2: read only the latest day's files (``dt=`` below any other level, or Y/m/d)."""
+    root, _ = normalize_path(root)
+    _, folders = latest_files(spark, root)
+    return spark.read.schema(schema).option("basePath", root).json(folders)
+
+
+def extended_text(v: Column, field: str) -> Column:
+    """An id field of a document: ``{"$oid": text}`` or a plain value, as text."""
+    return F.coalesce(
+        F.try_variant_get(v, f"$.{field}['$oid']", "string"),
+        F.when(~F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant")).startswith("OBJECT"),
+               F.try_variant_get(v, f"$.{field}", "string")),
+    )
+
+
+def extended_time(v: Column, field: str) -> Column:
+    """A time field: ``{"$date": ISO text or epoch milliseconds}`` or ISO text, as a timestamp."""
+    path = f"$.{field}['$date']"
+    millis = F.coalesce(
+        F.try_variant_get(v, f"{path}['$numberLong']", "bigint"), F.try_variant_get(v, path, "bigint")
+    )
+    text = F.coalesce(F.try_variant_get(v, path, "string"), F.try_variant_get(v, f"$.{field}", "string"))
+    return F.coalesce(F.timestamp_millis(millis), F.try_to_timestamp(text))

@@ -57,10 +57,24 @@ def write_landing(df: DataFrame, path: str, partition_by: list[str], ts_format:
     )
 
 
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def to_json_doc(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One JSON document per row (ISO timestamps, ids as text, non-ASCII kept)."""
     cols = columns or df.columns
-    return df.select(F.to_json(F.struct(*cols), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("doc"))
+    options = {"timestampFormat": _ISO, "timestampNTZFormat": _ISO}
+    return df.select(F.to_json(F.struct(*cols), options).alias("doc"))
+
+
+def write_array_files(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """K3 in the legacy form: per partition and task one file holding one JSON array of
+    the column ``doc`` (documents as JSON text)."""
+    arrays = df.groupBy(*partition_by, F.spark_partition_id().alias("_task")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ",\n"), F.lit("]")).alias("value")
+    )
+    # A row is a whole file, so no two rows of a folder may share one.
+    arrays.drop("_task").write.mode("append").option("maxRecordsPerFile", 1).partitionBy(*partition_by).text(path)
 
 
 def save_model(model, path: str) -> None:

@@ -1,145 +1,66 @@
 """Streaming forms of the per-key merges (K7, K5) and incremental landing.
 
-Structured Streaming replaces the document store's per-document upsert:
-
-* ``first_wins_stream`` (K7, ``$setOnInsert``): state keeps one marker per
-  key; a key's first micro-batch emits its oldest version, later versions
-  are ignored. Append mode, so any file sink works.
-* ``last_wins_stream`` (K5): state keeps the newest version per key; a row is
-  appended only when it beats that version, so stale or replayed versions
-  are dropped. Readers compact the append log with ``latest_per_key``.
-* ``landing_stream`` (S6/K8): the file source's checkpoint records which
-  input files were processed, so a re-run lands only new files — the
-  streaming equivalent of the ``synced`` flag.
-
-The per-key functions receive a key's rows as an iterator of Arrow batches
-(``spark.sql.execution.arrow.maxRecordsPerBatch`` rows each), so a hot key
-is scanned chunk by chunk and never materialised whole; state is one small
-record per key. ``maxFilesPerTrigger`` bounds each micro-batch.
+A stream needs no per-key state for these merges: ``version_log`` appends every
+version with the time of its micro-batch to a log, exactly once per input file, and
+readers compact the log with the batch operators, which aggregate before the shuffle:
+
+* ``first_arrival`` (K7, ``$setOnInsert``): the version of the earliest micro-batch of
+  the key, the oldest one within it. This is what arrived first, which differs from
+  the oldest version where a late file brings older rows.
+* ``latest_per_key`` (K5) from ``jobmart.operators.upsert``: the newest version.
+
+The file source's checkpoint records which input files were processed, so a re-run
+with the same checkpoint adds nothing but new files (``landing_stream``: the streaming
+equivalent of the ``synced`` flag).
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType
-
-# The per-key state functions run in Python workers. Pickle this module's
-# functions by value so executors need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _best_row(pdfs: Iterator[pd.DataFrame], order_cols: list[str], newest: bool) -> pd.DataFrame | None:
-    best = None
-    for pdf in pdfs:
-        if pdf.empty:
-            continue
-        ordered = pdf.sort_values(order_cols, ascending=not newest, kind="mergesort")
-        cand = ordered.iloc[:1]
-        if best is None:
-            best = cand
-            continue
-        a = tuple(cand[order_cols].iloc[0])
-        b = tuple(best[order_cols].iloc[0])
-        if (a > b) if newest else (a < b):
-            best = cand
-    return best
-
-
-def _version_key(row: pd.DataFrame, order_cols: list[str]) -> tuple[int, ...]:
-    """Version as integers (timestamps in microseconds) for the state record."""
-    out = []
-    for c in order_cols:
-        v = row[c].iloc[0]
-        out.append(int(v.value // 1000) if isinstance(v, pd.Timestamp) else int(v))
-    return tuple(out)
-
-
-def _first_wins_fn(order_cols: list[str]):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            for _ in pdfs:  # key already inserted: later versions never change it
-                pass
-            return
-        best = _best_row(pdfs, order_cols, newest=False)
-        if best is not None:
-            state.update((1,))
-            yield best
-
-    return fn
-
-
-def _last_wins_fn(order_cols: list[str]):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = _best_row(pdfs, order_cols, newest=True)
-        if best is None:
-            return
-        version = _version_key(best, order_cols)
-        if state.exists and tuple(state.get) >= version:
-            return  # stale or replayed version
-        state.update(version)
-        yield best
-
-    return fn
-
-
-def _stateful(df: DataFrame, keys: list[str], order_cols: list[str], first: bool) -> DataFrame:
-    if first:
-        state = StructType([StructField("inserted", LongType())])
-        fn = _first_wins_fn(order_cols)
-    else:
-        state = StructType([StructField(f"v_{c}", LongType()) for c in order_cols])
-        fn = _last_wins_fn(order_cols)
-    return df.groupBy(*keys).applyInPandasWithState(
-        fn, df.schema, state, "append", GroupStateTimeout.NoTimeout
-    )
 
+from jobmart.operators.upsert import first_per_key
 
-def first_wins_stream(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """K7 on a streaming frame: each key's first version, emitted once."""
-    return _stateful(df, keys, order_cols, first=True)
+ARRIVED = "_arrived"
 
 
-def last_wins_stream(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """K5 on a streaming frame: an append log of versions that beat the key's state."""
-    return _stateful(df, keys, order_cols, first=False)
+def file_stream(spark: SparkSession, directory: str, schema: str, glob: str | None = None,
+                max_files: int | None = None) -> DataFrame:
+    """Parquet file source; new files under ``directory`` are picked up by later runs
+    with the same checkpoint. ``max_files`` bounds a micro-batch (default: no bound)."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.parquet(directory)
 
 
 def run_available(df: DataFrame, out_path: str, checkpoint: str, partition_by: list[str] | None = None,
-                  fmt: str = "parquet", timeout_s: int = 900,
-                  options: dict[str, str] | None = None) -> StreamingQuery:
-    """Process everything available now into a file sink, exactly once per
-    input file (checkpointed), then stop."""
+                  fmt: str = "parquet", options: dict[str, str] | None = None) -> StreamingQuery:
+    """Process everything available now into a file sink, exactly once per input file
+    (checkpointed), and wait for the end, however long it takes."""
     writer = df.writeStream.format(fmt).option("path", out_path).option("checkpointLocation", checkpoint)
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream did not finish in {timeout_s}s: {out_path}")
+    query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return query
 
 
-def file_stream(spark: SparkSession, directory: str, schema: str, glob: str | None = None,
-                max_files: int = 1) -> DataFrame:
-    """Parquet file source; new files under ``directory`` are picked up by
-    later runs with the same checkpoint."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(directory)
+def version_log(versions: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Append the versions available now, with their time of arrival, to the log."""
+    return run_available(versions.withColumn(ARRIVED, F.current_timestamp()), log_path, checkpoint)
+
+
+def first_arrival(log: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+    """K7 over a version log: per key the version that arrived first."""
+    return first_per_key(log, keys, [ARRIVED, *order_cols]).drop(ARRIVED)
 
 
 def landing_stream(docs: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from jobmart.functions import dom
 from jobmart.functions.variant import get
 from jobmart.operators import pages as P
 
@@ -87,3 +88,27 @@ def test_first_seen_links(spark):
     df = spark.createDataFrame(rows, "pos int, url string")
     got = sorted((r.link, r.first_pos) for r in P.first_seen_links(df).collect())
     assert got == [("https://vn.joboko.com/viec-lam-a-xvi1", 1), ("https://vn.joboko.com/viec-lam-a-xvi1?u=1", 2)]
+
+
+def test_dom_nesting_tokens_descendants_and_entities():
+    html = (
+        '<div class="text-left job-desc-header">no</div><div class="text-left job-desc">one<div>two</div>three</div>'
+        '<div class="nw-company-hero__text">Caf&eacute; &#38; Co</div><a href="/l">Login</a><H1>T<br>x</H1>'
+        "<p class='job-base-infos text-left'>1 &lt; 2"
+    )
+    names = [*P.S.DOM_TEXT_SELECTORS, *P.S.DOM_HTML_SELECTORS]
+    got = dict(zip(names, dom.fields_of(html), strict=True))
+    assert got["description_html"] == "one<div>two</div>three"
+    assert got["company"] == "Café & Co" and got["title"] == "Tx" and got["salary"] == "1 < 2"
+    assert dom.fields_of(None) == dom.fields_of("") == ("",) * 7
+
+
+def test_link_forms(spark):
+    html = (
+        "<A HREF='../x'>1</A><a data-href=\"/no\" href=\"/y?a=1&amp;b=2\">2</a><a title='>' href=z>3</a>"
+        "<a data-href='/no'>4</a><link href='/no'>"
+    )
+    pages = spark.createDataFrame([(1, "https://h.vn/a/b/c", html)], "page_id int, url string, html string")
+    assert [r.link for r in P.extract_links(pages).collect()] == [
+        "https://h.vn/a/x", "https://h.vn/y?a=1&b=2", "https://h.vn/a/b/z",
+    ]

@@ -75,3 +75,32 @@ def test_unsynced_and_paths(spark):
     key = L.doc_key(F.col("jobId"), F.col("oid"))
     paths = [r[0] for r in df.select(L.landing_path(L.doc_source(F.col("source")), ts, key)).collect()]
     assert paths == ["unknown/2024/03/05/1.json", "S/2024/02/01/a.json", "S/2024/02/01/3.json"]
+
+
+def test_cap_with_null_and_equal_order_values(spark):
+    df = _rows(spark, [(1, None, 3, None, None), (1, None, 1, None, None), (1, T0, 2, None, None), (1, T0, 4, None, None)])
+    out = L.cap_per_batch(df, "k", ["ts"], "v", cap=3)
+    assert {r.v: r["rank"] for r in out.collect()} == {1: 1, 3: 2, 2: 3, 4: None}
+
+
+def test_null_keys_are_rejects(spark):
+    df = _rows(spark, [(None, T0, 1, "x", None), (None, T0, 2, "y", None), (1, T0, 3, "z", None)])
+    kept, rejects = U.split_keys(df, ["k"])
+    assert (kept.count(), rejects.count()) == (1, 2)
+    assert U.latest_per_key(df, ["k"], ["ts", "v"]).count() == 1
+    assert [r.k for r in U.merge_fields(df, df, ["k"], ["ts", "v"], ["a"]).collect()] == [1]
+    r = U.upsert_counts(df.limit(0), df, ["k"]).first()
+    assert (r.batch_rows, r.batch_keys, r.inserted, r.rejected) == (1, 1, 1, 2)
+
+
+def test_merge_resets_the_flag_of_batch_keys_only(spark):
+    flagged = _rows(spark, [(1, T0, 1, "x", "p"), (2, T0, 2, "y", "q")]).withColumn(U.FLAG, F.lit(True))
+    batch = _rows(spark, [(1, T0 + dt.timedelta(1), 3, "z", None), (3, T0, 4, "n", None)])
+    got = {r.k: r[U.FLAG] for r in U.merge_fields(flagged, batch, ["k"], ["ts", "v"], ["a"]).collect()}
+    assert got == {1: False, 2: True, 3: False}
+
+
+def test_ledger_and_objects(spark):
+    docs = _rows(spark, [(1, T0, 1, "s", None), (1, T0, 2, "s", None), (2, T0, 3, "s", None), (None, T0, 4, "s", None)])
+    assert sorted(r.v for r in L.not_landed(docs.where("k is not null"), docs.where("k = 1"), ["k"]).collect()) == [3]
+    assert sorted(r.v for r in L.one_per_object(docs, ["a", "k"], ["ts", "v"]).collect()) == [2, 3]
