@@ -101,7 +101,6 @@ def _entries(codes: DataFrame) -> DataFrame:
     under those that differ in one bit."""
     tables = F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("tbl")
     rows = codes.select("*", tables)
-    own = F.shiftrightunsigned("code", 0)
     sub = F.expr(f"shiftrightunsigned(code, tbl * {WIDTH}) & {(1 << WIDTH) - 1}L")
     rows = rows.withColumn("sub", sub)
     flips = F.array(F.lit(0).cast("long"), *(F.lit(1 << k).cast("long") for k in range(WIDTH)))
@@ -248,8 +247,8 @@ ORACLE = """
 WITH v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 l AS MATERIALIZED (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id

@@ -344,7 +344,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH words AS (
-  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\r\f\v]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\r\f\v]+'), lambda x: x <> '') AS w FROM documents
 ), parts AS (
   SELECT DISTINCT doc_id, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS s
   FROM words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0

@@ -181,13 +181,14 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _of_order(order: int):
+    return lambda s: s["ord"] == order
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text of ``documents``."""
     found = scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [
-        F.size(F.filter("spans", lambda s, i=i: s["ord"] == i)).cast("long").alias(f"n_{r.kind}")
-        for i, r in enumerate(BASE)
-    ]
+    counts = [F.array_size(F.filter("spans", _of_order(i))).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
     base = F.filter("spans", lambda s: s["ord"] < len(BASE))
     return found.select(
         "doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans")
@@ -214,8 +215,8 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
 r AS ({' UNION ALL '.join(parts)}),
 e AS (
   SELECT doc_id, ord, kind, least, length(v[i]) AS vl, length(m[i]) AS l,
-    CAST(list_sum(list_transform(g[1:i], q -> length(q))) AS BIGINT)
-      + coalesce(CAST(list_sum(list_transform(m[1:i-1], q -> length(q))) AS BIGINT), 0) AS s
+    CAST(list_sum(list_transform(g[1:i], lambda q: length(q))) AS BIGINT)
+      + coalesce(CAST(list_sum(list_transform(m[1:i-1], lambda q: length(q))) AS BIGINT), 0) AS s
   FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM r)
 ),
 k AS (SELECT * FROM e WHERE vl >= least),
