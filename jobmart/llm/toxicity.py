@@ -7,8 +7,8 @@
    the likeliest reading (``Restorer``). A token made of letters alone, without runs of
    three, has one path only, which is itself, so only the others are decoded.
 3. Words and word beginnings of the restored texts that mark toxic documents become a
-   lexicon (document counts by label, smoothed log odds with a significance limit),
-   and a logistic model over what a text has of it gives the score.
+   lexicon (counts of distinct texts by label, a likelihood-ratio test), and a logistic
+   model over what a text has of it gives the score.
 
 Labels come from rows whose crc32(doc_id) mod 5 is not 0 only: the lexicon from
 remainders 1 to 3, the logistic model from remainder 4; at most ``MAX_LABELLED``
@@ -40,7 +40,8 @@ MAX_LABELLED = 200_000
 MAX_LEXICON = 20_000
 MAX_CANDIDATES = 200_000
 MIN_DOCS = 3
-MIN_SIGMAS = 3.5
+# A lexicon entry's significance and enrichment at least.
+MIN_SIGMAS, MIN_ENRICHMENT = 4.5, 4.0
 PREFIXES = (4, 5, 6, 7)
 
 # Fixed values of the channel: what a character may stand for.
@@ -217,7 +218,7 @@ def _count_negative(model, candidates: frozenset):
 
 
 def lexicon(model, positive: DataFrame, negative: DataFrame) -> dict[bytes, float]:
-    """Features that mark positive texts, with their log odds."""
+    """Features that mark positive texts, with their weights."""
     n_pos, n_neg = positive.count(), negative.count()
     if not n_pos:
         return {}
@@ -237,17 +238,39 @@ def lexicon(model, positive: DataFrame, negative: DataFrame) -> dict[bytes, floa
     names = sorted(pos)
     p = np.array([pos[f] for f in names], dtype=float)
     q = np.array([neg.get(f, 0) for f in names], dtype=float)
-    odds = np.log((p + 0.5) / (n_pos - p + 1)) - np.log((q + 0.5) / (n_neg - q + 1))
-    spread = np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5))
-    # Rare features in no negative text count for less the fewer negative texts there are.
-    sure = odds - 1.5 * spread
-    keep = np.flatnonzero((odds / spread >= MIN_SIGMAS) & (sure > 0.5))
-    keep = keep[np.argsort(-sure[keep], kind="stable")][:MAX_LEXICON]
-    return {names[i]: float(sure[i]) for i in keep}
+    rate = n_pos / (n_pos + n_neg)
+    p_left, q_left, found = dict(zip(names, p, strict=True)), dict(zip(names, q, strict=True)), {}
+    # From whole words to ever shorter beginnings: a beginning must mean something
+    # beside the one longer entry that it holds most often.
+    taken: dict[bytes, tuple[float, float]] = {}
+    for f in sorted(names, key=lambda f: (f[:1] != b" ", -len(f))):
+        child = taken.get(f, (0.0, 0.0)) if f[:1] != b" " else (0.0, 0.0)
+        own_p, own_q = p_left[f], q_left[f]
+        if not _marks(own_p - child[0], max(own_q - child[1], 0.0), rate) or not _marks(own_p, own_q, rate):
+            continue
+        odds = np.log((own_p + 0.5) / (n_pos - own_p + 1)) - np.log((own_q + 0.5) / (n_neg - own_q + 1))
+        found[f] = float(odds - np.sqrt(1 / (own_p + 0.5) + 1 / (own_q + 0.5)))
+        word = f.removeprefix(b" ")
+        for k in PREFIXES:
+            if k < len(word) and own_p > taken.get(word[:k], (0.0, 0.0))[0]:
+                taken[word[:k]] = (own_p, own_q)
+    best = sorted(found, key=lambda f: (-found[f], f))[:MAX_LEXICON]
+    return {f: found[f] for f in best if found[f] > 0}
+
+
+def _marks(p: float, q: float, rate: float) -> bool:
+    """Whether p positive and q negative texts differ enough from the share ``rate``:
+    signed root of the likelihood ratio, and enrichment."""
+    n = p + q
+    if p <= 0 or p <= n * rate or rate >= 1:
+        return False
+    ratio = p * np.log(p / (n * rate)) + (q * np.log(q / (n * (1 - rate))) if q else 0.0)
+    return 2 * ratio >= MIN_SIGMAS**2 and (p / rate) / ((q + 0.5) / (1 - rate)) >= MIN_ENRICHMENT
 
 
 class Scorer:
-    """Lexicon evidence of a text: the strongest word, and all words together."""
+    """Lexicon evidence of a text: the strongest word, all words together, and how many
+    words there are."""
 
     def __init__(self, weights: dict[bytes, float], cache: int = 500_000):
         self.whole = {f[1:]: w for f, w in weights.items() if f[:1] == b" "}
@@ -264,7 +287,7 @@ class Scorer:
             self.memo[word] = found
         return found
 
-    def evidence(self, words: set[bytes]) -> tuple[float, float]:
+    def evidence(self, words: set[bytes]) -> tuple[float, float, float]:
         memo, total, best = self.memo, 0.0, 0.0
         for w in words:
             x = memo.get(w)
@@ -273,7 +296,8 @@ class Scorer:
             if x:
                 total += x
                 best = max(best, x)
-        return best, float(np.log1p(total))
+        # Without evidence the length says nothing.
+        return best, float(np.log1p(total)), float(np.log1p(len(words))) if best else 0.0
 
 
 def _evidence(model, weights):
@@ -282,7 +306,7 @@ def _evidence(model, weights):
 
         def find(texts: list[str]):
             found = [scorer.evidence(w) for w in words_of(texts, restorer)]
-            return np.array(found, dtype=float).reshape(-1, 2).T
+            return np.array(found, dtype=float).reshape(-1, 3).T
 
         return find
 
@@ -290,14 +314,13 @@ def _evidence(model, weights):
 
 
 def _score(model, weights, coefficients):
-    a, b, c = coefficients
+    start, *slopes = coefficients
 
     def make():
         find = _evidence(model, weights)()
 
         def score(texts: list[str]):
-            best, total = find(texts)
-            return (1 / (1 + np.exp(-(a + b * best + c * total))),)
+            return (1 / (1 + np.exp(-(start + np.array(slopes) @ find(texts)))),)
 
         return score
 
@@ -342,18 +365,21 @@ def train(docs: DataFrame, labels: DataFrame) -> Detector:
     if share < 1:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     # At most MAX_LABELLED rows of 12 bytes: a bounded broadcast keeps the texts where they are.
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").withColumn("part", allowed)
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # Copies teach once: of equal texts with one label the smallest id.
+    once = rows.groupBy(F.xxhash64("text"), "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
+    rows = docs.select("doc_id", "text").join(F.broadcast(once), "doc_id").withColumn("part", allowed)
     words = rows.where(F.col("part") != FIT_FOLD)
     weights = lexicon(model, words.where("toxic = 1"), words.where("toxic = 0"))
     if not weights:
         return Detector(model, {}, None)
     fit_rows = rows.where(F.col("part") == FIT_FOLD)
-    added = {"_best": "double", "_all": "double"}
+    added = {"_best": "double", "_all": "double", "_size": "double"}
     found = mapped(fit_rows, "text", ["toxic"], added, _evidence(model, weights)).toPandas()
     if not len(found):
-        return Detector(model, weights, (-3.0, 1.0, 0.0))
+        return Detector(model, weights, (-3.0, 1.0, 0.0, 0.0))
     return Detector(
-        model, weights, logistic(found[["_best", "_all"]].to_numpy(), found["toxic"].to_numpy().astype(float))
+        model, weights, logistic(found[list(added)].to_numpy(), found["toxic"].to_numpy().astype(float))
     )
 
 
