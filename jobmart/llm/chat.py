@@ -219,10 +219,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``conversations``, and one made of control strings, formatted and read back."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
-    more = spark.range(1).select(
-        F.explode(F.array(
-            F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit(hard).alias("text")),
-            F.struct(F.lit(-1).cast("long"), F.lit(1).cast("long"), F.lit("assistant"), F.lit(hard)),
-        )).alias("r")
-    ).select("r.*")
+    more = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(hard).alias("text"),
+    )
     return digests(format_turns(turns.union(more)))
