@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -56,7 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/jobmart-che
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster[...] has executors of its own, which a local folder does not reach.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store)")
         spark.conf.set("spark.checkpoint.dir", fallback)
     directory = configured or fallback
@@ -65,10 +67,26 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/jobmart-che
     return directory
 
 
+_made: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one run's outputs."""
+    """A fresh sub-folder of the shared checkpoint folder for one run's outputs; it stays
+    until ``drop_shared``, as results may still read it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/jobmart/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(f"{base}/jobmart/{name}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+def drop_shared(spark: SparkSession) -> int:
+    """Delete the folders that ``shared_dir`` gave out in this process, once no result
+    that reads them is needed; returns how many there were."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        found += path.getFileSystem(conf).delete(path, True)
+    return found
 
 
 def table_path(sf_dir: str, name: str) -> str:
