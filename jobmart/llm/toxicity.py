@@ -143,7 +143,7 @@ _SPACED = bytes(32 if c != 97 else b for b, c in enumerate(_CLASS))
 
 def suspicious(joined: bytes) -> list[tuple[int, int]]:
     """Byte spans of the tokens (white space to white space) whose lattice has more
-    than one path, and of runs of three or more single letters."""
+    than one path, and of runs of three or more single letters (or what stands for one)."""
     kind = np.frombuffer(joined.translate(_CLASS), dtype=np.uint8)
     byte = np.frombuffer(joined, dtype=np.uint8)
     letter, space = kind == 97, kind == 32
@@ -155,7 +155,8 @@ def suspicious(joined: bytes) -> list[tuple[int, int]]:
     edges = np.concatenate([[-1], np.flatnonzero(space), [len(kind)]])
     at = np.unique(np.searchsorted(edges, np.flatnonzero(flag)))
     spans = {(int(edges[k - 1]) + 1, int(edges[k])) for k in at}
-    single = np.flatnonzero((np.diff(edges) == 2) & letter[np.minimum(edges[:-1] + 1, len(kind) - 1)])
+    alone = letter | np.isin(byte, np.frombuffer(b"0123456789@$!|", dtype=np.uint8))
+    single = np.flatnonzero((np.diff(edges) == 2) & alone[np.minimum(edges[:-1] + 1, len(kind) - 1)])
     if len(single):
         for run in np.split(single, np.flatnonzero(np.diff(single) != 1) + 1):
             if len(run) >= 3:
@@ -174,7 +175,10 @@ def words_of(texts: list[str], restorer: Restorer) -> Iterator[set[bytes]]:
             doc = int(np.searchsorted(starts, first, "right")) - 1
             token = "".join(joined[first:last].decode(errors="replace").split())
             token = _DECORATION.sub("", _EDGES.sub("", token))
-            if any(not c.isalpha() for c in token) or re.search(r"(.)\1\1", token):
+            letters = sum(c.isalpha() for c in token)
+            if not letters:
+                continue
+            if letters < len(token) or re.search(r"(.)\1\1", token):
                 token = restorer.restore(token)
             if token:
                 extra.setdefault(doc, []).append(token.encode())

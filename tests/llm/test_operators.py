@@ -103,9 +103,11 @@ def test_restores_obfuscated_words(spark):
     for raw, clean in [
         ("1d10t", b"idiot"), ("$tupid", b"stupid"), ("s t u p i d", b"stupid"), ("s.t.u.p.i.d", b"stupid"),
         ("stuuuupid", b"stupid"), ("st*pid", b"stupid"), ("ID1OT!!!", b"idiot"), ("i-d-i-o-t", b"idiot"),
+        ("i d 1 0 t", b"idiot"),
     ]:
         found = next(toxicity.words_of([f"the {raw} table"], restorer))
         assert clean in found, raw
+    assert next(toxicity.words_of(["1 2 3 4 the 12 river"], restorer)) == {b"the", b"river"}
     assert next(toxicity.words_of(["the river, à table"], restorer)) == {b"the", b"river", "à".encode(), b"table"}
 
 
