@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from jobmart.llm.common import mapped, read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-MAX_MEMO = 300_000
-MAX_PAIRS = 1_000_000
+MAX_MEMO = 200_000
+MAX_PAIRS = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
