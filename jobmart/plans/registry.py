@@ -534,6 +534,19 @@ def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_raw(spark, root, _EVENT_DDL).select(*_EVENT_COLS)
 
 
+@register("land_collections")
+def q_land_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three collections landed twice, beside one that fails; then read together."""
+    root = shared_dir(spark, "collections")
+    ev = _with_day(_events(spark, sf_dir)).withColumnRenamed("day", "dt")
+    collections = {f"raw_{k}": ev.where(F.col("event_id") % 3 == k) for k in range(3)}
+    broken = ev.withColumn("value", F.raise_error(F.lit("unreadable document")).cast("double"))
+    for _ in range(2):
+        errors = sinks.land_collections({"raw_broken": broken, **collections}, root, ["dt"])
+    landed = [name for name, error in errors.items() if error is None]
+    return readers.read_collections(spark, root, landed, _EVENT_DDL).select("collection", *_EVENT_COLS)
+
+
 @register("parquet_roundtrip")
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 then S4: jobs_fact written as snappy parquet and read back."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,14 @@ def read_raw(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return spark.read.option("singleVariantColumn", "doc").json(path)
 
 
+def read_collections(spark: SparkSession, root: str, names: list[str], schema: str) -> DataFrame:
+    """The landed collections ``names`` below ``root``, each row with its collection."""
+    parts = [
+        read_raw(spark, f"{root}/{name}", schema).withColumn("collection", F.lit(name)) for name in names
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_array_files(spark: SparkSession, path: str) -> DataFrame:
     """S1 for legacy snapshot files: each file holds one JSON array (or one
     object). Multi-line JSON is not splittable, so each file is one task;

@@ -57,6 +57,28 @@ def write_landing(df: DataFrame, path: str, partition_by: list[str], ts_format:
     )
 
 
+def land_collections(collections: dict[str, DataFrame], root: str, partition_by: list[str]) -> dict[str, str | None]:
+    """K3: each collection's snapshot below ``root/<name>``; one that fails is logged and
+    the others still land. A snapshot replaces the partitions it has rows for, so a retry
+    lands nothing twice. Returns each collection's error (None: landed)."""
+    errors: dict[str, str | None] = {}
+    for name, df in collections.items():
+        try:
+            (
+                df.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("timestampFormat", _ISO)
+                .option("timestampNTZFormat", _ISO)
+                .partitionBy(*partition_by)
+                .json(f"{root}/{name}")
+            )
+            errors[name] = None
+        except Exception as error:  # the other collections must land
+            LOG.exception("collection %s did not land", name)
+            errors[name] = str(error)
+    return errors
+
+
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
