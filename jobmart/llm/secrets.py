@@ -159,12 +159,17 @@ def _spans(rule: Rule, order: int) -> Column:
     return F.aggregate(each, start, step, lambda acc: acc["spans"])
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc_id, spans): all spans of every document of ``docs`` (doc_id, text), sorted
-    by start, then by the rules' order."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = candidates(rows, rules).hint("shuffle_hash")
-    rows = rows.select("doc_id", "text", *_keys()).join(found, ["_k1", "_k2"], "left")
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (doc_id by default) and ``_spans``: all spans of the
+    column text, sorted by start, then by the rules' order."""
+    keep = ["doc_id"] if keep is None else keep
+    found = candidates(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), rules)
+    # The names of the kept columns may clash with those made here: they travel in a struct,
+    # the text, which is shuffled once, with them.
+    kept = F.struct(*keep, *([] if "text" in keep else ["text"])).alias("_kept")
+    rows = docs.select(kept, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("_kept", *_keys()).join(found.hint("shuffle_hash"), ["_k1", "_k2"], "left")
+    rows = rows.select("_kept", "_rules", F.coalesce(F.col("_kept")["text"], F.lit("")).alias("text"))
     none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
     each = []
     for i, rule in enumerate(rules):
@@ -174,7 +179,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         else:
             hit = F.coalesce(F.col("_rules").bitwiseAND(F.lit(1 << i)) != 0, F.lit(False))
         each.append(F.when(hit, _spans(rule, i)).otherwise(none))
-    return rows.select("doc_id", F.array_sort(F.concat(*each)).alias("spans"))
+    spans = F.array_sort(F.concat(*each)).alias("_spans")
+    return rows.select(*(F.col("_kept")[c].alias(c) for c in keep), spans)
 
 
 def _listed(spans: Column) -> Column:
@@ -188,6 +194,7 @@ def _of_order(order: int):
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text of ``documents``."""
     found = scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = found.withColumnRenamed("_spans", "spans")
     counts = [F.array_size(F.filter("spans", _of_order(i))).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
     base = F.filter("spans", lambda s: s["ord"] < len(BASE))
     return found.select(
@@ -233,11 +240,7 @@ FROM t LEFT JOIN a ON a.doc_id = t.doc_id
 def redact(docs: DataFrame) -> DataFrame:
     """Pipeline stage: the rows of ``docs`` with every span of a secret replaced by
     ``[kind]``; texts without any stay as they are, the number of characters follows."""
-    rows = docs.withColumns({"_k1": F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), "_k2": F.xxhash64("text")})
-    plain = rows.select(F.struct("_k1", "_k2").alias("doc_id"), "text")
-    found = scan(plain).where("size(spans) > 0").select("doc_id", "spans").dropDuplicates(["doc_id"])
-    found = found.select(F.col("doc_id._k1").alias("_k1"), F.col("doc_id._k2").alias("_k2"), F.col("spans").alias("_spans"))
-    rows = rows.join(found.hint("shuffle_hash"), ["_k1", "_k2"], "left")
+    rows = scan(docs, keep=docs.columns)
     kind = "struct<at:int,out:string>"
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(kind)
 
@@ -248,7 +251,7 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], shown).alias("out")).cast(kind)
 
     done = F.aggregate("_spans", start, step)
-    rows = rows.withColumn("_done", F.when(F.col("_spans").isNotNull(), done))
+    rows = rows.withColumn("_done", F.when(F.size("_spans") > 0, done))
     tail = F.expr("substring(text, _done.at + 1, greatest(char_length(text) - _done.at, 0))")
     text = F.when(F.col("_done").isNull(), F.col("text")).otherwise(F.concat(F.col("_done.out"), tail))
     rows = rows.withColumn("_text", text)

@@ -256,8 +256,8 @@ SECRET_TEXTS = [
 def test_secret_scan_against_search(spark):
     rows = list(enumerate(SECRET_TEXTS)) + [(0, SECRET_TEXTS[0]), (None, SECRET_TEXTS[1])]
     got = sorted(
-        (-1 if r["doc_id"] is None else r["doc_id"], [tuple(s) for s in r["spans"]])
-        for r in secrets.scan(documents(spark, rows).drop("spans")).collect()
+        (-1 if r["doc_id"] is None else r["doc_id"], [tuple(s) for s in r["_spans"]])
+        for r in secrets.scan(documents(spark, rows)).collect()
     )
     assert got == sorted((-1 if i is None else i, _base_spans(t or "")) for i, t in rows)
 
