@@ -38,7 +38,7 @@ FOLDS, HELD_OUT, FIT_FOLD = 5, 0, 4
 # Labelled rows that are learned from at most (chosen by a hash of the id).
 MAX_LABELLED = 200_000
 MAX_LEXICON = 20_000
-MAX_CANDIDATES = 200_000
+MAX_CANDIDATES = 100_000
 MIN_DOCS = 3
 # A lexicon entry's significance and enrichment at least.
 MIN_SIGMAS, MIN_ENRICHMENT = 4.5, 4.0
@@ -52,7 +52,7 @@ LEET = {
 MASKS = "*#%&?"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 LEET_COST, MASK_COST, DROP_COST, SHRINK_COST = 1.0, 3.0, 1.0, 0.5
-MAX_CACHE = 200_000
+MAX_CACHE = 100_000
 
 _EDGES = re.compile(r"^[\"'(\[{<«“]+|[\"')\]}>»”.,;:!?]+$")
 _DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
@@ -202,7 +202,7 @@ def _count_positive(model):
         for pdf in batches:
             for words in words_of(no_nulls(pdf["text"]), restorer):
                 sums.update(_features(words))
-            if len(sums) > 500_000:
+            if len(sums) > 200_000:
                 yield pd.DataFrame({"feature": list(sums.keys()), "n": list(sums.values())})
                 sums.clear()
         yield pd.DataFrame({"feature": list(sums.keys()), "n": list(sums.values())})
@@ -226,9 +226,12 @@ def lexicon(model, positive: DataFrame, negative: DataFrame) -> dict[bytes, floa
     n_pos, n_neg = positive.count(), negative.count()
     if not n_pos:
         return {}
+    # Fewer positive texts than this can't be significant, even with no negative one.
+    rate = n_pos / (n_pos + n_neg)
+    least = max(MIN_DOCS, int(np.ceil(MIN_SIGMAS**2 / (2 * np.log(1 / rate))))) if rate < 1 else MIN_DOCS
     counted = (
         positive.select("text").mapInPandas(_count_positive(model), "feature binary, n long")
-        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCS)
+        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         .orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES).toPandas()
     )
     pos = {bytes(f): n for f, n in zip(counted["feature"], counted["n"], strict=True)}
@@ -242,7 +245,6 @@ def lexicon(model, positive: DataFrame, negative: DataFrame) -> dict[bytes, floa
     names = sorted(pos)
     p = np.array([pos[f] for f in names], dtype=float)
     q = np.array([neg.get(f, 0) for f in names], dtype=float)
-    rate = n_pos / (n_pos + n_neg)
     p_left, q_left, found = dict(zip(names, p, strict=True)), dict(zip(names, q, strict=True)), {}
     # From whole words to ever shorter beginnings: a beginning must mean something
     # beside the one longer entry that it holds most often.
@@ -276,7 +278,7 @@ class Scorer:
     """Lexicon evidence of a text: the strongest word, all words together, and how many
     words there are."""
 
-    def __init__(self, weights: dict[bytes, float], cache: int = 500_000):
+    def __init__(self, weights: dict[bytes, float], cache: int = 200_000):
         self.whole = {f[1:]: w for f, w in weights.items() if f[:1] == b" "}
         self.starts = {f: w for f, w in weights.items() if f[:1] != b" "}
         self.memo: dict[bytes, float] = {}
