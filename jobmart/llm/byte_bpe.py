@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from jobmart.llm.common import mapped, read_table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-MAX_MEMO = 200_000
+MAX_MEMO = 400_000
 MAX_PAIRS = 200_000
 
 
@@ -86,7 +86,7 @@ class Codec:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.automaton = ahocorasick.Automaton()
         for rank in self.parts:
-            self.automaton.add_word(self.token[rank].decode("latin-1"), rank)
+            self.automaton.add_word(self.token[rank].decode("latin-1"), (rank, len(self.token[rank]) - 1))
         self.automaton.make_automaton()
 
     def compatible(self, left: int, right: int) -> bool:
@@ -125,13 +125,10 @@ class Codec:
         if whole is not None:
             return [whole]
         longest = [0] * len(piece)
-        length = [0] * len(piece)
         token = self.token
-        for end, rank in self.automaton.iter(piece.decode("latin-1")):
-            size = len(token[rank])
-            start = end - size + 1
-            if size > length[start]:
-                length[start], longest[start] = size, rank
+        # Matches come by their end, so the last one from a place is its longest.
+        for end, (rank, back) in self.automaton.iter(piece.decode("latin-1")):
+            longest[end - back] = rank
         out: list[int] = []
         closed = bytearray(len(piece) + 1)
         at, following = 0, longest[0]
@@ -175,12 +172,8 @@ class TextCodec:
         return ids
 
     def encode(self, text: str) -> list[int]:
-        pieces = self.split(text)
-        try:
-            return list(chain.from_iterable(map(self.memo.__getitem__, pieces)))
-        except KeyError:
-            get = self.memo.get
-            return list(chain.from_iterable([get(p) or self._piece(p) for p in pieces]))
+        get, piece = self.memo.get, self._piece
+        return list(chain.from_iterable([get(p) or piece(p) for p in self.split(text)]))
 
     def decode(self, ids: list[int]) -> bytes:
         return self.codec.decode(ids)
