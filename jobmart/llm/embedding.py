@@ -43,8 +43,9 @@ class Quantiser:
         rng = np.random.default_rng(7)
         dim = sample.shape[1]
         self.centre = sample.mean(0)
-        _, _, axes = np.linalg.svd(sample - self.centre, full_matrices=True)
-        axes = axes[: min(dim, BITS)].T
+        # Principal axes from the dim x dim scatter matrix: nothing grows with the sample.
+        _, axes = np.linalg.eigh((sample - self.centre).T @ (sample - self.centre))
+        axes = axes[:, ::-1][:, : min(dim, BITS)]
         flat = (sample - self.centre) @ axes
         turn, _ = np.linalg.qr(rng.standard_normal((axes.shape[1], axes.shape[1])))
         for _ in range(ROUNDS):
@@ -70,9 +71,9 @@ def learn(vectors: DataFrame) -> dict[int, Quantiser]:
         share = SAMPLE / row["count"]
         if share < 1:
             part = part.where(F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        sample = [r["vector"] for r in part.select("vector").collect()]
+        sample = part.select("vector").toArrow()["vector"].combine_chunks()
         if len(sample) > 1:
-            x = np.array(sample, dtype=np.float64)
+            x = sample.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(sample), -1)
             out[row["dim"]] = Quantiser(x / np.linalg.norm(x, axis=1, keepdims=True))
     return out
 
