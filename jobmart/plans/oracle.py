@@ -490,6 +490,9 @@ SELECT CASE WHEN event_id % 10 <> 0 THEN 'evt_' ELSE 'oid_' END || event_id AS d
 FROM events WHERE event_id % 3 <> 0
 """
 SQL["snapshot_roundtrip"] = f"SELECT {_EV} FROM events"
+SQL["json_documents"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS at, 'é ' || event_type AS note FROM events
+"""
 SQL["land_collections"] = f"SELECT 'raw_' || (event_id % 3) AS collection, {_EV} FROM events"
 SQL["parquet_roundtrip"] = SQL["jobs_fact"]
 SQL["csv_sample"] = SQL["jobs_fact"] + "\nORDER BY job_id LIMIT 200"

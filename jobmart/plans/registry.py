@@ -534,6 +534,18 @@ def q_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_raw(spark, root, _EVENT_DDL).select(*_EVENT_COLS)
 
 
+@register("json_documents")
+def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document per row, its fields read back as text."""
+    ev = _events(spark, sf_dir).withColumn("note", F.concat(F.lit("é "), F.col("event_type")))
+    docs = sinks.to_json_doc(ev, ["event_id", "ts", "note"])
+    parsed = docs.select(F.parse_json("doc").alias("d"))
+    return parsed.select(
+        vget(F.col("d"), "$.event_id", "bigint").alias("event_id"),
+        vget(F.col("d"), "$.ts", "string").alias("at"), vget(F.col("d"), "$.note", "string").alias("note"),
+    )
+
+
 @register("land_collections")
 def q_land_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three collections landed twice, beside one that fails; then read together."""

@@ -17,6 +17,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobmart.sources.sinks import save_model
+
 CATEGORIES = ("location", "level")
 LABEL = "salary_avg"
 NUM_TREES = 50
@@ -114,7 +116,7 @@ def train(fact: DataFrame, model_path: str, work_dir: str) -> tuple[PipelineMode
     if rows.where("is_train").isEmpty():
         return None, rows.withColumn("prediction", F.lit(None).cast("double"))
     model = fit(rows)
-    model.write().overwrite().save(model_path)
+    save_model(model, model_path)
     return model, model.transform(rows).drop("features")
 
 
