@@ -3,10 +3,9 @@
 Counting is one distributed pass: each task packs every character 4-gram into
 64 bits, counts them with a sort and emits partial sums; Spark adds them up.
 Lower orders need no further pass over the text: their Kneser-Ney counts are
-the numbers of distinct left contexts, which are aggregates over the 4-gram
-types. The model that reaches the tasks is bounded by ``max_types`` 4-grams
-(``prune``): rarer 4-grams give their mass to the lower order through the
-back-off weight, which is recomputed from what is kept.
+the numbers of distinct left contexts, which are counts over the 4-gram types.
+A model holds every type that was counted, whatever the size of its group, so the
+discounts come from whole counts; it grows with the number of distinct 4-grams.
 """
 
 from __future__ import annotations
@@ -23,8 +22,6 @@ from jobmart.llm.common import no_nulls, saved, text_steps
 
 ORDER = 4
 PAD, GAP = 1, 32
-# 4-gram types kept over all groups: 12 bytes each, 24 MB in a task.
-MAX_TYPES = 2_000_000
 FLUSH_TYPES = 1_000_000
 
 
@@ -125,31 +122,20 @@ def count_types(rows: DataFrame) -> DataFrame:
     return saved(parts.groupBy("grp", "code").agg(F.sum("n").alias("n")), "char-types")
 
 
-def _lower(types: DataFrame, bits: int) -> DataFrame:
-    """Distinct left contexts of each gram that remains in the low ``bits``."""
-    mask = (1 << bits) - 1
-    return types.groupBy("grp", F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(
-        F.count("*").alias("n")
-    )
-
-
-def prune(types: DataFrame, limit: int) -> DataFrame:
-    """Keep the most frequent types: the smallest power of two as a least count that
-    leaves at most ``limit`` of them (a distributed histogram decides)."""
-    counts = {
-        r["b"]: r["types"]
-        for r in types.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count("*").alias("types")).collect()
-    }
-    least = 0
-    while sum(v for b, v in counts.items() if b >= least) > limit:
-        least += 1
-    return types.where(F.col("n") >= 2**least) if least else types
+def _lower(keys: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of ``order`` symbols that end the (distinct) ``keys``, and how many
+    distinct left contexts each has."""
+    return np.unique(keys & np.uint64((1 << (16 * order)) - 1), return_counts=True)
 
 
 class CharModel:
     """Interpolated Kneser-Ney probabilities of one group, all as sorted arrays."""
 
-    def __init__(self, grams_by_order: dict[int, tuple[np.ndarray, np.ndarray]], totals: pd.DataFrame, size: int):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, size: int):
+        index = np.argsort(codes)
+        grams_by_order = {ORDER: (codes[index], counts[index])}
+        for order in range(ORDER - 1, 0, -1):
+            grams_by_order[order] = _lower(grams_by_order[order + 1][0], order)
         self.uniform = -np.log(size)
         self.keys: dict[int, np.ndarray] = {}
         self.logp: dict[int, np.ndarray] = {}
@@ -157,14 +143,12 @@ class CharModel:
         self.backoff: dict[int, np.ndarray] = {}
         for order in range(1, ORDER + 1):
             keys, n = grams_by_order[order]
-            index = np.argsort(keys)
-            keys, n = keys[index], n[index].astype(np.float64)
+            n = n.astype(np.float64)
             ones, twos = max((n == 1).sum(), 1), (n == 2).sum()
             discount = min(max(ones / (ones + 2 * twos), 0.1), 0.95)
             context = keys >> np.uint64(16)
             own, first, inverse = np.unique(context, return_index=True, return_inverse=True)
-            total = totals[order]
-            whole = total[1][np.searchsorted(total[0], own)] if order > 1 else np.array([total[1].sum()])
+            whole = np.add.reduceat(n, first)
             direct = np.maximum(n - discount, 0) / whole[inverse]
             rest = np.maximum(1 - np.add.reduceat(direct, first), 1e-9)
             below = np.exp(self.log_prob(keys, order - 1))
@@ -187,27 +171,13 @@ class CharModel:
         return out
 
 
-def fit(rows: DataFrame, max_types: int = MAX_TYPES) -> dict[str, CharModel]:
+def fit(rows: DataFrame) -> dict[str, CharModel]:
     """One model per ``grp`` of ``rows`` (grp, text); an empty table gives no model."""
-    types = count_types(rows)
-    by_order = {ORDER: types}
-    for order in range(ORDER - 1, 0, -1):
-        by_order[order] = _lower(by_order[order + 1], 16 * order)
-    found: dict[str, dict[int, tuple]] = {}
-    totals: dict[str, dict[int, tuple]] = {}
-    for order, frame in by_order.items():
-        kept = prune(frame, max_types)
-        for group, part in kept.toPandas().groupby("grp"):
-            found.setdefault(group, {})[order] = (part["code"].to_numpy().view(np.uint64), part["n"].to_numpy())
-        sums = frame.groupBy("grp", F.shiftrightunsigned("code", 16).alias("ctx")).agg(F.sum("n").alias("n"))
-        sums = sums.join(kept.select("grp", F.shiftrightunsigned("code", 16).alias("ctx")).distinct(), ["grp", "ctx"])
-        for group, part in sums.toPandas().groupby("grp"):
-            ctx = part["ctx"].to_numpy().view(np.uint64)
-            index = np.argsort(ctx)
-            totals.setdefault(group, {})[order] = (ctx[index], part["n"].to_numpy()[index].astype(np.float64))
-    alphabet = len(set().union(*(set(g[1][0].tolist()) for g in found.values()))) + 1 if found else 1
-    return {
-        group: CharModel(orders, totals[group], alphabet)
-        for group, orders in sorted(found.items())
-        if len(orders) == ORDER
+    counted = count_types(rows).toPandas()
+    parts = {
+        group: (part["code"].to_numpy().view(np.uint64), part["n"].to_numpy())
+        for group, part in counted.groupby("grp", sort=True)
     }
+    last = [np.unique(codes & np.uint64(0xFFFF)) for codes, _ in parts.values()]
+    alphabet = len(np.unique(np.concatenate(last))) + 1 if last else 1
+    return {group: CharModel(codes, n, alphabet) for group, (codes, n) in parts.items()}

@@ -90,6 +90,20 @@ def test_character_model_is_a_distribution(spark):
         assert 0.7 < total <= 1.0 + 1e-6  # the rest is for unseen symbols
 
 
+def test_character_models_keep_every_type(spark):
+    # A group of more than two million 4-grams beside a small one: neither loses any.
+    large = np.random.default_rng(4).integers(0x4E00, 0x9FA0, (22, 100_000))
+    small = ["ba bo ka", "zhu shri xel"]
+    rows = [("large", "".join(map(chr, row))) for row in large.tolist()] + [("small", t) for t in small]
+    models = charlm.fit(spark.createDataFrame(rows, "grp string, text string").repartition(8))
+    table = charlm.letter_table()
+    for group in ("large", "small"):
+        texts = [t for g, t in rows if g == group]
+        codes = charlm.grams(charlm.symbols(texts, table)[0])[0]
+        assert np.array_equal(models[group].keys[4], codes), group
+    assert len(models["large"].keys[4]) > 2_000_000
+
+
 # ---- operator 2 -------------------------------------------------------------------
 
 
