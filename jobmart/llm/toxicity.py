@@ -2,8 +2,9 @@
 
 1. ``charlm`` counts the character 4-grams of all texts: the language model.
 2. A token is a lattice: leetspeak characters stand for letters, separators inside a
-   word or between single letters may be deleted, runs of a letter may shrink, a mask
-   may be any letter. A Viterbi search over the contexts of the language model finds
+   word may be deleted, runs of a letter may shrink, a mask may be any letter. A run of
+   single letters is one token, in which each space may be deleted or kept, so its
+   reading may have several words. A Viterbi search over the contexts of the language model finds
    the likeliest reading (``Restorer``). A token made of letters alone, without runs of
    three, has one path only, which is itself, so only the others are decoded.
 3. Words and word beginnings of the restored texts that mark toxic documents become a
@@ -51,8 +52,10 @@ LEET = {
 }
 MASKS = "*#%&?"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-LEET_COST, MASK_COST, DROP_COST, SHRINK_COST = 1.0, 3.0, 1.0, 0.5
+LEET_COST, MASK_COST, DROP_COST, SHRINK_COST, JOIN_COST = 1.0, 3.0, 1.0, 0.5, 0.5
 MAX_CACHE = 100_000
+# Longer tokens (runs of single letters) are decoded each time.
+MAX_CACHED = 200
 
 _EDGES = re.compile(r"^[\"'(\[{<«“]+|[\"')\]}>»”.,;:!?]+$")
 _DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
@@ -89,7 +92,9 @@ class Restorer:
             while end < len(token) and token[end] == char:
                 end += 1
             run, i = end - i, end
-            if char.isalpha():
+            if char == " ":
+                steps.append([("", JOIN_COST), (" ", 0.0)])
+            elif char.isalpha():
                 steps.append([(char * run, 0.0)] if run < 3 else [(char, SHRINK_COST), (char * 2, SHRINK_COST)])
             elif char in LEET:
                 options = [(c * min(run, 2), LEET_COST) for c in LEET[char]]
@@ -103,13 +108,15 @@ class Restorer:
         return steps
 
     def restore(self, token: str) -> str:
-        """The likeliest reading of one token (lower case, without outer punctuation)."""
+        """The likeliest reading of one token (lower case, without outer punctuation; a
+        run of single letters has one space between them): its words, space by space."""
         known = self.memo.get(token)
         if known is None:
-            known = self._decode(token) if self.model else token
+            known = self._decode(token) if self.model else token.replace(" ", "")
             if len(self.memo) > MAX_CACHE:
                 self.memo.clear()
-            self.memo[token] = known
+            if len(token) <= MAX_CACHED:
+                self.memo[token] = known
         return known
 
     def _decode(self, token: str) -> str:
@@ -120,7 +127,8 @@ class Restorer:
             for context, (cost, so_far) in paths.items():
                 for text, price in options:
                     total, ctx = cost + price, context
-                    for c in text:
+                    # Gaps in a row are one, as in the language model.
+                    for c in text if text != " " or ctx[-1] != " " else "":
                         total += self._cost(ctx, c)
                         ctx = ctx[1:] + c
                     best = following.get(ctx)
@@ -173,15 +181,14 @@ def words_of(texts: list[str], restorer: Restorer) -> Iterator[set[bytes]]:
         extra: dict[int, list[bytes]] = {}
         for first, last in suspicious(joined):
             doc = int(np.searchsorted(starts, first, "right")) - 1
-            token = "".join(joined[first:last].decode(errors="replace").split())
-            token = _DECORATION.sub("", _EDGES.sub("", token))
+            token = " ".join(joined[first:last].decode(errors="replace").split())
+            token = _DECORATION.sub("", _EDGES.sub("", token)).strip()
             letters = sum(c.isalpha() for c in token)
             if not letters:
                 continue
             if letters < len(token) or re.search(r"(.)\1\1", token):
                 token = restorer.restore(token)
-            if token:
-                extra.setdefault(doc, []).append(token.encode())
+            extra.setdefault(doc, []).extend(w.encode() for w in token.split())
         for i, raw in enumerate(part):
             words = set(raw.translate(_SPACED).split())
             words.update(extra.get(i, ()))

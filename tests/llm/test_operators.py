@@ -125,6 +125,25 @@ def test_restores_obfuscated_words(spark):
     assert next(toxicity.words_of(["the river, à table"], restorer)) == {b"the", b"river", "à".encode(), b"table"}
 
 
+@pytest.fixture(scope="module")
+def restorer(spark):
+    rng = random.Random(12)
+    plain = [*"ay", "you", "stupid", "moron", "idiota", "débile", "garden", "window", "table", "river", "tall", "moss"]
+    rows = [("all", " ".join(rng.choice(plain) for _ in range(300))) for _ in range(20)]
+    return toxicity.Restorer(charlm.fit(spark.createDataFrame(rows, "grp string, text string"))["all"])
+
+
+@pytest.mark.parametrize(
+    "raw, clean",
+    [("a s t u p i d", "a stupid"), ("a m o r o n", "a moron"), ("y i d i o t a", "y idiota"),
+     ("y o u m o r o n", "you moron"), ("y o u $ t u p 1 d m o r o n", "you stupid moron")],
+)
+def test_spacing_is_decoded(restorer, raw, clean):
+    found = next(toxicity.words_of([f"the {raw} table"], restorer))
+    assert found >= {w.encode() for w in clean.split()}
+    assert raw.replace(" ", "").encode() not in found
+
+
 def test_toxicity(spark):
     rng = random.Random(3)
     rows, labels = [], []
