@@ -4,9 +4,9 @@
 2. A token is a lattice: leetspeak characters stand for letters, separators inside a
    word may be deleted, runs of a letter may shrink, a mask may be any letter. A run of
    single letters is one token, in which each space may be deleted or kept, so its
-   reading may have several words. A Viterbi search over the contexts of the language model finds
-   the likeliest reading (``Restorer``). A token made of letters alone, without runs of
-   three, has one path only, which is itself, so only the others are decoded.
+   reading may have several words. A Viterbi search over the contexts of the language
+   model finds the likeliest reading (``Restorer``). A token made of letters alone, none
+   of them doubled, has one path only, which is itself, so only the others are decoded.
 3. Words and word beginnings of the restored texts that mark toxic documents become a
    lexicon (counts of distinct texts by label, a likelihood-ratio test), and a logistic
    model over what a text has of it gives the score.
@@ -24,8 +24,11 @@ without any positive label every score is 0.0. Repeated rows are scored alike.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -57,34 +60,84 @@ MAX_CACHE = 100_000
 # Longer tokens (runs of single letters) are decoded each time.
 MAX_CACHED = 200
 
+# Kinds of code points: '!' stands for a letter, but not after a word.
+SPACE, LETTER, STAND_IN, EXCLAMATION, OTHER = range(5)
+
 _EDGES = re.compile(r"^[\"'(\[{<«“]+|[\"')\]}>»”.,;:!?]+$")
+_DOUBLED = re.compile(r"(.)\1")
+_REPEATED = re.compile(r"((.)\2+)")
+# Three masks in a row, as in a dividing line, mask nothing.
+_DIVIDER = re.compile(r"(?<!\S)(?:[*#%&?] ){2,}[*#%&?](?!\S)")
 _DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
 
 
+@cache
+def _symbols() -> np.ndarray:
+    return charlm.letter_table()
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Kind of each code point; letters are those of the language model."""
+    table = np.where(_symbols() != charlm.GAP, LETTER, OTHER).astype(np.uint8)
+    for cp in range(0x3001):
+        if chr(cp).isspace():
+            table[cp] = SPACE
+    table[[ord(c) for c in (*LEET, *MASKS)]] = STAND_IN
+    table[ord("!")] = EXCLAMATION
+    return table
+
+
+def _is_letter(char: str) -> bool:
+    return char.isalpha() or unicodedata.category(char)[0] == "M"
+
+
 class Restorer:
     """Viterbi decoding of a token's character lattice under the language model."""
 
     def __init__(self, model: charlm.CharModel | None):
         self.model = model
         self.memo: dict[str, str] = {}
-        self.costs: dict[int, float] = {}
-
-    def _cost(self, context: str, char: str) -> float:
-        code = 0
-        for c in (context + char)[-4:]:
-            code = (code << 16) | (ord(c) & 0xFFFF)
-        found = self.costs.get(code)
-        if found is None:
-            found = -float(self.model.log_prob(np.array([code], dtype=np.uint64))[0])
-            if len(self.costs) > MAX_CACHE:
-                self.costs.clear()
-            self.costs[code] = found
-        return found
+        self.words: dict[str, list[bytes]] = {}
+        self.costs: dict[str, float] = {}
+
+    def _price(self, lattices: Iterable[list[list[tuple[str, float]]]]) -> None:
+        """Look up all 4-grams on the paths of the lattices at once."""
+        needed: set[str] = set()
+        for steps in lattices:
+            contexts = {"   "}
+            for options in steps:
+                following = set()
+                for context in contexts:
+                    for text, _ in options:
+                        ctx = context
+                        for c in text if text != " " or ctx[-1] != " " else "":
+                            needed.add(ctx + c)
+                            ctx = ctx[1:] + c
+                        following.add(ctx)
+                contexts = following
+            needed.update(context + " " for context in contexts)
+        if len(self.costs) > MAX_CACHE:
+            self.costs.clear()
+        grams = [g for g in needed if g not in self.costs]
+        if grams:
+            cps = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            s = _symbols()[cps].astype(np.uint64).reshape(-1, 4)
+            code = s[:, 3] | (s[:, 2] << np.uint64(16)) | (s[:, 1] << np.uint64(32)) | (s[:, 0] << np.uint64(48))
+            self.costs.update(zip(grams, (-self.model.log_prob(code)).tolist(), strict=True))
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
         """Options (text, cost) of each step of the token."""
         steps = []
+        if token.isalpha():
+            # Letters between doubled ones are one step, but for the first three, after
+            # which all paths have one context again.
+            for plain, run, _ in batched([*_REPEATED.split(token), "", ""], 3):
+                steps += [[(text, 0.0)] for text in (plain[:3], plain[3:]) if text]
+                if run:
+                    steps.append([(run[0] * 2, SHRINK_COST if len(run) > 2 else 0.0), (run[0], SHRINK_COST)])
+            return steps
         i = 0
         while i < len(token):
             char = token[i]
@@ -94,48 +147,81 @@ class Restorer:
             run, i = end - i, end
             if char == " ":
                 steps.append([("", JOIN_COST), (" ", 0.0)])
-            elif char.isalpha():
-                steps.append([(char * run, 0.0)] if run < 3 else [(char, SHRINK_COST), (char * 2, SHRINK_COST)])
+            elif _is_letter(char):
+                # A doubled letter as it is or single; a longer run as either.
+                steps.append([(char * min(run, 2), SHRINK_COST if run > 2 else 0.0)])
+                if run > 1:
+                    steps[-1].append((char, SHRINK_COST))
             elif char in LEET:
                 options = [(c * min(run, 2), LEET_COST) for c in LEET[char]]
                 if run > 1:
                     options += [(c, LEET_COST + SHRINK_COST) for c in LEET[char]]
                 steps.append([*options, ("", DROP_COST * 4 * min(run, 3))])
             elif char in MASKS and run < 3:
-                steps.append([(c, MASK_COST) for c in LETTERS] + [("", DROP_COST * 4)])
+                drop = 0.0 if char == "?" and i == len(token) else DROP_COST * 4
+                steps.append([(c, MASK_COST) for c in LETTERS] + [("", drop)])
             else:
                 steps.append([("", DROP_COST)])
         return steps
 
-    def restore(self, token: str) -> str:
-        """The likeliest reading of one token (lower case, without outer punctuation; a
+    def restore(self, tokens: Iterable[str]) -> dict[str, str]:
+        """The likeliest reading of each token (lower case, without outer punctuation; a
         run of single letters has one space between them): its words, space by space."""
-        known = self.memo.get(token)
-        if known is None:
-            known = self._decode(token) if self.model else token.replace(" ", "")
+        found = {}
+        for token in tokens:
+            if self.model is None:
+                found[token] = token.replace(" ", "")
+            elif token in self.memo:
+                found[token] = self.memo[token]
+        for some in batched([t for t in tokens if t not in found], 1000):
+            lattices = [self.lattice(t) for t in some]
+            self._price(lattices)
             if len(self.memo) > MAX_CACHE:
                 self.memo.clear()
-            if len(token) <= MAX_CACHED:
-                self.memo[token] = known
-        return known
+            for token, steps in zip(some, lattices, strict=True):
+                found[token] = self._decode(steps)
+                if len(token) <= MAX_CACHED:
+                    self.memo[token] = found[token]
+        return found
+
+    def readings(self, raws: Iterable[str]) -> dict[str, list[bytes]]:
+        """The words, as UTF-8, that each token or run of single letters is read as."""
+        raws = set(raws)
+        found = {raw: self.words[raw] for raw in raws if raw in self.words}
+        core = {raw: _core(raw) for raw in raws if raw not in found}
+        read = self.restore({c for c in core.values() if c})
+        # A doubled letter may also be one after the spaces are gone.
+        parts = {w for c, reading in read.items() if " " in c for w in reading.split() if _DOUBLED.search(w)}
+        again = self.restore(parts) if parts else {}
+        if len(self.words) > MAX_CACHE:
+            self.words.clear()
+        for raw, token in core.items():
+            words = read[token].split() if token else []
+            if " " in token:
+                words += [again[w] for w in words if w in again]
+            found[raw] = [w.encode() for w in dict.fromkeys(words)]
+            if len(raw) <= MAX_CACHED:
+                self.words[raw] = found[raw]
+        return found
 
-    def _decode(self, token: str) -> str:
+    def _decode(self, steps: list[list[tuple[str, float]]]) -> str:
+        costs = self.costs
         # Context -> (cost, letters so far as a linked list).
         paths: dict[str, tuple[float, tuple]] = {"   ": (0.0, ())}
-        for options in self.lattice(token):
+        for options in steps:
             following: dict[str, tuple[float, tuple]] = {}
             for context, (cost, so_far) in paths.items():
                 for text, price in options:
                     total, ctx = cost + price, context
                     # Gaps in a row are one, as in the language model.
                     for c in text if text != " " or ctx[-1] != " " else "":
-                        total += self._cost(ctx, c)
+                        total += costs[ctx + c]
                         ctx = ctx[1:] + c
                     best = following.get(ctx)
                     if best is None or total < best[0]:
                         following[ctx] = (total, (so_far, text) if text else so_far)
             paths = following
-        ends = [(cost + self._cost(context, " "), context, so_far) for context, (cost, so_far) in paths.items()]
+        ends = [(cost + costs[context + " "], context, so_far) for context, (cost, so_far) in paths.items()]
         _, _, node = min(ends, key=lambda x: x[:2])
         out = []
         while node:
@@ -144,53 +230,58 @@ class Restorer:
         return "".join(reversed(out))
 
 
-# Classes of bytes: 32 white space, 97 letter (and every byte of a longer UTF-8 sequence), 49 other.
-_CLASS = bytes(97 if b > 127 or chr(b).isalpha() else 32 if chr(b).isspace() else 49 for b in range(256))
-_SPACED = bytes(32 if c != 97 else b for b, c in enumerate(_CLASS))
+def _core(raw: str) -> str:
+    """A token without outer punctuation, but for a question mark after a letter, which
+    may be a mask; the letters of a run one space apart. Empty: no letters."""
+    token = " ".join(_DIVIDER.sub("", " ".join(raw.split())).split())
+    core = _EDGES.sub("", token)
+    end = token.find(core) + len(core)
+    if core and token[end : end + 1] == "?" and _is_letter(core[-1]):
+        core += "?"
+    core = _DECORATION.sub("", core).strip()
+    return core if any(map(_is_letter, core)) else ""
 
 
-def suspicious(joined: bytes) -> list[tuple[int, int]]:
-    """Byte spans of the tokens (white space to white space) whose lattice has more
-    than one path, and of runs of three or more single letters (or what stands for one)."""
-    kind = np.frombuffer(joined.translate(_CLASS), dtype=np.uint8)
-    byte = np.frombuffer(joined, dtype=np.uint8)
-    letter, space = kind == 97, kind == 32
-    other = kind == 49
+def suspicious(kind: np.ndarray, cps: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last (exclusive) place of the tokens (white space to white space) whose
+    lattice has more than one path, and of runs of three or more single letters (or what
+    stands for one), any white space apart, within a text; ``ends`` are those of the texts."""
+    letter, other = kind == LETTER, kind >= STAND_IN
     flag = np.zeros(len(kind), dtype=bool)
-    flag[:-1] |= other[:-1] & letter[1:]  # before a letter
-    flag[1:] |= other[1:] & letter[:-1] & np.isin(byte[1:], np.frombuffer(b"0123456789@$|+", dtype=np.uint8))
-    flag[1:-1] |= letter[1:-1] & (byte[1:-1] == byte[:-2]) & (byte[1:-1] == byte[2:])
-    edges = np.concatenate([[-1], np.flatnonzero(space), [len(kind)]])
-    at = np.unique(np.searchsorted(edges, np.flatnonzero(flag)))
-    spans = {(int(edges[k - 1]) + 1, int(edges[k])) for k in at}
-    alone = letter | np.isin(byte, np.frombuffer(b"0123456789@$!|", dtype=np.uint8))
-    single = np.flatnonzero((np.diff(edges) == 2) & alone[np.minimum(edges[:-1] + 1, len(kind) - 1)])
-    if len(single):
-        for run in np.split(single, np.flatnonzero(np.diff(single) != 1) + 1):
-            if len(run) >= 3:
-                spans.add((int(edges[run[0]]) + 1, int(edges[run[-1] + 1])))
-    return sorted(spans)
+    flag[:-1] |= other[:-1] & letter[1:]
+    flag[1:] |= (kind[1:] == STAND_IN) & letter[:-1]
+    flag[1:] |= letter[1:] & (cps[1:] == cps[:-1])
+    change = np.diff(np.concatenate([[0], (kind != SPACE).view(np.int8), [0]]))
+    first, last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    at = np.unique(np.searchsorted(first, np.flatnonzero(flag), "right") - 1)
+    single = np.flatnonzero((last - first == 1) & (kind[first] != OTHER))
+    text = np.searchsorted(ends, first[single], "right")
+    new = np.flatnonzero((np.diff(single) != 1) | (np.diff(text) != 0)) + 1
+    start, stop = np.append(0, new), np.append(new, len(single))
+    long = stop - start >= 3
+    start, stop = single[start[long]], single[stop[long] - 1]
+    return np.append(first[at], first[start]), np.append(last[at], last[stop])
 
 
 def words_of(texts: list[str], restorer: Restorer) -> Iterator[set[bytes]]:
     """The distinct words of each restored text, lower case, as UTF-8."""
     for a, b in text_steps(texts):
-        part = [t.lower().encode() for t in texts[a:b]]
-        joined = b" \n ".join(part) + b" "
-        starts = np.cumsum([0] + [len(p) + 3 for p in part])[:-1]
+        part = [t.lower() for t in texts[a:b]]
+        joined = "\n".join([*part, ""])
+        ends = np.cumsum([len(p) + 1 for p in part])
+        cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kind = _kinds()[cps]
+        first, last = suspicious(kind, cps, ends)
+        raws = [joined[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+        known = restorer.readings(raws)
         extra: dict[int, list[bytes]] = {}
-        for first, last in suspicious(joined):
-            doc = int(np.searchsorted(starts, first, "right")) - 1
-            token = " ".join(joined[first:last].decode(errors="replace").split())
-            token = _DECORATION.sub("", _EDGES.sub("", token)).strip()
-            letters = sum(c.isalpha() for c in token)
-            if not letters:
-                continue
-            if letters < len(token) or re.search(r"(.)\1\1", token):
-                token = restorer.restore(token)
-            extra.setdefault(doc, []).extend(w.encode() for w in token.split())
-        for i, raw in enumerate(part):
-            words = set(raw.translate(_SPACED).split())
+        for raw, text in zip(raws, np.searchsorted(ends, first, "right").tolist(), strict=True):
+            if known[raw]:
+                extra.setdefault(text, []).extend(known[raw])
+        plain = np.where(kind == LETTER, cps, np.uint32(32))
+        plain[ends - 1] = 10
+        for i, words in enumerate(plain.astype("<u4").tobytes().decode("utf-32-le").encode().split(b"\n")[:-1]):
+            words = set(words.split())
             words.update(extra.get(i, ()))
             yield words
 

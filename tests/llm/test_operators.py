@@ -144,6 +144,26 @@ def test_spacing_is_decoded(restorer, raw, clean):
     assert raw.replace(" ", "").encode() not in found
 
 
+@pytest.mark.parametrize(
+    "raw, clean",
+    [("mooron", "moron"), ("stuupid", "stupid"), ("dééééébile", "débile"), ("déébile", "débile"),
+     ("d é b i l e", "débile"), ("m  o  r  o  n", "moron"), ("m o r \n o n", "moron"), ("moro*", "moron"),
+     ("moro?", "moron"), ("stupi#", "stupid"), ("m o r * n", "moron"), ("moron…", "moron"), ("«moron»", "moron"),
+     ("m o o r o n", "moron"), ("tall", "tall"), ("moss", "moss"), ("window?", "window")],
+)
+def test_gate_lets_no_obfuscation_through(restorer, raw, clean):
+    found = next(toxicity.words_of([f"the {raw} table"], restorer))
+    assert clean.encode() in found
+    own = {*re.sub(r"\W", " ", raw).split(), "".join(raw.split())}
+    assert found <= {b"the", b"table", clean.encode(), *(w.encode() for w in own)}
+
+
+def test_runs_end_with_their_text(restorer):
+    assert [b"moron" in w for w in toxicity.words_of(["the m o", "r o n table", "", "m o r o n"], restorer)] == [
+        False, False, False, True,
+    ]
+
+
 def test_toxicity(spark):
     rng = random.Random(3)
     rows, labels = [], []
