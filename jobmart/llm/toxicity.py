@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -32,21 +33,22 @@ from itertools import batched
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm import charlm
-from jobmart.llm.common import fold, mapped, no_nulls, read_table, text_steps
+from jobmart.llm.common import fold, mapped, no_nulls, read_table, saved, text_steps
 
 FOLDS, HELD_OUT, FIT_FOLD = 5, 0, 4
 # Labelled rows that are learned from at most (chosen by a hash of the id).
 MAX_LABELLED = 200_000
-MAX_LEXICON = 20_000
-MAX_CANDIDATES = 100_000
 MIN_DOCS = 3
 # A lexicon entry's significance and enrichment at least.
 MIN_SIGMAS, MIN_ENRICHMENT = 4.5, 4.0
 PREFIXES = (4, 5, 6, 7)
+FLUSH_FEATURES = 200_000
+# Slots of crc32 in which negative features that no candidate shares are left out early.
+SLOTS = 1 << 23
 
 # Fixed values of the channel: what a character may stand for.
 LEET = {
@@ -294,62 +296,54 @@ def _features(words: set[bytes]) -> set[bytes]:
     return out
 
 
-def _count_positive(model):
+def _count_features(model, slots: np.ndarray | None = None):
+    """Partial counts of the texts that have a feature (in one of the packed ``slots``)."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer, sums = Restorer(model), Counter()
+        wanted = None if slots is None else np.unpackbits(slots).tobytes()
         for pdf in batches:
             for words in words_of(no_nulls(pdf["text"]), restorer):
-                sums.update(_features(words))
-            if len(sums) > 200_000:
-                yield pd.DataFrame({"feature": list(sums.keys()), "n": list(sums.values())})
-                sums.clear()
+                features = _features(words)
+                sums.update(features if wanted is None else [f for f in features if wanted[zlib.crc32(f) % SLOTS]])
+                if len(sums) > FLUSH_FEATURES:
+                    yield pd.DataFrame({"feature": list(sums.keys()), "n": list(sums.values())})
+                    sums.clear()
         yield pd.DataFrame({"feature": list(sums.keys()), "n": list(sums.values())})
 
     return run
 
 
-def _count_negative(model, candidates: frozenset):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, sums = Restorer(model), Counter()
-        for pdf in batches:
-            for words in words_of(no_nulls(pdf["text"]), restorer):
-                sums.update(_features(words) & candidates)
-        yield pd.DataFrame({"feature": list(sums.keys()), "n": list(sums.values())})
-
-    return run
+def _counted(texts: DataFrame, model, slots: np.ndarray | None, name: str) -> DataFrame:
+    parts = texts.select("text").mapInPandas(_count_features(model, slots), "feature binary, n long")
+    return parts.groupBy("feature").agg(F.sum("n").alias(name))
 
 
 def lexicon(model, positive: DataFrame, negative: DataFrame) -> dict[bytes, float]:
-    """Features that mark positive texts, with their weights."""
+    """Features that mark positive texts, with their weights. Both counts are joined and
+    tested in Spark: only significant features are collected, however rare."""
     n_pos, n_neg = positive.count(), negative.count()
-    if not n_pos:
+    if not n_pos or not n_neg:
         return {}
     # Fewer positive texts than this can't be significant, even with no negative one.
     rate = n_pos / (n_pos + n_neg)
-    least = max(MIN_DOCS, int(np.ceil(MIN_SIGMAS**2 / (2 * np.log(1 / rate))))) if rate < 1 else MIN_DOCS
-    counted = (
-        positive.select("text").mapInPandas(_count_positive(model), "feature binary, n long")
-        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        .orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES).toPandas()
-    )
-    pos = {bytes(f): n for f, n in zip(counted["feature"], counted["n"], strict=True)}
-    if not pos:
-        return {}
+    least = max(MIN_DOCS, int(np.ceil(MIN_SIGMAS**2 / (2 * np.log(1 / rate)))))
+    candidates = saved(_counted(positive, model, None, "p").where(F.col("p") >= least), "toxic-features")
+    slots = np.zeros(SLOTS, dtype=bool)
+    slots[candidates.select((F.crc32("feature") % SLOTS).alias("slot")).distinct().toPandas()["slot"].to_numpy(int)] = True
     counted = (
-        negative.select("text").mapInPandas(_count_negative(model, frozenset(pos)), "feature binary, n long")
-        .groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+        candidates.join(_counted(negative, model, np.packbits(slots), "q"), "feature", "left")
+        .withColumn("q", F.coalesce("q", F.lit(0))).where(_may_mark(F.col("p"), F.col("q"), rate)).toPandas()
     )
-    neg = {bytes(f): n for f, n in zip(counted["feature"], counted["n"], strict=True)}
-    names = sorted(pos)
-    p = np.array([pos[f] for f in names], dtype=float)
-    q = np.array([neg.get(f, 0) for f in names], dtype=float)
-    p_left, q_left, found = dict(zip(names, p, strict=True)), dict(zip(names, q, strict=True)), {}
+    pos = {bytes(f): float(n) for f, n in zip(counted["feature"], counted["p"], strict=True)}
+    neg = {bytes(f): float(n) for f, n in zip(counted["feature"], counted["q"], strict=True)}
+    found = {}
     # From whole words to ever shorter beginnings: a beginning must mean something
     # beside the one longer entry that it holds most often.
     taken: dict[bytes, tuple[float, float]] = {}
-    for f in sorted(names, key=lambda f: (f[:1] != b" ", -len(f))):
+    for f in sorted(pos, key=lambda f: (f[:1] != b" ", -len(f), f)):
         child = taken.get(f, (0.0, 0.0)) if f[:1] != b" " else (0.0, 0.0)
-        own_p, own_q = p_left[f], q_left[f]
+        own_p, own_q = pos[f], neg[f]
         if not _marks(own_p - child[0], max(own_q - child[1], 0.0), rate) or not _marks(own_p, own_q, rate):
             continue
         odds = np.log((own_p + 0.5) / (n_pos - own_p + 1)) - np.log((own_q + 0.5) / (n_neg - own_q + 1))
@@ -358,8 +352,7 @@ def lexicon(model, positive: DataFrame, negative: DataFrame) -> dict[bytes, floa
         for k in PREFIXES:
             if k < len(word) and own_p > taken.get(word[:k], (0.0, 0.0))[0]:
                 taken[word[:k]] = (own_p, own_q)
-    best = sorted(found, key=lambda f: (-found[f], f))[:MAX_LEXICON]
-    return {f: found[f] for f in best if found[f] > 0}
+    return {f: found[f] for f in sorted(found, key=lambda f: (-found[f], f)) if found[f] > 0}
 
 
 def _marks(p: float, q: float, rate: float) -> bool:
@@ -372,6 +365,14 @@ def _marks(p: float, q: float, rate: float) -> bool:
     return 2 * ratio >= MIN_SIGMAS**2 and (p / rate) / ((q + 0.5) / (1 - rate)) >= MIN_ENRICHMENT
 
 
+def _may_mark(p: Column, q: Column, rate: float) -> Column:
+    """``_marks`` as a filter, with room for rounding."""
+    n = p + q
+    ratio = p * F.log(p / (n * rate)) + F.when(q > 0, q * F.log(q / (n * (1 - rate)))).otherwise(0.0)
+    enrichment = (p / rate) / ((q + 0.5) / (1 - rate))
+    return (p > n * rate) & (2 * ratio >= MIN_SIGMAS**2 - 1e-6) & (enrichment >= MIN_ENRICHMENT - 1e-6)
+
+
 class Scorer:
     """Lexicon evidence of a text: the strongest word, all words together, and how many
     words there are."""

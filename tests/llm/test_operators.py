@@ -186,6 +186,18 @@ def test_toxicity(spark):
     assert empty.score(docs.limit(0)).count() == 0
 
 
+def test_lexicon_finds_rare_words_among_many_frequent_ones(spark):
+    # 25,000 neutral words with their beginnings are more frequent than the rare one.
+    rng = random.Random(13)
+    neutral = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(25_000))
+    positive = [neutral] * 12 + ["the zqxjmoron table"] * 8 + ["the table"] * 20
+    negative = [neutral] * 13 + ["the table"] * 187
+    frames = [spark.createDataFrame([(t,) for t in texts], "text string") for texts in (positive, negative)]
+    found = toxicity.lexicon(None, *frames)
+    assert b" zqxjmoron" in found
+    assert set(found) <= {b" zqxjmoron", b"zqxj", b"zqxjm", b"zqxjmo", b"zqxjmor"}
+
+
 # ---- operator 1 -------------------------------------------------------------------
 
 
