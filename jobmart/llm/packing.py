@@ -1,7 +1,8 @@
 """Operator 10, best-fit packing of documents into bins of a fixed length, with conflicts.
 
 Two documents conflict if they share a source or a duplicate cluster; a bin holds no
-two that conflict. A text longer than a bin is cut: each full piece is a bin of its
+two that conflict. A cluster is a connected component of near copies: documents with
+equal sets of five-word shingles, or linked by a similarity of 0.8 (operator 1). A text longer than a bin is cut: each full piece is a bin of its
 own, the rest is packed like a short text. Rows are dealt by a hash of the row (never
 by source or cluster) to independent groups of about ``GROUP_ROWS`` pieces, so one hot
 source or cluster is spread over all of them and no task holds more than a group.
@@ -12,8 +13,8 @@ search starts at the tightest bin that is large enough and goes on to its succes
 until one is compatible, and opens a new bin where none is.
 
 Defined results: a null or empty text has length 0 and is packed (into the tightest
-compatible bin); a null source conflicts with nothing, a null or empty text is in no
-cluster; repeated rows are copies of each other; ties go by length, id and cluster,
+compatible bin); a null source conflicts with nothing, a text without words or without
+copies is in no cluster; repeated rows are copies of each other; ties go by length, id and cluster,
 bins of one residual by age. An empty table gives no rows.
 """
 
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import read_table, saved
+from jobmart.llm.components import components
+from jobmart.llm.ngram_join import LAST, jaccard_links
 
 CAPACITY = 8192  # code points
 GROUP_ROWS = 4096
@@ -123,10 +126,17 @@ def _packed(capacity: int):
     return run
 
 
-def cluster_of(text: str = "text") -> F.Column:
-    """Name of a text's duplicate cluster: equal but for case and white space; null if blank."""
-    plain = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
-    return F.when(plain != "", F.xxhash64(plain))
+def clusters_of(docs: DataFrame) -> DataFrame:
+    """(_id, _key, cluster): the near-copy component of the rows of ``docs`` (doc_id, text)
+    that have copies, once for equal rows; a null id is ``LAST``, _key a hash of the text."""
+    found, forest = jaccard_links(docs.select("doc_id", "text"))
+    linked = components(forest.select(F.col("cls").alias("u"), F.col("other").alias("v")))
+    linked = linked.select(F.col("vertex").alias("cls"), "component")
+    rows = found.where("cls is not null and links > 0").join(linked, "cls", "left")
+    return rows.select(
+        F.coalesce("doc_id", F.lit(LAST)).alias("_id"), F.col("text_key").alias("_key"),
+        F.xxhash64(F.coalesce("component", "cls")).alias("cluster"),
+    ).distinct()
 
 
 def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -153,10 +163,12 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_
 def pack_documents(docs: DataFrame) -> DataFrame:
     """Bins of the rows of ``docs`` (doc_id, text, source); also the pipeline's last stage."""
     rows = docs.select(
-        "doc_id", F.coalesce(F.char_length("text"), F.lit(0)).alias("length"),
-        F.xxhash64("source").alias("_hash"), "source", cluster_of().alias("cluster"),
+        "doc_id", F.coalesce(F.char_length("text"), F.lit(0)).alias("length"), F.xxhash64("source").alias("_hash"),
+        "source", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"), F.xxhash64("text").alias("_key"),
     )
-    rows = rows.select("doc_id", "length", F.when(F.col("source").isNotNull(), F.col("_hash")).alias("source"), "cluster")
+    source = F.when(F.col("source").isNotNull(), F.col("_hash")).alias("source")
+    rows = rows.select("doc_id", "length", source, "_id", "_key")
+    rows = rows.join(clusters_of(docs), ["_id", "_key"], "left").select("doc_id", "length", "source", "cluster")
     placed = best_fit(rows)
     return placed.select(
         "doc_id", "piece", "start", "length",

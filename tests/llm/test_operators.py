@@ -418,6 +418,28 @@ def test_packing_keeps_the_constraints(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_packing_keeps_near_copies_apart(spark):
+    rng = random.Random(14)
+    base = words(rng, 200, VOCABULARY).split()
+    rows = []
+    for i in range(12):  # near copies of one another, without a source
+        one = list(base)
+        one[10 * i] = "changed"
+        rows.append((i, " ".join(one), None, None))
+    rows += [(100, "Two words", None, None), (101, " two\nwords ", None, None), (101, " two\nwords ", None, None)]
+    rows += [(None, "no id here", None, None), (102, "NO id here", None, None)]
+    rows += [(200 + i, words(rng, 150, VOCABULARY), None, None) for i in range(12)]
+    docs = documents(spark, rows)
+    out = packing.pack_documents(docs).collect()
+    assert len(out) == len(rows)
+    bins = {}
+    for r in out:
+        bins.setdefault(r["doc_id"], []).append(r["bin_id"])
+    assert len({b for i in range(12) for b in bins[i]}) == 12
+    assert len({*bins[100], *bins[101]}) == 3 and bins[None] != bins[102]
+    assert len({r["bin_id"] for r in out}) == 12  # and nothing else is kept apart
+
+
 # ---- operator 7 -------------------------------------------------------------------
 
 
