@@ -9,8 +9,9 @@ what texts of that language and length have.
 
 Defined results: a null text, an empty one, or one without letters is ``und``, score
 0.0 and rejected; repeated rows are scored alike; with no training rows all is
-``und``; a language without enough calibration texts rejects nothing. Ties go to the
-language first in alphabetical order. Extra columns pass through untouched.
+``und``; a language without enough calibration texts of its own has the limit of all
+languages' texts together (without enough of those, too, nothing is rejected by it).
+Ties go to the language first in alphabetical order. Extra columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -112,13 +113,20 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             (F.sum(weight * F.col("mean")) / F.sum(weight)).alias("mean"),
             (F.sum(weight * F.col("mean") * F.col("mean")) / F.sum(weight)).alias("square"),
             (F.sum(F.col("var") * F.col("n")) / F.sum("n")).alias("var"),
+            F.sum(weight).alias("weight"),
+            F.sum("n").alias("n"),
             *(F.sum(x).alias(x) for x in losses),
         )
         .toPandas()
     )
     total = [stats[x].sum() for x in losses]
     temperature = TEMPERATURES[int(np.argmin(total))] if len(stats) else 0.1
-    limits = {
+    limits = {}
+    if stats["texts"].sum() >= MIN_CALIBRATION_TEXTS:
+        mean, square = (np.average(stats[x], weights=stats["weight"]) for x in ("mean", "square"))
+        pooled = (mean, max(square - mean**2, 0.0), np.average(stats["var"], weights=stats["n"]))
+        limits = dict.fromkeys(models, pooled)
+    limits |= {
         r.lang: (r.mean, max(r.square - r.mean**2, 0.0), r.var)
         for r in stats.itertuples()
         if r.texts >= MIN_CALIBRATION_TEXTS

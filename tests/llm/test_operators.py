@@ -73,6 +73,19 @@ def test_language_id(spark):
     assert found[0]["score"] == 1  # the clashing column is kept as it was
 
 
+def test_rare_language_rejects_by_the_pooled_limit(spark):
+    rng = random.Random(15)
+    rows = _language_rows(rng, 600)
+    rare = [(2000 + i, " ".join("".join(rng.choice(["mö", "lü", "nä"]) for _ in range(3)) for _ in range(30)), "cc") for i in range(20)]
+    docs = documents(spark, rows + rare)
+    fitted = language.train(docs.select("doc_id", "text", "lang"))
+    junk = [(3000 + i, "".join(rng.choices("öüäﬀжщ漢字ñçãéß ", k=300)), None) for i in range(20)]
+    found = {r["doc_id"]: r for r in language.identify(documents(spark, rows + rare + junk), fitted).collect()}
+    assert any(found[i]["_lang_pred"] == "cc" for i, *_ in junk)
+    assert all(found[i]["_rejected"] for i, *_ in junk)
+    assert not any(found[i]["_rejected"] for i, *_ in rows + rare)
+
+
 def test_language_without_training_rows(spark):
     docs = documents(spark, [(1, "abc"), (2, None)])
     fitted = language.train(docs)
