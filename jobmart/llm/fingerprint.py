@@ -9,7 +9,8 @@ hash of all places is computed at once by doubling the window five times.
 The fingerprint is the set of chunk digests with their lengths, as text:
 ``digest:length`` in the order of digests, joined by commas (the empty text's is empty).
 Likeness is the length of the shared chunks over that of the larger fingerprint: equal
-fingerprints have 1, disjoint ones 0.
+fingerprints have 1, disjoint ones 0. Containment is that length over a fingerprint's own:
+1 for a text that lies whole inside another one (but for chunks at its ends).
 
 The query also fingerprints each text with its second half replaced by the beginning
 of the next document (ascending id). Documents are dealt to buckets of consecutive ids
@@ -18,7 +19,7 @@ the bucket before, so each text is shuffled once and no task sees more than it s
 
 Defined results: a null text is empty; a fingerprint of an empty text is like another
 empty one (1) and like nothing else (0). Rows with one id are ordered by their text,
-null ids come last; a single document is its own next one.
+null ids come last; an empty fingerprint is contained in an empty one only; a single document is its own next one.
 """
 
 from __future__ import annotations
@@ -104,13 +105,28 @@ def as_text(found: dict[bytes, int]) -> str:
     return ",".join([f"{d.hex()}:{found[d]}" for d in sorted(found)])
 
 
+def shared(a: dict[bytes, int], b: dict[bytes, int]) -> int:
+    """Length of the chunks that both have."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    return sum(n for d, n in small.items() if d in large)
+
+
+def compared(a: dict[bytes, int], b: dict[bytes, int]) -> tuple[float, float, float]:
+    """Likeness of a and b, the share of a that b holds, the share of b that a holds."""
+    if a == b:
+        return 1.0, 1.0, 1.0
+    both, own, other = shared(a, b), sum(a.values()), sum(b.values())
+    return both / max(own, other, 1), both / max(own, 1), both / max(other, 1)
+
+
 def likeness(a: dict[bytes, int], b: dict[bytes, int]) -> float:
     """Length of the shared chunks over the length of the larger fingerprint."""
-    if a == b:
-        return 1.0
-    small, large = (a, b) if len(a) <= len(b) else (b, a)
-    shared = sum(n for d, n in small.items() if d in large)
-    return shared / max(sum(a.values()), sum(b.values()), 1)
+    return compared(a, b)[0]
+
+
+def containment(a: dict[bytes, int], b: dict[bytes, int]) -> float:
+    """Length of the shared chunks over the length of the fingerprint a."""
+    return compared(a, b)[1]
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -156,11 +172,12 @@ def with_successors(docs: DataFrame) -> DataFrame:
 
 _RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, in_edited double, edited_in double, in_next double, next_in double"
 )
 _ARROW = pa.schema(
     [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+     ("in_edited", pa.float64()), ("edited_in", pa.float64()), ("in_next", pa.float64()), ("next_in", pa.float64())]
 )
 
 
@@ -176,9 +193,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 edited = last[: len(last) - half] + text[:half]
                 edit = chunks(edited)
                 digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
+                near_edited, in_edited, edited_in = compared(found, edit)
+                near_next, in_next, next_in = compared(found, own)
                 out.append(
-                    (last_id, len(last), digest, as_text(found), as_text(edit), likeness(found, edit), likeness(found, own))
-                )
+                    (last_id, len(last), digest, as_text(found), as_text(edit), near_edited, near_next,
+                     in_edited, edited_in, in_next, next_in)
+                )
             before = (bucket, doc_id, text, own) if role == 0 else None
             if len(out) >= 500:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW)], schema=_ARROW)
@@ -188,6 +208,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every whole text of ``documents``, of its edited text, and likenesses."""
+    """Fingerprints of every whole text of ``documents``, of its edited text, likenesses,
+    and containments: in_x is the share of the text's fingerprint that x's holds, x_in the
+    share of x's that the text's holds."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_successors(docs).mapInArrow(_compare, _RESULT)

@@ -544,6 +544,22 @@ def test_chunks_resist_shifts():
     assert fingerprint.chunks("") == {} and fingerprint.likeness({}, {}) == 1.0 and fingerprint.likeness({}, a) == 0.0
 
 
+def test_containment(spark):
+    rng = random.Random(16)
+    long = words(rng, 20_000, VOCABULARY)
+    short = long[40_000:44_000]
+    a, b = fingerprint.chunks(short), fingerprint.chunks(long)
+    assert fingerprint.containment(a, b) > 0.9 > 0.1 > fingerprint.likeness(a, b)
+    assert fingerprint.containment(b, a) == fingerprint.likeness(a, b)
+    assert fingerprint.containment({}, {}) == 1.0 and fingerprint.containment({}, a) == fingerprint.containment(a, {}) == 0.0
+    docs = documents(spark, [(1, short), (2, long)])
+    got = fingerprint.with_successors(docs).mapInArrow(fingerprint._compare, fingerprint._RESULT).collect()
+    first = next(r for r in got if r["doc_id"] == 1)
+    assert first["in_next"] > 0.9 > 0.1 > first["near_next"] == first["next_in"]
+    edited = fingerprint.chunks(short[:2000] + long[:2000])
+    assert (first["in_edited"], first["edited_in"]) == (fingerprint.containment(a, edited), fingerprint.containment(edited, a))
+
+
 def test_fingerprints_of_edited_texts(spark):
     rng = random.Random(10)
     rows = [(i * 3, words(rng, rng.randint(0, 300), VOCABULARY)) for i in range(300)]
