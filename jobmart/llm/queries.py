@@ -12,6 +12,7 @@ from jobmart.llm.ngram_join import op1_ngram_jaccard_join
 from jobmart.llm.packing import op10_best_fit_packing
 from jobmart.llm.secrets import op5_secret_scan
 from jobmart.llm.sharding import op7_sharding
+from jobmart.llm.suffix_dedup import op11_suffix_dedup
 from jobmart.llm.toxicity import op2_toxicity
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 SQL = {
