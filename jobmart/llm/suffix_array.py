@@ -86,27 +86,38 @@ class Spool:
                 self.store.used -= x.nbytes
                 self.parts[i] = self.store.write(x)
 
-    def _take(self, i: int) -> Iterator[np.ndarray]:
-        x = self.parts.pop(i)
-        if isinstance(x, np.ndarray):
-            self.store.used -= x.nbytes
-            yield x
-            return
-        at, n = x
-        starts = range(0, n, self.store.block)
-        for a in starts if i == 0 else reversed(starts):
-            yield self.store.read(at + a * self.dtype.itemsize, min(self.store.block, n - a), self.dtype)
-
-    def drain(self) -> Iterator[np.ndarray]:
-        """First in, first out; may grow meanwhile."""
+    def _arrays(self, back: bool) -> Iterator[np.ndarray]:
         while self.parts:
-            yield from self._take(0)
-
-    def back(self) -> Iterator[np.ndarray]:
-        """Last in, first out, each array reversed."""
-        while self.parts:
-            for x in self._take(-1):
-                yield x[::-1]
+            x = self.parts.pop(-1 if back else 0)
+            if isinstance(x, np.ndarray):
+                self.store.used -= x.nbytes
+                yield x
+                continue
+            at, n = x
+            starts = range(0, n, self.store.block)
+            for a in reversed(starts) if back else starts:
+                yield self.store.read(at + a * self.dtype.itemsize, min(self.store.block, n - a), self.dtype)
+
+    def drain(self, back: bool = False) -> Iterator[np.ndarray]:
+        """First in, first out (``back``: last in, first out, each array reversed), in
+        arrays of about a block; may grow meanwhile."""
+        arrays = self._arrays(back)
+        while True:
+            taken, size = [], 0
+            for x in arrays:
+                taken.append(x[::-1] if back else x)
+                size += len(x)
+                if size >= self.store.block:
+                    break
+            if not taken:
+                return
+            if size < self.store.block:
+                # What arrives from now on is a new start.
+                arrays = self._arrays(back)
+            yield np.concatenate(taken) if len(taken) > 1 else taken[0]
+
+    def size(self) -> int:
+        return sum(len(x) if isinstance(x, np.ndarray) else x[1] for x in self.parts)
 
     def whole(self) -> np.ndarray:
         return np.concatenate([np.zeros(0, dtype=self.dtype), *self.drain()])
@@ -143,7 +154,7 @@ def star_positions(kinds: np.ndarray, store: Store) -> np.ndarray:
     for a in range(1, len(kinds), store.block):
         b = min(a + store.block, len(kinds))
         found.add(a + np.flatnonzero((kinds[a:b] == 1) & (kinds[a - 1 : b - 1] == 0)))
-    out = store.array(sum(len(x) if isinstance(x, np.ndarray) else x[1] for x in found.parts), np.int64)
+    out = store.array(found.size(), np.int64)
     at = 0
     for x in found.drain():
         out[at : at + len(x)] = x
@@ -199,30 +210,34 @@ def names(text: np.ndarray, kinds: np.ndarray, stars: np.ndarray, alphabet: int,
             key = (key << np.uint64(width)) | np.where(start + d <= last, pair, np.uint64(0))
         return key
 
+    def chunks(items: np.ndarray) -> Iterator[np.ndarray]:
+        for a in range(0, len(items), store.block):
+            yield np.asarray(items[a : a + store.block])
+
     depth, per = 0, max((63 - rank_bits) // width, 1)
-    sizes = None
-    while True:
-        if sizes is not None:
-            sizes[:] = 0
-            for a in range(0, n, store.block):
-                np.add.at(sizes, rank[a : a + store.block], 1)
-
-        def subset(depth=depth, sizes=sizes):
-            for a in range(0, n, store.block):
-                items = np.arange(a, min(a + store.block, n))
-                if sizes is not None:
-                    length = stars[np.minimum(items + 1, n - 1)] - stars[items] + 1
-                    items = items[(length > depth) & (sizes[rank[items]] > 1)]
-                if len(items):
-                    yield items
-
-        bits = width * per
-        if not any(True for _ in subset()):
-            break
+    bits = width * per
+    # Items that share their name so far with another one, and have more characters.
+    active = store.array(n, np.int64)
+    for a in range(0, n, store.block):
+        active[a : a + store.block] = np.arange(a, min(a + store.block, n))
+    sizes = store.array(n, np.int64)
+    while len(active):
         key_of = lambda items, d=depth: (rank[items].astype(np.uint64) << np.uint64(bits)) | symbols(items, d, per)
-        _regroup(rank, subset, key_of, bits, store)
+        _regroup(rank, lambda items=active: chunks(items), key_of, bits, store)
         depth += per
-        sizes = store.array(n + 1, np.int64) if sizes is None else sizes
+        for items in chunks(active):
+            np.add.at(sizes, rank[items], 1)
+        rest = store.spool(np.int64)
+        for items in chunks(active):
+            length = stars[np.minimum(items + 1, n - 1)] - stars[items] + 1
+            rest.add(items[(length > depth) & (sizes[rank[items]] > 1)])
+        for items in chunks(active):
+            sizes[rank[items]] = 0
+        active, at = store.array(rest.size(), np.int64), 0
+        for items in rest.drain():
+            active[at : at + len(items)] = items
+            at += len(items)
+        store.spools.remove(rest)
     used = store.array(n, np.uint8)
     used[rank] = 1
     dense = store.array(n, np.int64)
@@ -325,32 +340,42 @@ class Sweep:
             self._push(items, -1)
 
     def _many(self, r: int, roots: Iterator[np.ndarray], scanned: Callable) -> None:
-        """A range of several characters with few suffixes: sorted at once; those induced
-        within the range are added in rounds, keyed by the place of the suffix after them."""
+        """A range of several characters with few suffixes: those that are induced within
+        the range are found first, then all are dealt to lists by character in one scan."""
         pre = self.queue[r].whole()["pos"]
         root = np.concatenate([np.zeros(0, dtype=np.int64), *(x["pos"] for x in roots)])
-        pos, known = np.concatenate([pre, root]), len(pre) + len(root)
+        known = len(pre) + len(root)
         if not known:
             return
-        kind = np.repeat(np.array([0, 1]), [len(pre), len(root)])
-        key = np.arange(known)
-        own_kind = kind
-        while True:
-            char = self.text[pos].astype(np.int64)
-            char = char - self.first[r] if self.up else self.first[r + 1] - 1 - char
-            order = np.argsort(((char * 2 + kind) << 32) | key)
-            place = np.empty(len(pos), dtype=np.int64)
-            place[order] = np.arange(len(pos))
-            prev = np.maximum(pos - 1, 0)
-            ok = (pos > 0) & (self.kinds[prev] == self.want)
+        parts, children, fresh, count = [], [], np.concatenate([pre, root]), known
+        while len(fresh):
+            parts.append(fresh)
+            prev = np.maximum(fresh - 1, 0)
+            ok = (fresh > 0) & (self.kinds[prev] == self.want)
             ok &= self.ranges[self.text[prev]] == r
-            if len(pos) == known + ok.sum():
-                break
-            key = np.concatenate([np.arange(known), known + place[ok]])
-            pos = np.concatenate([pos[:known], prev[ok]])
-            kind = np.concatenate([own_kind, np.zeros(ok.sum(), dtype=own_kind.dtype)])
-        items, kind = tuples(pos[order]), kind[order]
-        scanned(r, items, kind == 0)
+            fresh = prev[ok]
+            children.append(np.where(ok, count - 1 + np.cumsum(ok), -1))
+            count += len(fresh)
+        pos, child = np.concatenate(parts), np.concatenate(children).tolist()
+        char = (self.text[pos].astype(np.int64) * (1 if self.up else -1)).tolist()
+        queued: dict[int, list[int]] = {x: [] for x in set(char)}
+        given: dict[int, list[int]] = {x: [] for x in queued}
+        for i in range(known):
+            (queued if i < len(pre) else given)[char[i]].append(i)
+        order = []
+        for x in sorted(queued):
+            own = queued[x]
+            for i in own:  # grows meanwhile
+                if child[i] >= 0:
+                    queued[char[child[i]]].append(child[i])
+            order += own
+            for i in given[x]:
+                if child[i] >= 0:
+                    queued[char[child[i]]].append(child[i])
+            order += given[x]
+        order = np.array(order)
+        items = tuples(pos[order])
+        scanned(r, items, (order < len(pre)) | (order >= known))
         self._push(items, r)
 
     def run(self, roots: Callable[[int], Iterator[np.ndarray]], scanned: Callable) -> None:
@@ -371,7 +396,7 @@ def _ranges(text: np.ndarray, alphabet: int, store: Store) -> np.ndarray:
     counts = np.zeros(alphabet, dtype=np.int64)
     for a in range(0, len(text), store.block):
         counts += np.bincount(text[a : a + store.block], minlength=alphabet)
-    size = max(store.block // 4, 2)
+    size = max(store.block // 16, 2)
     group = (np.cumsum(counts) - counts) // size
     large = counts > size
     cut = np.diff(group, prepend=0) > 0
@@ -420,7 +445,7 @@ def sort_suffixes(text: np.ndarray, alphabet: int, ranges: np.ndarray, store: St
     def left_roots(r: int) -> Iterator[np.ndarray]:
         """Largest first; each with the common prefix with the next larger one."""
         near = 0
-        for items in left[r].back():
+        for items in left[r].drain(back=True):
             items = items.copy()
             values = items["near"].copy()
             items["near"] = np.append(near, values[:-1])
