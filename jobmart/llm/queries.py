@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from jobmart.llm import embedding, ngram_join, secrets, sharding
+from jobmart.llm import collocation, embedding, hard_negatives, ngram_join, secrets, sharding
 from jobmart.llm.byte_bpe import op3_byte_bpe
 from jobmart.llm.chat import op6_chat_format
+from jobmart.llm.collocation import op12_phrase_collocations
 from jobmart.llm.embedding import op8_embedding_near_dedup
 from jobmart.llm.fingerprint import op4_fingerprints
+from jobmart.llm.hard_negatives import op13_hard_negatives
 from jobmart.llm.language import op9_language_id
 from jobmart.llm.ngram_join import op1_ngram_jaccard_join
 from jobmart.llm.packing import op10_best_fit_packing
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
@@ -34,4 +38,6 @@ SQL = {
     "op5_secret_scan": secrets.oracle(),
     "op7_sharding": sharding.oracle(),
     "op8_embedding_near_dedup": embedding.ORACLE,
+    "op12_phrase_collocations": collocation.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
