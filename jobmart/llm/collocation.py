@@ -4,7 +4,8 @@ Texts are lower-cased (A-Z), split into pieces at ``.,;:!?`` and line breaks, an
 into words at spaces and tabs. Nodes of the graph are (size - 1)-grams of words, edges
 the longest grams (``size`` words), weighted by occurrences. Only edges and the ends of
 the word runs are counted over the texts; every shorter count follows from the flow: a
-gram occurs as often as the edges that begin with it, plus the runs that end with it.
+gram occurs as often as the edges that begin with it, plus the runs that end with it
+(one row for a run's end: its last words stand for all shorter ends).
 
 A phrase counts only from ``least`` occurrences on, and then so do all its words and
 word pairs. Two passes before count words (exactly) and word pairs (by hash); a bit
@@ -222,7 +223,8 @@ def _count_pairs(word_table):
 
 
 def _count_grams(word_table, pair_table, size: int):
-    """Edges (``size`` words) and the ends of runs (their last 2 to size - 1 words)."""
+    """Edges (``size`` words) and the ends of runs: one row with the last 2 to size - 1
+    words, as many as the run has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, Sums] = {}
@@ -253,7 +255,10 @@ def _count_grams(word_table, pair_table, size: int):
             ends = ~linked[1:]
             own = sums.setdefault(lang, Sums())
             for count in range(2, size + 1):
-                last = np.flatnonzero((depth >= count - 1) & (ends if count < size else True))
+                if count < size - 1:
+                    last = np.flatnonzero((depth == count - 1) & ends)
+                else:
+                    last = np.flatnonzero((depth >= count - 1) & (ends if count < size else True))
                 if not len(last):
                     continue
                 key = words.hash[last]
@@ -273,8 +278,11 @@ def flow_counts(grams: DataFrame, size: int = SIZE) -> DataFrame:
     counts = None
     level = None
     for words in range(size, 1, -1):
-        own = grams.where(F.col("words") == words).select("lang", "gram", "n")
-        if level is not None:
+        if level is None:
+            own = grams.where(F.col("words") == words).select("lang", "gram", "n")
+        else:
+            ends = grams.where((F.col("words") >= words) & (F.col("words") < size))
+            own = ends.select("lang", F.expr(f"substring_index(gram, ' ', {-words})").alias("gram"), "n")
             own = own.unionByName(level.select("lang", F.expr(f"substring_index(gram, ' ', {words})").alias("gram"), "n"))
         level = own.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         own = level.select("lang", F.lit(words).alias("words"), "gram", "n")
