@@ -59,6 +59,17 @@ def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return sym[keep], kept_before[starts]
 
 
+def _numbered(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values below ``limit``, ascending, and the number of each value."""
+    seen = np.zeros(limit, dtype=bool)
+    seen[values] = True
+    found = np.flatnonzero(seen)
+    del seen
+    number = np.empty(limit, dtype=np.int32)
+    number[found] = np.arange(len(found), dtype=np.int32)
+    return found, number[values]
+
+
 def grams(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct packed 4-grams ending at symbols that are no pads (ascending), the
     positions of those symbols, and for each position the index of its 4-gram.
@@ -72,16 +83,13 @@ def grams(sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = len(chars)
     if size <= 2048:
         pair = dense[:-1] * np.int32(size) + dense[1:]
-        seen = np.bincount(pair, minlength=size * size) > 0
-        pairs = np.flatnonzero(seen)
+        pairs, pair = _numbered(pair, size * size)
         if len(pairs) <= 4096:
-            pair = (np.cumsum(seen) - 1).astype(np.int32)[pair]
             four = pair[at - 3] * np.int32(len(pairs)) + pair[at - 1]
-            seen = np.bincount(four, minlength=len(pairs) ** 2) > 0
-            found = np.flatnonzero(seen)
+            found, four = _numbered(four, len(pairs) ** 2)
             two = (chars[pairs // size] << np.uint64(16)) | chars[pairs % size]
             codes = (two[found // len(pairs)] << np.uint64(32)) | two[found % len(pairs)]
-            return codes, at, (np.cumsum(seen) - 1).astype(np.int32)[four]
+            return codes, at, four
     s = sym.astype(np.uint64)
     code = s[at] | (s[at - 1] << np.uint64(16)) | (s[at - 2] << np.uint64(32)) | (s[at - 3] << np.uint64(48))
     codes, inverse = np.unique(code, return_inverse=True)

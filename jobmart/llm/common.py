@@ -58,6 +58,8 @@ def mapped(docs: DataFrame, text_col: str, keep: list[str], added: dict[str, str
     type): each task calls ``make()`` once, and what it returns maps a list of texts
     (null as the empty text) to one array for each added column."""
     schema = docs.select(keep).schema
+    # A kept text crosses to Python once.
+    at = keep.index(text_col) if text_col in keep and schema[text_col].dataType.simpleString() == "string" else len(keep)
     for name, kind in added.items():
         schema = schema.add(name, kind)
     names, kinds = schema.names, [ARROW[k] for k in added.values()]
@@ -66,8 +68,9 @@ def mapped(docs: DataFrame, text_col: str, keep: list[str], added: dict[str, str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(own).to_pylist()]
+            texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
             new = [pa.array(x, kind, from_pandas=True) for x, kind in zip(work(texts), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(own)] + new, names=names)
 
-    return docs.select(*keep, docs[text_col].alias("_text")).mapInArrow(run, schema)
+    sent = docs.select(*keep) if at < own else docs.select(*keep, docs[text_col].alias("_text"))
+    return sent.mapInArrow(run, schema)
