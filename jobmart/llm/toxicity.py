@@ -52,12 +52,24 @@ SLOTS = 1 << 23
 
 # Fixed values of the channel: what a character may stand for.
 LEET = {
-    "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
+    "0": "ou", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l",
 }
 MASKS = "*#%&?"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-LEET_COST, MASK_COST, DROP_COST, SHRINK_COST, JOIN_COST = 1.0, 3.0, 1.0, 0.5, 0.5
+# Letters of other scripts that look like Latin ones.
+LOOKALIKES = {
+    "а": "a", "в": "b", "е": "e", "з": "z", "и": "u", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "п": "n",
+    "р": "p", "с": "c", "ѕ": "s", "т": "t", "у": "y", "х": "x", "һ": "h", "ԁ": "d", "ɡ": "g", "ո": "n",
+    "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
+}
+LEET_COST, MASK_COST, DROP_COST, SHRINK_COST, JOIN_COST, LOOK_COST = 1.0, 3.0, 1.0, 0.5, 0.5, 0.5
+# From so many masks in a row on, their paths are searched in arrays.
+LONG_MASK = 3
+# Masks at the end of a token whose best readings are tabulated once, by context.
+TAIL_MASKS = 8
+# Characters beside a to z whose contexts the table has.
+TAIL_CHARS = 14
 MAX_CACHE = 100_000
 # Longer tokens (runs of single letters) are decoded each time.
 MAX_CACHED = 200
@@ -67,10 +79,12 @@ SPACE, LETTER, STAND_IN, EXCLAMATION, OTHER = range(5)
 
 _EDGES = re.compile(r"^[\"'(\[{<«“]+|[\"')\]}>»”.,;:!?]+$")
 _DOUBLED = re.compile(r"(.)\1")
+_RUNS = re.compile(rb"(.)\1+")
 _REPEATED = re.compile(r"((.)\2+)")
-# Three masks in a row, as in a dividing line, mask nothing.
+# Masks set apart, as in a dividing line, mask nothing.
 _DIVIDER = re.compile(r"(?<!\S)(?:[*#%&?] ){2,}[*#%&?](?!\S)")
-_DECORATION = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}$")
+# Other signs in a row around a word; masks are no decoration.
+_DECORATION = re.compile(r"^([^\w\s*#%&?])\1{2,}|([^\w\s*#%&?])\2{2,}$")
 
 
 @cache
@@ -90,25 +104,77 @@ def _kinds() -> np.ndarray:
     return table
 
 
+@cache
+def _odd() -> np.ndarray:
+    """1 for letters that look like Latin ones, 2 for those that compatibility
+    normalisation (NFKC) changes."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    table[[ord(c) for c in LOOKALIKES]] = 1
+    for cp in [*range(0xAA, 0x3100), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F), *range(0x1D400, 0x1D800)]:
+        if chr(cp).isalpha() and unicodedata.normalize("NFKC", chr(cp)) != chr(cp):
+            table[cp] = 2
+    return table
+
+
 def _is_letter(char: str) -> bool:
     return char.isalpha() or unicodedata.category(char)[0] == "M"
 
 
+class Tails:
+    """For masks that end a token, the search from its end, over all contexts of the most
+    frequent characters: costs of a letter or the end after each context, and the least
+    cost of what 0 to ``TAIL_MASKS`` masks and the end add."""
+
+    def __init__(self, model: charlm.CharModel):
+        often = model.keys[1][np.argsort(-model.logp[1], kind="stable")].tolist()
+        more = [chr(c) for c in often if chr(c).isalpha() and not 0xE000 <= c < 0xF900 and chr(c) not in LETTERS]
+        self.chars = " " + LETTERS + "".join(more[:TAIL_CHARS])
+        self.index = {c: i for i, c in enumerate(self.chars)}
+        size, after = len(self.chars), 1 + len(LETTERS)
+        s = _symbols()[[ord(c) for c in self.chars]].astype(np.uint64)
+        three = (s[:, None, None] << np.uint64(48)) | (s[None, :, None] << np.uint64(32)) | (s[None, None, :] << np.uint64(16))
+        cost = -model.log_prob((three[..., None] | s[:after]).ravel()).reshape(size, size, size, after)
+        out = [cost[..., 0]]
+        for _ in range(TAIL_MASKS):
+            letter = (cost[..., 1:] + out[-1][None, :, :, 1:after]).min(-1) + MASK_COST
+            out.append(np.minimum(letter, out[-1] + DROP_COST * 4))
+        self.cost, self.least = cost.astype(np.float32), np.array(out, dtype=np.float32)
+
+
 class Restorer:
     """Viterbi decoding of a token's character lattice under the language model."""
 
-    def __init__(self, model: charlm.CharModel | None):
+    def __init__(self, model: charlm.CharModel | None, tails: Tails | None = None):
         self.model = model
+        self.tails = Tails(model) if tails is None and model is not None else tails
+        self.ends: dict[tuple[str, int], tuple[float, str]] = {}
         self.memo: dict[str, str] = {}
         self.words: dict[str, list[bytes]] = {}
         self.costs: dict[str, float] = {}
+        self.tables: dict[str, np.ndarray] = {}
+
+    def _look_up(self, grams: Iterable[str]) -> None:
+        grams = [g for g in grams if g not in self.costs]
+        if grams:
+            self.costs.update(zip(grams, self._cost("".join(grams)).tolist(), strict=True))
+
+    def _cost(self, joined: str) -> np.ndarray:
+        """Costs of 4-grams, written one after the other."""
+        cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        s = _symbols()[cps].astype(np.uint64).reshape(-1, 4)
+        code = s[:, 3] | (s[:, 2] << np.uint64(16)) | (s[:, 1] << np.uint64(32)) | (s[:, 0] << np.uint64(48))
+        return -self.model.log_prob(code)
 
     def _price(self, lattices: Iterable[list[list[tuple[str, float]]]]) -> None:
-        """Look up all 4-grams on the paths of the lattices at once."""
+        """Look up all 4-grams on the paths of the lattices at once, up to a long run of
+        masks; what follows one is looked up while decoding."""
         needed: set[str] = set()
         for steps in lattices:
             contexts = {"   "}
             for options in steps:
+                if isinstance(options, int):
+                    contexts = set()
+                    break
                 following = set()
                 for context in contexts:
                     for text, _ in options:
@@ -121,18 +187,84 @@ class Restorer:
             needed.update(context + " " for context in contexts)
         if len(self.costs) > MAX_CACHE:
             self.costs.clear()
-        grams = [g for g in needed if g not in self.costs]
-        if grams:
-            cps = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-            s = _symbols()[cps].astype(np.uint64).reshape(-1, 4)
-            code = s[:, 3] | (s[:, 2] << np.uint64(16)) | (s[:, 1] << np.uint64(32)) | (s[:, 0] << np.uint64(48))
-            self.costs.update(zip(grams, (-self.model.log_prob(code)).tolist(), strict=True))
+        self._look_up(needed)
+
+    def _tail(self, context: str, count: int) -> tuple[float, str]:
+        """Least cost and reading of ``count`` masks that end a token, after a context."""
+        found = self.ends.get((context, count))
+        if found is not None:
+            return found
+        at = [self.tails.index.get(c) for c in context]
+        if None not in at and count <= TAIL_MASKS + 1:
+            if not count:
+                return float(self.tails.cost[(*at, 0)]), ""
+            least = self.tails.least[count - 1]
+            letter = self.tails.cost[tuple(at)][1:] + least[at[1], at[2], 1 : 1 + len(LETTERS)]
+            best, stay = int(letter.argmin()), float(least[tuple(at)]) + DROP_COST * 4
+            cost, char = float(letter[best]) + MASK_COST, LETTERS[best]
+            if stay <= cost:
+                cost, char = stay, ""
+        else:
+            self._look_up([context + c for c in (" " + LETTERS if not count else LETTERS)])
+            if not count:
+                return self.costs[context + " "], ""
+            options = [
+                (MASK_COST + self.costs[context + c] + self._tail(context[1:] + c, count - 1)[0], c) for c in LETTERS
+            ]
+            cost, char = min([*options, (DROP_COST * 4 + self._tail(context, count - 1)[0], "")])
+        rest = self._tail(context[1:] + char if char else context, count - 1)[1]
+        if len(self.ends) > MAX_CACHE:
+            self.ends.clear()
+        self.ends[context, count] = cost, char + rest
+        return cost, char + rest
+
+    def _masked(self, paths: dict[str, tuple[float, tuple]], count: int) -> dict[str, tuple[float, tuple]]:
+        """The paths after ``count`` masks, each any letter or nothing: the same search over
+        all contexts at once."""
+        chars = "".join(sorted(set(LETTERS).union(*paths)))
+        size, letters = len(chars), np.array([chars.index(c) for c in LETTERS])
+        table = self.tables.get(chars)
+        if table is None:
+            grams = [a + b + c + d for a in chars for b in chars for c in chars for d in LETTERS]
+            if len(self.tables) > 2:
+                self.tables.clear()
+            table = self._cost("".join(grams)).astype(np.float32).reshape(size, size, size, len(LETTERS))
+            self.tables[chars] = table
+        cost = np.full((size, size, size), np.inf, dtype=np.float32)
+        for context, (own, _) in paths.items():
+            cost[tuple(chars.index(c) for c in context)] = own
+        back = []
+        for _ in range(count):
+            longer = cost[..., None] + table
+            came = longer.argmin(0)
+            best = np.full(cost.shape, np.inf, dtype=np.float32)
+            best[:, :, letters] = np.take_along_axis(longer, came[None], 0)[0] + MASK_COST
+            source = np.full(cost.shape, -1)
+            source[:, :, letters] = came
+            stay = cost + DROP_COST * 4
+            source[stay <= best] = -1
+            cost = np.minimum(best, stay)
+            back.append(source)
+        ends = np.argwhere(np.isfinite(cost))
+        state, read = ends.copy(), np.full((len(ends), count), size)
+        for k in range(count - 1, -1, -1):
+            came = back[k][tuple(state.T)]
+            moved = came >= 0
+            read[moved, k] = state[moved, 2]
+            state[moved] = np.column_stack([came, state[:, 0], state[:, 1]])[moved]
+        shown = np.array([*chars, ""], dtype=object)
+        out = {}
+        for end, start, text in zip(ends.tolist(), state.tolist(), shown[read].sum(1).tolist(), strict=True):
+            before = paths["".join(chars[i] for i in start)][1]
+            out["".join(chars[i] for i in end)] = (float(cost[tuple(end)]), (before, text) if text else before)
+        return out
 
     @staticmethod
-    def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """Options (text, cost) of each step of the token."""
+    def lattice(token: str) -> list[list[tuple[str, float]] | int]:
+        """Options (text, cost) of each step of the token; a number stands for so many
+        masks in a row, a negative one for those at the end."""
         steps = []
-        if token.isalpha():
+        if token.isalpha() and (token.isascii() or not any(c in LOOKALIKES for c in token)):
             # Letters between doubled ones are one step, but for the first three, after
             # which all paths have one context again.
             for plain, run, _ in batched([*_REPEATED.split(token), "", ""], 3):
@@ -154,14 +286,20 @@ class Restorer:
                 steps.append([(char * min(run, 2), SHRINK_COST if run > 2 else 0.0)])
                 if run > 1:
                     steps[-1].append((char, SHRINK_COST))
+                if char in LOOKALIKES:
+                    steps[-1] += [(LOOKALIKES[char] * (run if run < 3 else 2), LOOK_COST)]
             elif char in LEET:
                 options = [(c * min(run, 2), LEET_COST) for c in LEET[char]]
                 if run > 1:
                     options += [(c, LEET_COST + SHRINK_COST) for c in LEET[char]]
                 steps.append([*options, ("", DROP_COST * 4 * min(run, 3))])
-            elif char in MASKS and run < 3:
-                drop = 0.0 if char == "?" and i == len(token) else DROP_COST * 4
-                steps.append([(c, MASK_COST) for c in LETTERS] + [("", drop)])
+            elif char in MASKS:
+                end_mark = char == "?" and i == len(token) and run == 1
+                masks = [[(c, MASK_COST) for c in LETTERS] + [("", 0.0 if end_mark else DROP_COST * 4)]]
+                if i == len(token) and run > 1:
+                    steps.append(-run)
+                else:
+                    steps += [run] if run >= LONG_MASK else masks * run
             else:
                 steps.append([("", DROP_COST)])
         return steps
@@ -210,7 +348,17 @@ class Restorer:
         costs = self.costs
         # Context -> (cost, letters so far as a linked list).
         paths: dict[str, tuple[float, tuple]] = {"   ": (0.0, ())}
+        late = False
         for options in steps:
+            if isinstance(options, int) and options < 0:
+                ends = {x: self._tail(x, -options) for x in paths}
+                context = min(paths, key=lambda x: (paths[x][0] + ends[x][0], x))
+                return "".join([*_texts(paths[context][1]), ends[context][1]])
+            if isinstance(options, int):
+                paths, late = self._masked(paths, options), True
+                continue
+            if late:
+                self._look_up({g for x in paths for text, _ in options for g in _grams(x, text)})
             following: dict[str, tuple[float, tuple]] = {}
             for context, (cost, so_far) in paths.items():
                 for text, price in options:
@@ -223,18 +371,33 @@ class Restorer:
                     if best is None or total < best[0]:
                         following[ctx] = (total, (so_far, text) if text else so_far)
             paths = following
+        if late:
+            self._look_up({x + " " for x in paths})
         ends = [(cost + costs[context + " "], context, so_far) for context, (cost, so_far) in paths.items()]
         _, _, node = min(ends, key=lambda x: x[:2])
-        out = []
-        while node:
-            node, text = node
-            out.append(text)
-        return "".join(reversed(out))
+        return "".join(_texts(node))
+
+
+def _texts(node: tuple) -> list[str]:
+    out = []
+    while node:
+        node, text = node
+        out.append(text)
+    return out[::-1]
+
+
+def _grams(context: str, text: str) -> Iterator[str]:
+    for c in text if text != " " or context[-1] != " " else "":
+        yield context + c
+        context = context[1:] + c
 
 
 def _core(raw: str) -> str:
     """A token without outer punctuation, but for a question mark after a letter, which
-    may be a mask; the letters of a run one space apart. Empty: no letters."""
+    may be a mask; the letters of a run one space apart, compatibility forms (NFKC) as
+    plain letters. Empty: no letters."""
+    if not raw.isascii():
+        raw = unicodedata.normalize("NFKC", raw).lower()
     token = " ".join(_DIVIDER.sub("", " ".join(raw.split())).split())
     core = _EDGES.sub("", token)
     end = token.find(core) + len(core)
@@ -253,6 +416,11 @@ def suspicious(kind: np.ndarray, cps: np.ndarray, ends: np.ndarray) -> tuple[np.
     flag[:-1] |= other[:-1] & letter[1:]
     flag[1:] |= (kind[1:] == STAND_IN) & letter[:-1]
     flag[1:] |= letter[1:] & (cps[1:] == cps[:-1])
+    if cps.max(initial=0) > 0xA9:
+        odd = _odd()[cps]
+        flag |= odd == 2
+        # A letter that looks like a Latin one, beside one that does not.
+        flag[1:] |= (odd[1:] != odd[:-1]) & letter[1:] & letter[:-1]
     change = np.diff(np.concatenate([[0], (kind != SPACE).view(np.int8), [0]]))
     first, last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     at = np.unique(np.searchsorted(first, np.flatnonzero(flag), "right") - 1)
@@ -265,8 +433,9 @@ def suspicious(kind: np.ndarray, cps: np.ndarray, ends: np.ndarray) -> tuple[np.
     return np.append(first[at], first[start]), np.append(last[at], last[stop])
 
 
-def words_of(texts: list[str], restorer: Restorer) -> Iterator[set[bytes]]:
-    """The distinct words of each restored text, lower case, as UTF-8."""
+def parsed(texts: list[str]) -> Iterator[tuple[list[bytes], list[str], np.ndarray]]:
+    """For some texts at a time: each one's letters (lower case, UTF-8, others a space),
+    the tokens to decode and the text of each."""
     for a, b in text_steps(texts):
         part = [t.lower() for t in texts[a:b]]
         joined = "\n".join([*part, ""])
@@ -275,15 +444,22 @@ def words_of(texts: list[str], restorer: Restorer) -> Iterator[set[bytes]]:
         kind = _kinds()[cps]
         first, last = suspicious(kind, cps, ends)
         raws = [joined[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+        plain = np.where(kind == LETTER, cps, np.uint32(32))
+        plain[ends - 1] = 10
+        lines = plain.astype("<u4").tobytes().decode("utf-32-le").encode().split(b"\n")[:-1]
+        yield lines, raws, np.searchsorted(ends, first, "right")
+
+
+def words_of(texts: list[str], restorer: Restorer) -> Iterator[set[bytes]]:
+    """The distinct words of each restored text, lower case, as UTF-8."""
+    for lines, raws, where in parsed(texts):
         known = restorer.readings(raws)
         extra: dict[int, list[bytes]] = {}
-        for raw, text in zip(raws, np.searchsorted(ends, first, "right").tolist(), strict=True):
+        for raw, text in zip(raws, where.tolist(), strict=True):
             if known[raw]:
                 extra.setdefault(text, []).extend(known[raw])
-        plain = np.where(kind == LETTER, cps, np.uint32(32))
-        plain[ends - 1] = 10
-        for i, words in enumerate(plain.astype("<u4").tobytes().decode("utf-32-le").encode().split(b"\n")[:-1]):
-            words = set(words.split())
+        for i, line in enumerate(lines):
+            words = set(line.split())
             words.update(extra.get(i, ()))
             yield words
 
@@ -298,9 +474,10 @@ def _features(words: set[bytes]) -> set[bytes]:
 
 def _count_features(model, slots: np.ndarray | None = None):
     """Partial counts of the texts that have a feature (in one of the packed ``slots``)."""
+    tails = None if model is None else Tails(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, sums = Restorer(model), Counter()
+        restorer, sums = Restorer(model, tails), Counter()
         wanted = None if slots is None else np.unpackbits(slots).tobytes()
         for pdf in batches:
             for words in words_of(no_nulls(pdf["text"]), restorer):
@@ -380,10 +557,16 @@ class Scorer:
     def __init__(self, weights: dict[bytes, float], cache: int = 200_000):
         self.whole = {f[1:]: w for f, w in weights.items() if f[:1] == b" "}
         self.starts = {f: w for f, w in weights.items() if f[:1] != b" "}
+        self.heads = {f[: PREFIXES[0]] for f in (*self.whole, *self.starts)}
+        self.single_heads = {_RUNS.sub(rb"\1", f) for f in self.heads}
+        self.begun = {f[:k] for f in self.heads for k in range(len(f) + 1)}
+        self.reach: dict[str, bool] = {}
         self.memo: dict[bytes, float] = {}
         self.cache = cache
 
     def weight(self, word: bytes) -> float:
+        if word[: PREFIXES[0]] not in self.heads:
+            return 0.0
         found = self.memo.get(word)
         if found is None:
             found = max([self.whole.get(word, 0.0), *(self.starts.get(word[:k], 0.0) for k in PREFIXES if len(word) > k)])
@@ -393,24 +576,78 @@ class Scorer:
         return found
 
     def evidence(self, words: set[bytes]) -> tuple[float, float, float]:
-        memo, total, best = self.memo, 0.0, 0.0
-        for w in words:
-            x = memo.get(w)
-            if x is None:
-                x = self.weight(w)
-            if x:
-                total += x
-                best = max(best, x)
+        heads = self.heads
+        found = [self.weight(w) for w in words if w[: PREFIXES[0]] in heads]
+        best = max(found, default=0.0)
         # Without evidence the length says nothing.
-        return best, float(np.log1p(total)), float(np.log1p(len(words))) if best else 0.0
+        return best, float(np.log1p(sum(found))), float(np.log1p(len(words))) if best else 0.0
+
+
+    def may_hold(self, raw: str) -> bool:
+        """Whether any path of the token's lattice begins like a lexicon entry; if none
+        does, its reading gives no evidence."""
+        found = self.reach.get(raw)
+        if found is None:
+            if len(self.reach) > self.cache:
+                self.reach.clear()
+            if raw.isascii() and raw.isalpha():
+                # A reading differs from letters in how often they are repeated only.
+                single = _RUNS.sub(rb"\1", raw.encode())
+                found = any(single[:k] in self.single_heads for k in range(1, PREFIXES[0] + 1))
+            else:
+                core = _core(raw)
+                found = bool(core) and (" " in core or self._walk(Restorer.lattice(core)))
+            self.reach[raw] = found
+        return found
+
+    def _walk(self, steps: list) -> bool:
+        states, size = {b""}, PREFIXES[0]
+        for options in steps:
+            if isinstance(options, int):
+                return True
+            following = set()
+            for state in states:
+                for text, _ in options:
+                    longer = state + text.encode()
+                    if any(longer[:k] in self.heads for k in range(1, size + 1)):
+                        return True
+                    if longer in self.begun:
+                        following.add(longer)
+            if not following:
+                return False
+            states = following
+        return False
+
+    def of(self, texts: list[str], restorer: Restorer) -> Iterator[tuple[float, float, float]]:
+        """The evidence of each restored text. Only tokens that may hold some are decoded,
+        but for texts that have some: those are restored whole."""
+        for lines, raws, where in parsed(texts):
+            own = [i for i, raw in enumerate(raws) if self.may_hold(raw)]
+            known = restorer.readings([raws[i] for i in own])
+            extra: dict[int, list[bytes]] = {}
+            for i in own:
+                extra.setdefault(int(where[i]), []).extend(known[raws[i]])
+            by_text = np.argsort(where, kind="stable")
+            starts = np.searchsorted(where[by_text], np.arange(len(lines) + 1))
+            for i, line in enumerate(lines):
+                words = set(line.split())
+                words.update(extra.get(i, ()))
+                found = self.evidence(words)
+                if found[0]:
+                    rest = [raws[k] for k in by_text[starts[i] : starts[i + 1]]]
+                    words.update(*restorer.readings(rest).values())
+                    found = self.evidence(words)
+                yield found
 
 
 def _evidence(model, weights):
+    tails = None if model is None else Tails(model)
+
     def make():
-        restorer, scorer = Restorer(model), Scorer(weights)
+        restorer, scorer = Restorer(model, tails), Scorer(weights)
 
         def find(texts: list[str]):
-            found = [scorer.evidence(w) for w in words_of(texts, restorer)]
+            found = list(scorer.of(texts, restorer))
             return np.array(found, dtype=float).reshape(-1, 3).T
 
         return find
@@ -420,9 +657,10 @@ def _evidence(model, weights):
 
 def _score(model, weights, coefficients):
     start, *slopes = coefficients
+    evidence = _evidence(model, weights)
 
     def make():
-        find = _evidence(model, weights)()
+        find = evidence()
 
         def score(texts: list[str]):
             return (1 / (1 + np.exp(-(start + np.array(slopes) @ find(texts)))),)
