@@ -79,6 +79,7 @@ SPACE, LETTER, STAND_IN, EXCLAMATION, OTHER = range(5)
 
 _EDGES = re.compile(r"^[\"'(\[{<«“]+|[\"')\]}>»”.,;:!?]+$")
 _DOUBLED = re.compile(r"(.)\1")
+_LEAD = re.compile(r"[a-z]{2,}")
 _RUNS = re.compile(rb"(.)\1+")
 _REPEATED = re.compile(r"((.)\2+)")
 # Masks set apart, as in a dividing line, mask nothing.
@@ -559,6 +560,7 @@ class Scorer:
         self.starts = {f: w for f, w in weights.items() if f[:1] != b" "}
         self.heads = {f[: PREFIXES[0]] for f in (*self.whole, *self.starts)}
         self.single_heads = {_RUNS.sub(rb"\1", f) for f in self.heads}
+        self.single_begun = {f[:k] for f in self.single_heads for k in range(len(f) + 1)}
         self.begun = {f[:k] for f in self.heads for k in range(len(f) + 1)}
         self.reach: dict[str, bool] = {}
         self.memo: dict[bytes, float] = {}
@@ -594,12 +596,23 @@ class Scorer:
                 # A reading differs from letters in how often they are repeated only.
                 single = _RUNS.sub(rb"\1", raw.encode())
                 found = any(single[:k] in self.single_heads for k in range(1, PREFIXES[0] + 1))
+            elif not self._may_begin(raw):
+                found = False
             else:
                 core = _core(raw)
                 found = bool(core) and (" " in core or self._walk(Restorer.lattice(core)))
             self.reach[raw] = found
         return found
 
+    def _may_begin(self, raw: str) -> bool:
+        """False if the letters that a token begins with rule out all entries."""
+        lead = _LEAD.match(raw)
+        if lead is None or len(raw.split(None, 1)) > 1:
+            return True
+        # A mark may still change the last letter of what is not ASCII.
+        lead = _RUNS.sub(rb"\1", (lead[0] if raw.isascii() else lead[0][:-1]).encode())
+        return lead in self.single_begun or any(lead[:k] in self.single_heads for k in range(1, PREFIXES[0] + 1))
+
     def _walk(self, steps: list) -> bool:
         states, size = {b""}, PREFIXES[0]
         for options in steps:
