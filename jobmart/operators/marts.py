@@ -69,3 +69,13 @@ def job_skills(postings: DataFrame) -> DataFrame:
     return exploded.select("job_id", F.col("skill").cast("string").alias("skill_name")).where(
         F.col("skill_name").isNotNull()
     )
+
+
+def skill_report(fact: DataFrame, skills: DataFrame) -> DataFrame:
+    """§2.9: postings and mean salary of each skill. Over marts that are bucketed on
+    ``job_id`` the join needs no shuffle."""
+    distinct = skills.groupBy("job_id", "skill_name").agg(F.lit(1).alias("_one")).drop("_one")
+    joined = distinct.join(fact.select("job_id", "salary_avg"), "job_id")
+    return joined.groupBy("skill_name").agg(
+        F.count(F.lit(1)).alias("postings"), F.round(F.avg("salary_avg"), 4).alias("mean_salary")
+    )

@@ -33,7 +33,8 @@ from jobmart.functions.variant import evaluate_once, get, is_job_posting, truthy
 
 # The value of an anchor's own href attribute: a space before it, so that data-href is
 # another attribute, and quoted values of other attributes are skipped whole.
-_SKIP = r"""(?:"[^"]*"|'[^']*'|[^>"'])*?"""
+# Possessive, so that the matcher loops instead of recursing over a long tag.
+_SKIP = r"""(?:(?!\shref\s*=)(?:[^>"']|"[^"]*+"|'[^']*+'))*+"""
 HREF_PATTERN = rf"""(?i)<a(?=\s){_SKIP}\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 JSONLD_PATTERN = r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
 _SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
@@ -83,9 +84,9 @@ def resolve_url(href: Column, base: Column) -> Column:
 
 def hrefs(html: Column) -> Column:
     """The href of every anchor in document order, trimmed, entities decoded."""
-    values = [F.regexp_extract_all(html, F.lit(HREF_PATTERN), F.lit(k)) for k in (1, 2, 3)]
-    whole = F.transform(F.arrays_zip(*values), lambda x: F.concat(x["0"], x["1"], x["2"]))
-    return F.transform(whole, lambda h: strip_ws(decode_entities(h)))
+    tags = F.regexp_extract_all(html, F.lit(HREF_PATTERN), F.lit(0))
+    value = lambda tag: F.concat(*[F.regexp_extract(tag, HREF_PATTERN, k) for k in (1, 2, 3)])
+    return F.transform(tags, lambda tag: strip_ws(decode_entities(value(tag))))
 
 
 def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -592,3 +592,44 @@ SELECT CAST(b.k AS VARCHAR) AS job_id, CAST(NULL AS VARCHAR) AS job_title, CAST(
 FROM base b JOIN fact f ON f.k = b.k
 """
 )
+
+# Stored tables and streams with state end up with the same rows as the batch merges.
+SQL["stored_upsert"] = SQL["upsert_fields"]
+SQL["stored_insert"] = SQL["insert_if_absent"]
+SQL["landed_objects"] = SQL["landing_dedup"]
+SQL["state_last_wins"] = SQL["stream_last_wins"]
+SQL["state_first_wins"] = SQL["stream_first_wins"]
+SQL["stream_new_keys"] = f"""
+SELECT user_id, CAST(CASE WHEN min(ts) < {_CUT} THEN 1 ELSE 2 END AS INTEGER) AS run
+FROM events GROUP BY user_id
+"""
+SQL["file_rejects"] = """
+WITH d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, min(event_id) AS id FROM events GROUP BY 1)
+SELECT day, 'read' AS outcome, n FROM d
+UNION ALL
+SELECT day, CASE id % 5 WHEN 2 THEN 'empty' WHEN 4 THEN 'no document' ELSE 'not json' END, 1 FROM d
+"""
+SQL["file_times"] = """
+SELECT event_id, 'source=' || event_type || '/dt=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS folder, true AS same FROM events
+"""
+SQL["skill_report"] = with_feed(
+    """
+SELECT skill_name, count(*) AS postings, round(avg((salary_min + salary_max) / 2), 4) AS mean_salary
+FROM (SELECT DISTINCT CAST(s.k AS VARCHAR) AS job_id, s.p_type AS skill_name
+      FROM skill_lines s JOIN base b ON s.k = b.k WHERE s.p_type IS NOT NULL) JOIN fact USING (job_id)
+GROUP BY skill_name
+""",
+    SKILL_LINES_CTE,
+)
+SQL["label_encoder"] = with_feed(
+    f"""
+, encoded AS (
+  SELECT job_id, nullif(location, '') AS location, {_MD5_SPLIT} AS is_train FROM fact
+), labels AS (
+  SELECT location, row_number() OVER (ORDER BY count(*) DESC, location) - 1 AS i
+  FROM encoded WHERE is_train AND location <> 'ASIA' GROUP BY location
+)
+SELECT e.job_id, e.location, CAST(coalesce(i, (SELECT count(*) FROM labels)) AS DOUBLE) AS loc_idx
+FROM encoded e LEFT JOIN labels USING (location) WHERE NOT is_train
+"""
+)

@@ -340,18 +340,22 @@ def q_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("event_id", "ts", "event_type")
 
 
-@register("upsert_fields")
-def q_upsert_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 field level (``$set``) + K6: keys of the batch are unsynced again, the others
-    keep their flag; both have keys that the other lacks."""
+def _field_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _keyed(spark, sf_dir)
-    updates = ev.select(
+    return ev.select(
         "user_id", "ts", "event_id",
         F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"),
         F.when(F.col("event_type") != "view", F.col("value")).alias("value"),
         F.when(F.col("event_type") != "click", F.col("props")).alias("props"),
         (F.col("event_id") % 2 == 0).alias("synced_to_datalake"),
     )
+
+
+@register("upsert_fields")
+def q_upsert_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 field level (``$set``) + K6: keys of the batch are unsynced again, the others
+    keep their flag; both have keys that the other lacks."""
+    updates = _field_updates(spark, sf_dir)
     existing = updates.where((F.col("ts") < _cut()) & _held("user_id", 3))
     batch = updates.where((F.col("ts") >= _cut()) & _held("user_id", 5)).drop("synced_to_datalake")
     return U.merge_fields(existing, batch, _KEY, _VERSION, ["event_type", "value", "props"])
@@ -655,6 +659,150 @@ def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_raw(spark, root + "/out", _EVENT_DDL).select(*_EVENT_COLS)
 
 
+from jobmart.operators import stored as SD  # noqa: E402
+from jobmart.streaming import state as SS  # noqa: E402
+
+_STORED_DDL = (
+    "user_id bigint, event_type string, value double, props string, ts timestamp_ntz, event_id bigint, "
+    "synced_to_datalake boolean"
+)
+
+
+@register("stored_upsert")
+def q_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 field level and K6 into a stored table: a first load, a batch, and the same batch
+    again after a run that had applied it (which changes nothing)."""
+    updates = _field_updates(spark, sf_dir)
+    table = SD.StoredTable(spark, shared_dir(spark, "stored-upsert"), _STORED_DDL, _KEY, 16)
+    fields = ["event_type", "value", "props"]
+    first = updates.where((F.col("ts") < _cut()) & _held("user_id", 3))
+    # The first load keeps the flags that the documents have.
+    table.apply(first, 1, lambda old, new: U.merge_fields(new, old, _KEY, _VERSION, fields))
+    batch = updates.where((F.col("ts") >= _cut()) & _held("user_id", 5)).drop("synced_to_datalake")
+    table.set_fields(batch, 2, _VERSION, fields)
+    table.set_fields(batch, 2, _VERSION, fields)
+    return table.read()
+
+
+@register("stored_insert")
+def q_stored_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 into a stored table: signups, then all events twice; keys that are there stay."""
+    ev = _keyed(spark, sf_dir)
+    table = SD.StoredTable(spark, shared_dir(spark, "stored-insert"), _EVENT_DDL, _KEY, 16)
+    table.insert(ev.where((F.col("event_type") == "signup") & _held("user_id", 3)), 1, _VERSION)
+    batch = ev.where(F.col("event_type") != "signup")
+    table.insert(batch, 2, _VERSION)
+    table.insert(batch, 2, _VERSION)
+    return table.read().select(*_EVENT_COLS)
+
+
+@register("landed_objects")
+def q_landed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: documents landed, landed again, then newer ones of the same names: one object
+    stays for each name."""
+    root = shared_dir(spark, "objects")
+    docs = _events(spark, sf_dir).select(
+        F.col("event_type").alias("source"), F.to_date("ts").alias("day"), F.col("user_id").alias("doc_key"),
+        "ts", "event_id", "value",
+    )
+    ddl = "source string, day date, doc_key bigint, ts timestamp_ntz, event_id bigint, value double"
+    older = docs.where(F.col("event_id") % 3 != 0)
+    for batch in (older, older, docs):
+        SD.put_objects(batch, root, ddl, ["source", "day", "doc_key"], ["ts", "event_id"])
+    return spark.read.schema(f"{ddl}, part int").parquet(root).drop("part")
+
+
+def _stream_parts(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, Callable[[int], DataFrame]]:
+    """A folder, and a function that adds the events before (0) or from (1) the cut date to
+    the folder's input and gives it as a stream."""
+    root = shared_dir(spark, name)
+
+    def arrive(part: int) -> DataFrame:
+        ev = _events(spark, sf_dir)
+        own = F.col("ts") < _cut()
+        ev.where(own if part == 0 else ~own).write.mode("append").parquet(root + "/in")
+        return ST.file_stream(spark, root + "/in", _EVENT_DDL)
+
+    return root, arrive
+
+
+@register("state_last_wins")
+def q_state_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 on a stream with state, stopped and started again from its checkpoint."""
+    root, arrive = _stream_parts(spark, sf_dir, "state-last")
+    for part in (0, 1):
+        SS.last_wins(arrive(part), _KEY, _VERSION, root + "/log", root + "/checkpoint")
+    return U.latest_per_key(spark.read.parquet(root + "/log"), _KEY, _VERSION).select(*_EVENT_COLS)
+
+
+@register("state_first_wins")
+def q_state_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 on a stream with state, stopped and started again: every key is written once."""
+    root, arrive = _stream_parts(spark, sf_dir, "state-first")
+    for part in (0, 1):
+        SS.first_wins(arrive(part), _KEY, _VERSION, root + "/out", root + "/checkpoint")
+    return spark.read.parquet(root + "/out").select(*_EVENT_COLS)
+
+
+@register("stream_new_keys")
+def q_stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Y5 on a stream: two runs with one checkpoint; the second adds unseen keys only."""
+    root, arrive = _stream_parts(spark, sf_dir, "stream-new-keys")
+    for part in (0, 1):
+        keys = arrive(part).select("user_id", F.lit(part + 1).alias("run"))
+        SS.unseen_keys(keys, _KEY, root + "/out", root + "/checkpoint")
+    return spark.read.parquet(root + "/out").select("user_id", "run")
+
+
+@register("file_rejects")
+def q_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each day one whole file and a broken one (cut-off array, cut-off object,
+    empty, no JSON, a bare number): documents of the whole files, rejects by reason."""
+    root = shared_dir(spark, "file-rejects")
+    ev = _with_day(_events(spark, sf_dir))
+    sinks.write_array_files(ev.select(F.to_json(F.struct("event_id", "event_type")).alias("doc"), F.col("day").alias("dt")), root, ["dt"])
+    first = ev.groupBy("day").agg(F.min("event_id").alias("id"))
+    text = F.concat(F.lit('{"event_id":'), F.col("id").cast("string"))
+    broken = first.select(
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("["), text, F.lit("},")))
+        .when(F.col("id") % 5 == 1, text)
+        .when(F.col("id") % 5 == 2, F.lit(""))
+        .when(F.col("id") % 5 == 3, F.lit("<html>"))
+        .otherwise(F.col("id").cast("string")).alias("value"),
+        F.col("day").alias("dt"),
+    )
+    broken.write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", "\n").partitionBy("dt").text(root)
+    docs, rejects = readers.read_array_files_checked(spark, root)
+    day = F.regexp_extract("file_path", r"/dt=([0-9-]+)/", 1).alias("day")
+    whole = docs.groupBy(day).agg(F.count(F.lit(1)).alias("n")).select("day", F.lit("read").alias("outcome"), "n")
+    return whole.unionByName(rejects.groupBy(day, F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("file_times")
+def q_file_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest time and source file of landed documents, equal when read again."""
+    root = shared_dir(spark, "file-times")
+    ev = _with_day(_events(spark, sf_dir)).withColumn("source", F.col("event_type")).withColumnRenamed("day", "dt")
+    sinks.write_landing(ev, root, ["source", "dt"])
+    read = lambda: readers.with_file_times(readers.read_raw(spark, root, "event_id bigint"))
+    again = read().select("event_id", F.col("crawled_at").alias("_time"), F.col("source_file").alias("_file"))
+    joined = read().select("event_id", "crawled_at", "source_file").join(again, "event_id")
+    return joined.select(
+        "event_id", F.regexp_extract("source_file", r"/(source=[^/]+/dt=[^/]+)/", 1).alias("folder"),
+        ((F.col("crawled_at") == F.col("_time")) & (F.col("source_file") == F.col("_file"))).alias("same"),
+    )
+
+
+@register("skill_report")
+def q_skill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.9, K1: both marts stored in buckets of the job id, joined without a shuffle."""
+    root = shared_dir(spark, "skill-report")
+    mark = root.rsplit("-", 1)[-1]
+    fact = sinks.write_bucketed(q_jobs_fact(spark, sf_dir), f"jobs_fact_{mark}", root + "/fact", "job_id", 16)
+    skills = sinks.write_bucketed(q_job_skills(spark, sf_dir), f"job_skills_{mark}", root + "/skills", "job_id", 16)
+    return marts.skill_report(fact, skills)
+
+
 # ---------------------------------------------------------------------------
 # Salary model
 # ---------------------------------------------------------------------------
@@ -675,6 +823,16 @@ def q_string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("label").alias("location"), F.col("index").alias("loc_idx"))
 
 
+@register("label_encoder")
+def q_label_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: labels of the train split (but for one region's fallback), applied to the test
+    split: a label that training lacks, or null, gets the index behind all."""
+    rows = TR.hash_split(q_jobs_fact(spark, sf_dir)).withColumn("location", F.expr("nullif(location, '')"))
+    train = rows.where("is_train and (location is null or location <> 'ASIA')")
+    encoder = TR.LabelEncoder.fit(train, "location", shared_dir(spark, "label-encoder"))
+    return encoder.transform(rows.where("not is_train").select("job_id", "location"), "loc_idx")
+
+
 @register("hash_split")
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stable 80/20 split flag per job."""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobmart.sources.sinks import save_model
@@ -65,6 +65,25 @@ def label_index(df: DataFrame, column: str, work_dir: str) -> DataFrame:
     )
 
 
+class LabelEncoder:
+    """L2 as a fitted model: the label table of some rows, saved, and applied to any rows
+    by a join. A label that the table lacks, and null, get the extra index behind all
+    labels (``handleInvalid="keep"``)."""
+
+    def __init__(self, spark: SparkSession, column: str, path: str):
+        self.column, self.table = column, spark.read.parquet(path)
+
+    @classmethod
+    def fit(cls, rows: DataFrame, column: str, path: str) -> LabelEncoder:
+        label_index(rows, column, path + "-counts").write.mode("overwrite").parquet(path)
+        return cls(rows.sparkSession, column, path)
+
+    def transform(self, rows: DataFrame, out_col: str) -> DataFrame:
+        keep = F.lit(self.table.agg(F.count(F.lit(1)).cast("double")).first()[0])
+        table = self.table.select(F.col("label").alias(self.column), F.col("index").alias(out_col))
+        return rows.join(table, self.column, "left").withColumn(out_col, F.coalesce(out_col, keep))
+
+
 def encode_means(rows: DataFrame) -> DataFrame:
     """L3: rows (with ``is_train`` and the label) with the train split's mean salary of
     each category; a category that the train split lacks gets the overall mean."""

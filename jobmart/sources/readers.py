@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.functions.variant import unnest_documents
+from jobmart.functions.variant import evaluate_once, unnest_documents
 
 
 def normalize_path(path: str) -> tuple[str, str]:
@@ -60,6 +60,33 @@ def read_array_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(unnest_documents(F.col("file")).alias("doc"))
 
 
+def read_array_files_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S1 for legacy snapshot files, broken ones put aside: the documents (``doc``) with the
+    file they come from, and one reject for each file that is empty, no JSON (cut off,
+    for one) or holds no document: its path, what is wrong, and its length."""
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    files = files.select(F.col("_metadata.file_path").alias("file_path"), "value")
+    files = evaluate_once(files, F.try_parse_json("value"), "_file")
+    kind = F.schema_of_variant("_file")
+    files = files.withColumn(
+        "reason",
+        F.when(~F.col("value").rlike(r"\S"), F.lit("empty"))
+        .when(F.col("_file").isNull(), F.lit("not json"))
+        .when(~(kind.startswith("ARRAY") | kind.startswith("OBJECT")), F.lit("no document")),
+    )
+    rejects = files.where("reason is not null").select("file_path", "reason", F.length("value").alias("chars"))
+    docs = files.where("reason is null").select("file_path", unnest_documents(F.col("_file")).alias("doc"))
+    return docs, rejects
+
+
+def with_file_times(df: DataFrame, time_col: str = "crawled_at", file_col: str = "source_file") -> DataFrame:
+    """Ingest time and source file of each row of a file read, from the file's own
+    metadata, so that reading again gives the same."""
+    return df.withColumns(
+        {time_col: F.col("_metadata.file_modification_time"), file_col: F.col("_metadata.file_path")}
+    )
+
+
 _DAY_IN_PATH = (re.compile(r"/dt=(\d{4}-\d{2}-\d{2})/"), re.compile(r"/(\d{4})/(\d{2})/(\d{2})/"))
 
 

@@ -1,8 +1,8 @@
 """Sinks for marts, samples and landed documents (K1–K4, K9).
 
-Writes are partitioned files, never one object per document; outputs go to
-the shared folder the cluster configures (``spark.checkpoint.dir``) or to a
-caller-given path, never to a machine-local temp folder.
+Writes are partitioned files, never one object per document; outputs go to a path that
+the caller gives or to the shared folder that the cluster configures
+(``spark.checkpoint.dir``; a local folder stands in for it in local mode only).
 """
 
 from __future__ import annotations
@@ -82,6 +82,15 @@ def land_collections(collections: dict[str, DataFrame], root: str, partition_by:
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """K1 for joins: a catalogue table below ``path``, bucketed and sorted on ``key``, so
+    that marts with the same buckets join on it without a shuffle."""
+    rows = df.repartition(buckets, key)
+    writer = rows.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def to_json_doc(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One JSON document per row (ISO timestamps, ids as text, non-ASCII kept)."""
     cols = columns or df.columns
