@@ -23,13 +23,15 @@ from jobmart.llm.common import no_nulls, saved, text_steps
 ORDER = 4
 PAD, GAP = 1, 32
 FLUSH_TYPES = 1_000_000
+# No code point from here on is a letter.
+LAST_LETTER = 0x32400
 
 
 def letter_table() -> np.ndarray:
     """Symbol of each code point: lower-case letters and marks keep a 16-bit symbol,
     everything else is the gap symbol (astral letters are folded into 16 bits)."""
     table = np.full(0x110000, GAP, dtype=np.uint16)
-    for cp in range(0x30000):
+    for cp in range(LAST_LETTER):
         if 0xD800 <= cp < 0xE000:
             continue
         char = chr(cp)
@@ -40,6 +42,13 @@ def letter_table() -> np.ndarray:
     return table
 
 
+def letter_symbols(table: np.ndarray) -> np.ndarray:
+    """Whether a symbol stands for a letter; one that only marks have does not."""
+    found = np.zeros(1 << 16, dtype=bool)
+    found[[table[cp] for cp in range(LAST_LETTER) if table[cp] != GAP and chr(cp).isalpha()]] = True
+    return found
+
+
 def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts as one symbol array, each led by three pads and ended by a gap, gaps
     in a row merged; and each text's start in it."""

@@ -44,7 +44,7 @@ class Identifier:
     limits: dict[str, tuple[float, float, float]]  # mean, variance of a text's mean, variance of a character
 
 
-def entropies(texts: list[str], table: np.ndarray, models: list[charlm.CharModel], squares: bool = False):
+def entropies(texts: list[str], table: np.ndarray, letter: np.ndarray, models: list[charlm.CharModel], squares: bool = False):
     """Per text: characters scored, letters, and the summed negative log probability
     under each model (and its summed squares)."""
     n = np.zeros(len(texts))
@@ -56,7 +56,7 @@ def entropies(texts: list[str], table: np.ndarray, models: list[charlm.CharModel
         codes, at, inverse = charlm.grams(sym)
         first = np.searchsorted(at, starts)
         n[a:b] = np.diff(np.append(first, len(at)))
-        letters[a:b] = np.add.reduceat((sym != charlm.GAP) & (sym != charlm.PAD), starts)
+        letters[a:b] = np.add.reduceat(letter[sym], starts)
         for k, model in enumerate(models):
             cost = -model.log_prob(codes)
             sums[a:b, k] = np.add.reduceat(cost[inverse], first)
@@ -67,11 +67,12 @@ def entropies(texts: list[str], table: np.ndarray, models: list[charlm.CharModel
 
 def _calibrate(table: np.ndarray, models: dict[str, charlm.CharModel]):
     names = list(models)
+    letter = charlm.letter_symbols(table)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             pdf = pdf[pdf["lang"].isin(names)]
-            n, letters, sums, squared = entropies(no_nulls(pdf["text"]), table, list(models.values()), True)
+            n, letters, sums, squared = entropies(no_nulls(pdf["text"]), table, letter, list(models.values()), True)
             own = np.array([names.index(x) for x in pdf["lang"]], dtype=int)
             rows = np.arange(len(own))
             use = letters > 0
@@ -136,6 +137,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def _identify(table: np.ndarray, fitted: Identifier):
     names = list(fitted.models)
+    letter = charlm.letter_symbols(table)
     models = list(fitted.models.values())
     mean, between, within = (
         np.array([fitted.limits.get(x, (np.inf, 0.0, 0.0))[i] for x in names]) for i in range(3)
@@ -145,7 +147,7 @@ def _identify(table: np.ndarray, fitted: Identifier):
         if not names:
             count = len(texts)
             return [UNKNOWN] * count, [0.0] * count, [None] * count, [True] * count
-        n, letters, sums, _ = entropies(texts, table, models)
+        n, letters, sums, _ = entropies(texts, table, letter, models)
         best = sums.argmin(1)
         rows = np.arange(len(texts))
         entropy = sums[rows, best] / np.maximum(n, 1)

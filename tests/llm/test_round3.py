@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jobmart.llm import collocation, hard_negatives, suffix_dedup
+from jobmart.llm import charlm, collocation, hard_negatives, language, suffix_dedup, toxicity
 from jobmart.llm.suffix_array import Packer, Store, byte_suffixes
 
 
@@ -168,3 +168,88 @@ def test_segment_bounds_hold():
     finer = hard_negatives.pair_bounds(a, b, i, j, 1)
     assert (finer[0] <= true.ravel()).all() and (true.ravel() <= finer[1]).all()
     assert (finer[1] - finer[0]).mean() < (high - low).mean()
+
+
+def _small_model():
+    texts = ["you are a stupid idiot and a moron", "the cat sat on the mat, a fat cat", "most idiots are stupid"] * 9
+    codes, _, inverse = charlm.grams(charlm.symbols(texts, charlm.letter_table())[0])
+    return charlm.CharModel(codes, np.bincount(inverse, minlength=len(codes)), 30)
+
+
+def test_kneser_ney_equals_a_plain_one():
+    from collections import Counter
+
+    texts = ["abracadabra", "banana band", "abba"]
+    codes, _, inverse = charlm.grams(charlm.symbols(texts, charlm.letter_table())[0])
+    model = charlm.CharModel(codes, np.bincount(inverse, minlength=len(codes)), 9)
+    top = Counter()
+    for text in texts:
+        padded = "\x01\x01\x01" + text + " "
+        top.update(padded[i - 3 : i + 1] for i in range(3, len(padded)))
+    counts = {4: top}
+    for order in (3, 2, 1):
+        counts[order] = Counter(g[1:] for g in counts[order + 1])
+
+    def prob(gram):
+        if not gram:
+            return 1 / 9
+        own = counts[len(gram)]
+        ones, twos = max(sum(n == 1 for n in own.values()), 1), sum(n == 2 for n in own.values())
+        discount = min(max(ones / (ones + 2 * twos), 0.1), 0.95)
+        after = {g: n for g, n in own.items() if g[:-1] == gram[:-1]}
+        if not after:
+            return prob(gram[1:])
+        total = sum(after.values())
+        direct = max(after.get(gram, 0) - discount, 0) / total
+        rest = 1 - sum(max(n - discount, 0) for n in after.values()) / total
+        return direct + rest * prob(gram[1:])
+
+    for gram in ["abra", "bana", "zzza", "\x01\x01\x01a", "and ", "xabr", "naxn"]:
+        code = np.array([sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(gram))], dtype=np.uint64)
+        assert np.exp(model.log_prob(code)[0]) == pytest.approx(prob(gram), rel=1e-5)
+
+
+@pytest.mark.parametrize("token", ["m0r", "b*t", "caat", "x-y", "b#d", "h*", "f**", "1d10t", "mоr", "a b c", "c**t"])
+def test_viterbi_equals_all_paths(token):
+    restorer = toxicity.Restorer(_small_model())
+    mask = [(c, toxicity.MASK_COST) for c in toxicity.LETTERS] + [("", toxicity.DROP_COST * 4)]
+    steps = []
+    for options in restorer.lattice(token):
+        steps += [mask] * abs(options) if isinstance(options, int) else [options]
+    best = {}
+    for path in itertools.product(*steps):
+        cost, context, text = sum(c for _, c in path), "   ", ""
+        for char in "".join(t for t, _ in path) + " ":
+            if char == " " and context[-1] == " ":
+                continue
+            gram = context + char
+            if gram not in restorer.costs:
+                restorer._look_up([gram])
+            cost += restorer.costs[gram]
+            context, text = context[1:] + char, text + char
+        best[text.strip()] = min(cost, best.get(text.strip(), np.inf))
+    read = restorer.restore([token])[token].strip()
+    assert best[read] == pytest.approx(min(best.values()), abs=1e-3)
+
+
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [("st**id", "stupid"), ("i**ot", "idiot"), ("stu###", "stupid"), ("mo***", "moron"), ("st00pid", "stupid"), ("s****d", "stupid"),
+     ("ｍｏｒｏｎ", "moron"), ("mоron", "moron"), ("ⅿoron", "moron")],
+)
+def test_masks_and_look_alikes_are_restored(text, word):
+    [words] = toxicity.words_of([text], toxicity.Restorer(_small_model()))
+    assert word.encode() in words
+
+
+def test_scoring_of_likely_tokens_only_changes_nothing():
+    weights = {b" stupid": 2.0, b"mor": 1.0, b" cat": 0.5}
+    texts = ["st**id cats", "a m0r0n sat", "c4t!", "nothing of it, aaall right", "", "m o r o n", "Ünstupid stupidd"]
+    scorer, restorer = toxicity.Scorer(weights), toxicity.Restorer(_small_model())
+    assert list(scorer.of(texts, restorer)) == [scorer.evidence(w) for w in toxicity.words_of(texts, restorer)]
+
+
+def test_letters_of_language_id():
+    table = charlm.letter_table()
+    _, letters, _, _ = language.entropies(["ab", "́́", "\U00030010", "12"], table, charlm.letter_symbols(table), [])
+    assert letters.tolist() == [2, 0, 1, 0]
