@@ -122,6 +122,12 @@ class Sums:
         if make:
             self.made += make(first)
 
+    def compact(self) -> None:
+        """Puts equal keys of different steps together."""
+        if len(self.keys) > 1:
+            keys, counts, made = self.take()
+            self.keys, self.counts, self.made, self.rows = [keys], [counts], made, len(keys)
+
     def take(self) -> tuple[np.ndarray, np.ndarray, list]:
         keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
         found, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
@@ -131,6 +137,15 @@ class Sums:
         return found, sums, made
 
 
+def _full(sums: list[Sums]) -> bool:
+    """Whether so many distinct keys are held that they must go on."""
+    if sum(x.rows for x in sums) <= FLUSH:
+        return False
+    for own in sums:
+        own.compact()
+    return sum(x.rows for x in sums) > FLUSH // 2
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, Sums] = {}
 
@@ -146,7 +161,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, data in _steps(batches):
         words = Words(data)
         sums.setdefault(lang, Sums()).add(words.hash, lambda first, w=words: w.text(first, first))
-        if sum(x.rows for x in sums.values()) > FLUSH:
+        if _full(list(sums.values())):
             yield from flush()
     yield from flush()
 
@@ -215,7 +230,7 @@ def _count_pairs(word_table):
         for lang, data in _steps(batches):
             _, pairs = _frequent_pairs(Words(data), lang, word_table.value)
             sums.add(_bit(lang, pairs))
-            if sums.rows > FLUSH:
+            if _full([sums]):
                 yield from flush()
         yield from flush()
 
@@ -265,7 +280,7 @@ def _count_grams(word_table, pair_table, size: int):
                 for back in range(1, count):
                     key = pair_hash(words.hash[last - back], key)
                 own.add(key, lambda first, w=words, last=last, c=count: w.text(last[first] - c + 1, last[first]))
-            if sum(x.rows for x in sums.values()) > FLUSH:
+            if _full(list(sums.values())):
                 yield from flush()
         yield from flush()
 
