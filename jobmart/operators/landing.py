@@ -16,10 +16,15 @@ from jobmart import schemas as S
 from jobmart.operators.upsert import latest_per_key
 
 
-def unsynced(df: DataFrame, flag_col: str = "synced_to_datalake") -> DataFrame:
-    """Documents not yet landed. Deviation: a missing flag counts as
+def is_unsynced(flag_col: str = "synced_to_datalake") -> Column:
+    """Whether a document is not yet landed. Deviation: a missing flag counts as
     unsynced (the store's ``{flag: false}`` match skipped such documents)."""
-    return df.where(~F.coalesce(F.col(flag_col), F.lit(False)))
+    return ~F.coalesce(F.col(flag_col), F.lit(False))
+
+
+def unsynced(df: DataFrame, flag_col: str = "synced_to_datalake") -> DataFrame:
+    """Documents not yet landed."""
+    return df.where(is_unsynced(flag_col))
 
 
 def doc_key(job_id: Column, object_id: Column) -> Column:

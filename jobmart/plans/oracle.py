@@ -494,6 +494,12 @@ SQL["json_documents"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS at, 'é ' || event_type AS note FROM events
 """
 SQL["land_collections"] = f"SELECT 'raw_' || (event_id % 3) AS collection, {_EV} FROM events"
+SQL["snapshot_runs"] = f"SELECT 'raw_' || (event_id % 2) AS collection, '02' AS run, {_EV} FROM events"
+SQL["run_counts"] = f"""
+SELECT 'raw_' || (event_id % 2) AS collection, run, count(*) AS landed, count(*) AS stored
+FROM events JOIN (VALUES ('01'), ('02')) runs(run) ON run = '02' OR ts < {_CUT}
+GROUP BY 1, 2
+"""
 SQL["parquet_roundtrip"] = SQL["jobs_fact"]
 SQL["csv_sample"] = SQL["jobs_fact"] + "\nORDER BY job_id LIMIT 200"
 
@@ -603,6 +609,14 @@ SQL["stream_new_keys"] = f"""
 SELECT user_id, CAST(CASE WHEN min(ts) < {_CUT} THEN 1 ELSE 2 END AS INTEGER) AS run
 FROM events GROUP BY user_id
 """
+SQL["landing_progress"] = f"""
+WITH d AS (
+  SELECT CAST(ts >= {_CUT} AS BIGINT) AS batch, event_id % 3 <> 0 AS wanted,
+         COALESCE(CASE WHEN event_type <> 'error' THEN event_type END, 'unknown') AS source FROM events
+), b AS (SELECT batch, count(*) AS batch_found, count(*) FILTER (wanted) AS batch_landed FROM d GROUP BY batch)
+SELECT batch, source, count(*) AS landed, any_value(batch_found) AS batch_found, any_value(batch_landed) AS batch_landed
+FROM d JOIN b USING (batch) WHERE wanted GROUP BY batch, source
+"""
 SQL["file_rejects"] = """
 WITH d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, min(event_id) AS id FROM events GROUP BY 1)
 SELECT day, 'read' AS outcome, n FROM d

@@ -490,6 +490,7 @@ def q_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Round trips through the sinks and readers
 # ---------------------------------------------------------------------------
 from jobmart.session import shared_dir  # noqa: E402
+from jobmart.schemas import RUN_MARKER_DDL, RUN_MARKERS  # noqa: E402
 from jobmart.sources import readers, sinks  # noqa: E402
 
 _EVENT_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -563,6 +564,39 @@ def q_land_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_collections(spark, root, landed, _EVENT_DDL).select("collection", *_EVENT_COLS)
 
 
+@register("snapshot_runs")
+def q_snapshot_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of two collections, the second one with the newer events too, the
+    last one stopped by an unreadable document half-way: the second run is read, the first
+    one is still there."""
+    root = shared_dir(spark, "snapshot-runs")
+    ev = _with_day(_events(spark, sf_dir)).withColumnRenamed("day", "dt")
+    late = F.col("ts") >= _cut()
+    stop = F.when(late, F.raise_error(F.lit("unreadable document")).cast("double")).otherwise(F.col("value"))
+    for run, found in (("01", ev.where(~late)), ("02", ev), ("03", ev.withColumn("value", stop))):
+        own = {f"raw_{k}": found.where(F.col("event_id") % 2 == k) for k in range(2)}
+        sinks.land_run(own, root, run, ["dt"])
+    read = readers.read_latest_runs(spark, root, ["raw_0", "raw_1"], _EVENT_DDL)
+    return read.select("collection", "run", *_EVENT_COLS)
+
+
+@register("run_counts")
+def q_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, A4: rows landed by each complete run of each collection, as its marker says and
+    as its files hold."""
+    root = shared_dir(spark, "run-counts")
+    ev = _with_day(_events(spark, sf_dir)).withColumnRenamed("day", "dt")
+    for run, found in (("01", ev.where(F.col("ts") < _cut())), ("02", ev)):
+        sinks.land_run({f"raw_{k}": found.where(F.col("event_id") % 2 == k) for k in range(2)}, root, run, ["dt"])
+    markers = spark.read.schema(RUN_MARKER_DDL).json(f"{root}/{RUN_MARKERS}")
+    files = [
+        spark.read.schema("event_id bigint, run string").json(f"{root}/raw_{k}").select(F.lit(f"raw_{k}").alias("collection"), "run")
+        for k in range(2)
+    ]
+    stored = files[0].unionByName(files[1]).groupBy("collection", "run").agg(F.count(F.lit(1)).alias("stored"))
+    return markers.join(stored, ["collection", "run"]).select("collection", "run", "landed", "stored")
+
+
 @register("parquet_roundtrip")
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 then S4: jobs_fact written as snappy parquet and read back."""
@@ -606,6 +640,7 @@ def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Streaming merges (K7, K5 on a stream; S6/K8 through the file-source checkpoint)
 # ---------------------------------------------------------------------------
+from jobmart.streaming import progress as PR  # noqa: E402
 from jobmart.streaming import upserts as ST  # noqa: E402
 
 
@@ -754,6 +789,23 @@ def q_stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(root + "/out").select("user_id", "run")
 
 
+@register("landing_progress")
+def q_landing_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A4 on a stream: unsynced documents landed over two runs with one checkpoint;
+    per batch and source what has landed, beside the batch's own counters."""
+    root = shared_dir(spark, "landing-progress")
+    for early in (True, False):
+        docs = _landing_docs(spark, sf_dir).where((F.col("ts") < _cut()) == early)
+        docs.write.mode("append").parquet(root + "/in")
+        schema = spark.read.parquet(root + "/in").schema
+        stream = ST.file_stream(spark, root + "/in", schema).withColumn("source", L.doc_source(F.col("source")))
+        PR.land_with_progress(
+            spark, ST.with_event_day(stream), L.is_unsynced(), root + "/out", root + "/checkpoint", root + "/progress"
+        )
+    landed = readers.read_raw(spark, root + "/out", f"event_id bigint, {ST.ARRIVED} timestamp, source string")
+    return PR.landed_by_source(landed, spark.read.parquet(root + "/progress"))
+
+
 @register("file_rejects")
 def q_file_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each day one whole file and a broken one (cut-off array, cut-off object,

@@ -156,3 +156,7 @@ JOBS_FACT_DDL = (
     "location string, level string, salary_currency string, source string"
 )
 JOB_SKILLS_DDL = "job_id string, skill_name string"
+
+# Markers of complete snapshot runs: the folder below a landing root, and its rows.
+RUN_MARKERS = "complete_runs"
+RUN_MARKER_DDL = "collection string, run string, landed bigint"

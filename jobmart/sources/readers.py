@@ -4,13 +4,13 @@
   is an extra full scan, and one stray value flips a column's type.
 * Landed JSON is JSON Lines (splittable); legacy whole-file arrays are read
   with ``multiLine`` into one VARIANT per file and unnested.
-* The latest day is chosen from the paths of the landed files (the listing that Spark
-  makes for the read anyway), then only that day's files are opened.
+* The latest day and the latest complete run are subqueries over file metadata and run
+  markers, so that the scan prunes its partitions at run time; only single values reach
+  the driver.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import re
 from functools import reduce
 
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.functions.variant import evaluate_once, unnest_documents
+from jobmart.schemas import RUN_MARKER_DDL, RUN_MARKERS
 
 
 def normalize_path(path: str) -> tuple[str, str]:
@@ -87,37 +88,50 @@ def with_file_times(df: DataFrame, time_col: str = "crawled_at", file_col: str =
     )
 
 
-_DAY_IN_PATH = (re.compile(r"/dt=(\d{4}-\d{2}-\d{2})/"), re.compile(r"/(\d{4})/(\d{2})/(\d{2})/"))
+_DAY_IN_PATH = r"/(\d{4})/(\d{2})/(\d{2})/"
 
 
-def day_of(path: str) -> dt.date | None:
-    """The day in a landed file's path: ``dt=<day>`` at any level, or ``/Y/m/d/``;
-    null for a file without a (valid) day, such as the default partition's."""
-    for pattern in _DAY_IN_PATH:
-        found = pattern.search(path)
-        if found:
-            try:
-                return dt.date.fromisoformat("-".join(found.groups()))
-            except ValueError:
-                return None
-    return None
-
-
-def latest_files(spark: SparkSession, root: str) -> tuple[dt.date, list[str]]:
-    """The newest day below ``root`` and the folders that hold its files."""
-    listed = spark.read.option("recursiveFileLookup", True).format("text").load(normalize_path(root)[0]).inputFiles()
-    days = {f: d for f in listed if (d := day_of(f)) is not None}
-    if not days:
-        raise RuntimeError(f"no day folders under {root}")
-    newest = max(days.values())
-    return newest, sorted({f.rsplit("/", 1)[0] for f, d in days.items() if d == newest})
+def _days(files: DataFrame) -> DataFrame:
+    """The newest day of landed files as one value; an error where no file has a day. The
+    files' own metadata say it: none is opened."""
+    if "dt" in files.columns:
+        day = F.col("dt").cast("string").try_cast("date")
+    else:
+        parts = [F.regexp_extract("path", _DAY_IN_PATH, i) for i in (1, 2, 3)]
+        day = F.concat_ws("-", *parts).try_cast("date")
+    return files.select(F.max(day).alias("day")).select(
+        F.coalesce("day", F.raise_error(F.lit("no day folders")).cast("date")).alias("day")
+    )
 
 
 def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """S1+S2: read only the latest day's files (``dt=`` below any other level, or Y/m/d)."""
+    """S1+S2: read only the latest day's files. With ``dt=`` folders (below any other
+    level) the newest day is a subquery in the scan's partition filters, so it is found and
+    the other days are left out at run time. With ``Y/m/d`` folders it is one value that the
+    scan's file filter holds. Files without a valid day (the default partition's, for one)
+    never are the latest; where no file has one the read fails."""
     root, _ = normalize_path(root)
-    _, folders = latest_files(spark, root)
-    return spark.read.schema(schema).option("basePath", root).json(folders)
+    files = spark.read.format("binaryFile").load(root)
+    rows = spark.read.schema(schema)
+    if "dt" in files.columns:
+        return rows.json(root).where(F.col("dt").cast("string").try_cast("date") == _days(files).scalar())
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    newest = _days(files).first()["day"]
+    rows = rows.option("recursiveFileLookup", True).json(root)
+    return rows.where(F.col("_metadata.file_path").contains(f"/{newest:%Y/%m/%d}/"))
+
+
+def read_latest_runs(spark: SparkSession, root: str, names: list[str], schema: str) -> DataFrame:
+    """Of each collection landed by ``land_run`` the newest complete run, with the
+    columns ``collection`` and ``run``. A run without its marker is not read, however many
+    files it left; a collection without a complete run gives no rows."""
+    markers = spark.read.schema(RUN_MARKER_DDL).json(f"{root}/{RUN_MARKERS}")
+    parts = []
+    for name in names:
+        newest = markers.where(F.col("collection") == name).select(F.max("run"))
+        rows = spark.read.schema(f"{schema}, run string").json(f"{root}/{name}")
+        parts.append(rows.where(F.col("run") == newest.scalar()).withColumn("collection", F.lit(name)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def extended_text(v: Column, field: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobmart import schemas as S
@@ -79,6 +79,33 @@ def land_collections(collections: dict[str, DataFrame], root: str, partition_by:
     return errors
 
 
+def land_run(collections: dict[str, DataFrame], root: str, run: str, partition_by: list[str]) -> dict[str, int | None]:
+    """K3: one more snapshot of each collection, in ``root/<name>/run=<run>``, beside those
+    of earlier runs. A marker with the number of rows that landed follows once the whole
+    snapshot is written, so that a run which stops half-way is never read
+    (``readers.read_latest_runs``); landing the same run again replaces what it left. A
+    collection that fails is logged and the others still land. Run ids sort as text.
+    Returns each collection's rows (None: failed)."""
+    landed: dict[str, int | None] = {}
+    for name, df in collections.items():
+        try:
+            counted = Observation()
+            (
+                df.observe(counted, F.count(F.lit(1)).alias("landed")).write.mode("overwrite")
+                .option("timestampFormat", _ISO)
+                .option("timestampNTZFormat", _ISO)
+                .partitionBy(*partition_by)
+                .json(f"{root}/{name}/run={run}")
+            )
+            landed[name] = counted.get["landed"]
+            marker = df.sparkSession.createDataFrame([(name, run, landed[name])], S.RUN_MARKER_DDL)
+            marker.coalesce(1).write.mode("append").json(f"{root}/{S.RUN_MARKERS}")
+        except Exception:  # the other collections must land
+            LOG.exception("run %s of collection %s did not land", run, name)
+            landed[name] = None
+    return landed
+
+
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 

@@ -37,16 +37,21 @@ def file_stream(spark: SparkSession, directory: str, schema: str, glob: str | No
     return reader.parquet(directory)
 
 
-def run_available(df: DataFrame, out_path: str, checkpoint: str, partition_by: list[str] | None = None,
-                  fmt: str = "parquet", options: dict[str, str] | None = None) -> StreamingQuery:
-    """Process everything available now into a file sink, exactly once per input file
-    (checkpointed), and wait for the end, however long it takes."""
+def start_available(df: DataFrame, out_path: str, checkpoint: str, partition_by: list[str] | None = None,
+                    fmt: str = "parquet", options: dict[str, str] | None = None) -> StreamingQuery:
+    """Start to process everything available now into a file sink, exactly once per input
+    file (checkpointed)."""
     writer = df.writeStream.format(fmt).option("path", out_path).option("checkpointLocation", checkpoint)
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.outputMode("append").trigger(availableNow=True).start()
+    return writer.outputMode("append").trigger(availableNow=True).start()
+
+
+def run_available(df: DataFrame, out_path: str, checkpoint: str, **options) -> StreamingQuery:
+    """``start_available``, then wait for the end, however long it takes."""
+    query = start_available(df, out_path, checkpoint, **options)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
