@@ -11,7 +11,7 @@ source between the element's tags.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -29,106 +29,149 @@ TEXT_FIELDS = dict(S.DOM_TEXT_SELECTORS)
 MARKUP_FIELDS = dict(S.DOM_HTML_SELECTORS)
 
 
-class _Element:
-    __slots__ = ("tag", "classes", "parent", "inner", "end", "text")
+Simple = tuple[str | None, frozenset]
 
-    def __init__(self, tag: str, classes: frozenset, parent: "_Element | None", inner: int):
-        self.tag, self.classes, self.parent, self.inner = tag, classes, parent, inner
-        self.end: int | None = None
-        self.text: list[str] = []
+
+def _parse(selector: str) -> list[Simple]:
+    return [
+        (None, frozenset(c for c in part.split(".") if c)) if part.startswith(".") else (part.lower(), frozenset())
+        for part in selector.split()
+    ]
+
+
+class Selectors:
+    """Selectors taken apart once, found by the tag or a class of the element they select."""
+
+    def __init__(self, selectors: Iterable[str]):
+        self.by_tag: dict[str, list[str]] = {}
+        self.by_class: dict[str, list[str]] = {}
+        self.parts: dict[str, tuple[list[Simple], frozenset]] = {}
+        for selector in dict.fromkeys(selectors):
+            *above, (tag, classes) = _parse(selector)
+            self.parts[selector] = (above, classes)
+            if tag is not None:
+                self.by_tag.setdefault(tag, []).append(selector)
+            else:
+                self.by_class.setdefault(min(classes), []).append(selector)
+
+
+def _below(above: list[Simple], open_: list["_Open"]) -> bool:
+    """Whether the open elements hold ``above`` in this order, outermost first."""
+    rest = len(above)
+    for element in reversed(open_):
+        if not rest:
+            break
+        tag, classes = above[rest - 1]
+        rest -= (tag is None or element.tag == tag) and classes <= element.classes
+    return not rest
+
+
+class _Match:
+    """The first element that some selectors select: its place in the source, its text."""
+
+    __slots__ = ("inner", "end", "text")
+
+    def __init__(self, inner: int):
+        self.inner, self.end, self.text = inner, inner, []
+
+
+class _Open:
+    __slots__ = ("tag", "classes", "match")
+
+    def __init__(self, tag: str, classes: frozenset, match: _Match | None):
+        self.tag, self.classes, self.match = tag, classes, match
+
+
+_NO_CLASSES: frozenset = frozenset()
 
 
 class _Page(HTMLParser):
-    """Elements of a page in document order, with their text and place in the source."""
+    """The first element in document order of each selector, matched while parsing: only the
+    open elements and the matches are kept, and text only inside open matches."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, selectors: Selectors):
         super().__init__(convert_charrefs=True)
-        self.html = html
-        self.elements: list[_Element] = []
-        self.open: list[_Element] = []
-        self.lines = [0]
-        at = html.find("\n")
-        while at >= 0:
-            self.lines.append(at + 1)
-            at = html.find("\n", at + 1)
+        self.html, self.selectors = html, selectors
+        self.matches: dict[str, _Match] = {}
+        self.open: list[_Open] = []
+        self.depth: dict[str, int] = {}
+        self.collecting: list[_Match] = []
+        # Places are asked for in order, so line starts are found as they are needed.
+        self.line, self.line_start = 1, 0
         self.feed(html)
         self.close()
-        for element in self.open:
-            element.end = len(html)
+        for match in self.collecting:
+            match.end = len(html)
 
     def _at(self) -> int:
         line, column = self.getpos()
-        return self.lines[line - 1] + column
+        while self.line < line:
+            self.line_start = self.html.index("\n", self.line_start) + 1
+            self.line += 1
+        return self.line_start + column
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        classes = frozenset((dict(attrs).get("class") or "").split())
-        inner = self._at() + len(self.get_starttag_text())
-        element = _Element(tag, classes, self.open[-1] if self.open else None, inner)
-        self.elements.append(element)
-        if tag in VOID_TAGS:
-            element.end = inner
-        else:
-            self.open.append(element)
+        classes = _NO_CLASSES
+        for name, value in attrs:
+            if name == "class":
+                classes = frozenset((value or "").split())
+        wanted = list(self.selectors.by_tag.get(tag, ()))
+        for name in classes:
+            wanted += self.selectors.by_class.get(name, ())
+        match = None
+        for selector in wanted:
+            above, own = self.selectors.parts[selector]
+            if selector not in self.matches and own <= classes and _below(above, self.open):
+                match = match or _Match(self._at() + len(self.get_starttag_text()))
+                self.matches[selector] = match
+        if tag not in VOID_TAGS:
+            self.open.append(_Open(tag, classes, match))
+            self.depth[tag] = self.depth.get(tag, 0) + 1
+            if match is not None:
+                self.collecting.append(match)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if self.open and self.open[-1] is self.elements[-1]:
-            self.open.pop().end = self.elements[-1].inner
+        if tag not in VOID_TAGS:
+            self._close_last(None)
+
+    def _close_last(self, end: int | None) -> None:
+        element = self.open.pop()
+        self.depth[element.tag] -= 1
+        if element.match is not None:
+            self.collecting.pop()
+            element.match.end = element.match.inner if end is None else end
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth].tag == tag:
-                at = self._at()
-                for element in self.open[depth:]:
-                    element.end = at
-                del self.open[depth:]
-                return
+        # An end tag without an open element closes nothing.
+        if not self.depth.get(tag):
+            return
+        end = self._at() if self.collecting else 0
+        while self.open[-1].tag != tag:
+            self._close_last(end)
+        self._close_last(end)
 
     def handle_data(self, data: str) -> None:
-        for element in self.open:
-            element.text.append(data)
+        for match in self.collecting:
+            match.text.append(data)
 
 
-def _parse(selector: str) -> list[tuple[str | None, frozenset]]:
-    return [
-        (None, frozenset(c for c in part.split(".") if c)) if part.startswith(".") else (part.lower(), frozenset())
-        for part in selector.split()
-    ]
-
-
-def _fits(element: _Element, simple: tuple[str | None, frozenset]) -> bool:
-    tag, classes = simple
-    return (tag is None or element.tag == tag) and classes <= element.classes
-
-
-def select(page: _Page, selector: str) -> _Element | None:
-    """The first element in document order that the selector matches."""
-    *above, own = _parse(selector)
-    for element in page.elements:
-        if not _fits(element, own):
-            continue
-        ancestor, rest = element.parent, list(above)
-        while ancestor is not None and rest:
-            if _fits(ancestor, rest[-1]):
-                rest.pop()
-            ancestor = ancestor.parent
-        if not rest:
-            return element
-    return None
+FIELDS = [(s, False) for s in TEXT_FIELDS.values()] + [(s, True) for s in MARKUP_FIELDS.values()]
+SELECTORS = Selectors(selector for selectors, _ in FIELDS for selector in selectors)
 
 
 def fields_of(html: str | None) -> tuple[str, ...]:
     """The W8 fields of one page: of each, the first selector that yields something."""
     if not html:
-        return ("",) * (len(TEXT_FIELDS) + len(MARKUP_FIELDS))
-    page = _Page(html)
+        return ("",) * len(FIELDS)
+    matches = _Page(html, SELECTORS).matches
     out = []
-    for selectors, markup in [(s, False) for s in TEXT_FIELDS.values()] + [(s, True) for s in MARKUP_FIELDS.values()]:
+    for selectors, markup in FIELDS:
         value = ""
         for selector in selectors:
-            element = select(page, selector)
-            if element is not None:
-                value = html[element.inner : element.end] if markup else "".join(element.text).strip()
+            match = matches.get(selector)
+            if match is not None:
+                value = html[match.inner : match.end] if markup else "".join(match.text).strip()
             if value:
                 break
         out.append(value)

@@ -151,6 +151,15 @@ def is_posting_page(json_ld: Column, dom: Column) -> Column:
     return json_ld.isNotNull() | has_title
 
 
+def not_postings(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """The pages without a JobPosting block and without a DOM title; only pages
+    without a block are parsed as HTML."""
+    html = F.col(html_col)
+    found = evaluate_once(pages, pick_job_posting(jsonld_blocks(html)), "_ld")
+    rest = found.where(F.col("_ld").isNull())
+    return rest.withColumn("_dom", dom_record(html)).where(~is_posting_page(F.col("_ld"), F.col("_dom"))).drop("_ld", "_dom")
+
+
 def dom_records(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Detail pages -> raw DOM-source records
     (jobId, url, json_ld, dom, html_length, source), non-postings dropped."""

@@ -278,9 +278,7 @@ def q_not_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with no JobPosting block and no DOM title."""
     pages = documents.jsonld_pages(spark, sf_dir)
     rec = pages.select(F.col("o_orderkey").alias("job_id"), "html")
-    rec = evaluate_once(rec, P.pick_job_posting(P.jsonld_blocks(F.col("html"))), "ld")
-    rec = rec.withColumn("dom", P.dom_record(F.col("html")))
-    return rec.where(~P.is_posting_page(F.col("ld"), F.col("dom"))).select("job_id")
+    return P.not_postings(rec).select("job_id")
 
 
 @register("challenge_filter")

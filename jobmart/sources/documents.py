@@ -156,6 +156,12 @@ def _script(body: F.Column) -> F.Column:
     return F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
 
 
+def _spread(spark: SparkSession, base: DataFrame) -> DataFrame:
+    """The narrow rows over all cores before they become pages: the tables are one file,
+    while landed pages come in many."""
+    return base.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+
+
 def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, url, html): job detail pages with JSON-LD blocks.
 
@@ -167,7 +173,7 @@ def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     array block then a WebSite block; 6 an empty title; 7 an empty
     organisation and location list. ``k % 13 == 5`` adds a bot-check text.
     """
-    base = feed_base(spark, sf_dir)
+    base = _spread(spark, feed_base(spark, sf_dir))
     k = F.col("o_orderkey")
     k8 = k % 8
     org = F.struct(F.col("c_name").alias("name"))
@@ -240,7 +246,7 @@ def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     an anchor in the hero text, the hero text itself, or in the side bar (then a login
     anchor elsewhere on the page must not be taken); ``k % 4 == 1`` has no ``h1``,
     ``k % 5 == 2`` takes the second selector for place and salary."""
-    base = feed_base(spark, sf_dir)
+    base = _spread(spark, feed_base(spark, sf_dir))
     k = F.col("o_orderkey")
     name, nation, region = F.col("c_name"), F.col("n_name"), F.col("r_name")
 
