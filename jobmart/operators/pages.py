@@ -157,7 +157,9 @@ def not_postings(pages: DataFrame, html_col: str = "html") -> DataFrame:
     html = F.col(html_col)
     found = evaluate_once(pages, pick_job_posting(jsonld_blocks(html)), "_ld")
     rest = found.where(F.col("_ld").isNull())
-    return rest.withColumn("_dom", dom_record(html)).where(~is_posting_page(F.col("_ld"), F.col("_dom"))).drop("_ld", "_dom")
+    # A page that depends on ``_ld``: else the parse moves below it, to every page.
+    rest = rest.withColumn("_dom", dom_record(F.when(F.col("_ld").isNull(), html)))
+    return rest.where(~is_posting_page(F.col("_ld"), F.col("_dom"))).drop("_ld", "_dom")
 
 
 def dom_records(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

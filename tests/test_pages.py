@@ -112,3 +112,27 @@ def test_link_forms(spark):
     assert [r.link for r in P.extract_links(pages).collect()] == [
         "https://h.vn/a/x", "https://h.vn/y?a=1&b=2", "https://h.vn/a/b/z",
     ]
+
+
+def test_only_pages_without_a_block_are_parsed(spark):
+    from jobmart.operators import pages as P
+
+    block = '<script type="application/ld+json">{"@type": "JobPosting"}</script>'
+    rows = [(1, block), (2, "<h1> x </h1>"), (3, "<h1></h1>"), (4, None), (5, block + "<h1></h1>")]
+    kept = P.not_postings(spark.createDataFrame(rows, "id int, html string"))
+    assert sorted(r.id for r in kept.collect()) == [3, 4]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Generate explode")
+
+
+def test_dom_places_and_nesting():
+    names = list(dom.TEXT_FIELDS) + list(dom.MARKUP_FIELDS)
+    fields = lambda html: dict(zip(names, dom.fields_of(html), strict=True))
+    got = fields("\n<div class='text-left x job-desc'>a\n<b>b</div>c</div><h1>one<br/>&amp;</h1><h1>two</h1>")
+    assert got["description_html"] == "a\n<b>b" and got["title"] == "one&"
+    # An ancestor that is closed already is none; an element open to the end ends there.
+    got = fields("<p class=nw-company-hero__text>t</p><a>no</a><div class='text-left job-benefit'><i>z")
+    assert got["company"] == "t" and got["benefits_html"] == "<i>z"
+    assert fields("<p class=nw-company-hero__text>t<span><a>yes</a></span></p>")["company"] == "yes"
+    deep = "<div>" * 20000 + "<h1>t</h1>" + "</p>" * 20000 + "</div>" * 20000
+    assert fields(deep)["title"] == "t"
