@@ -502,6 +502,8 @@ GROUP BY 1, 2
 """
 SQL["parquet_roundtrip"] = SQL["jobs_fact"]
 SQL["csv_sample"] = SQL["jobs_fact"] + "\nORDER BY job_id LIMIT 200"
+SQL["skills_roundtrip"] = SQL["job_skills"]
+SQL["skills_sample"] = SQL["job_skills"] + "\nORDER BY job_id, skill_name LIMIT 200"
 
 SQL["union_sources"] = with_feed(
     """

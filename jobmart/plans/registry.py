@@ -613,6 +613,24 @@ def q_csv_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_csv_sample(spark, path, S.JOBS_FACT_DDL)
 
 
+@register("skills_roundtrip")
+def q_skills_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """job_skills written as snappy parquet beside the fact, and read back."""
+    path = shared_dir(spark, "job_skills") + "/job_skills.parquet"
+    sinks.write_parquet(q_job_skills(spark, sf_dir), path)
+    return readers.read_raw(spark, path)
+
+
+@register("skills_sample")
+def q_skills_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: first 200 job_skills rows by job_id and skill_name as a one-file header CSV."""
+    from jobmart import schemas as S
+
+    path = shared_dir(spark, "job_skills_sample")
+    sinks.write_csv_sample(q_job_skills(spark, sf_dir), path, ["job_id", "skill_name"])
+    return sinks.read_csv_sample(spark, path, S.JOB_SKILLS_DDL)
+
+
 # ---------------------------------------------------------------------------
 # Three sources conformed into one jobs_fact
 # ---------------------------------------------------------------------------
