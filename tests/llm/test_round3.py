@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jobmart.llm import charlm, collocation, hard_negatives, language, suffix_dedup, toxicity
+from jobmart.llm import charlm, collocation, embedding, hard_negatives, language, suffix_dedup, toxicity
 from jobmart.llm.suffix_array import Packer, Store, byte_suffixes
 
 
@@ -253,3 +253,60 @@ def test_letters_of_language_id():
     table = charlm.letter_table()
     _, letters, _, _ = language.entropies(["ab", "́́", "\U00030010", "12"], table, charlm.letter_symbols(table), [])
     assert letters.tolist() == [2, 0, 1, 0]
+
+
+# ---- operator 8: norms, ids, the index ------------------------------------------------
+
+
+def test_embedding_norms_beyond_double_range(spark):
+    rows = [
+        (1, [1e-200, 2e-200], 0), (2, [2.0, 4.0], 0), (3, [1e300, 2e300], 0), (4, [-1e300, 2e300], 0),
+        (5, [5e-324, 1e-323], 0), (6, [4.0, 2.0], 0), (7, [1e308, 1e308, 1e308], 0),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (0, 4), 6: (0, 6), 7: (0, 7)}
+
+
+def test_embedding_null_and_repeated_ids(spark):
+    one, two = [1.0, 0.0, 0.5], [-1.0, 3.0, 0.0]
+    rows = [(None, one, 0), (5, one, 0), (5, one, 0), (None, two, 0), (7, two, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted(
+        ((r["vec_id"] or 0, r["n_links"], r["component_id"]) for r in embedding.near_duplicates(df).collect()), key=str
+    )
+    assert got == [(0, 0, None), (0, 2, 5), (5, 2, 5), (5, 2, 5), (7, 0, 7)]
+
+
+def test_embedding_index_widens_with_the_table():
+    sizes = [0, 1, 1000, 10**6, 10**9]
+    found = [embedding.multi_index(n) for n in sizes]
+    assert [f.width for f in found] == [12, 12, 14, 24, 34]
+    assert [len(f.starts) for f in found] == sorted(len(f.starts) for f in found)
+    rng = np.random.default_rng(3)
+    code = rng.integers(-(2**63), 2**63 - 1, 50, dtype=np.int64)
+    for index in found:
+        for t, start in enumerate(index.starts):
+            bits = [f"{c & (2**64 - 1):064b}"[::-1] for c in code.tolist()]
+            want = [int((b + b)[start : start + index.width][::-1], 2) for b in bits]
+            assert index.substring(code, t).tolist() == want
+
+
+def test_embedding_substrings_in_spark_equal_numpy(spark):
+    rng = np.random.default_rng(5)
+    code = rng.integers(-(2**63), 2**63 - 1, 40, dtype=np.int64)
+    index = embedding.multi_index(10**7)
+    df = spark.createDataFrame([(int(c), t) for c in code for t in range(len(index.starts))], "code long, tbl int")
+    for r in df.select("code", "tbl", index.column().alias("sub")).collect():
+        assert r["sub"] == index.substring(np.array([r["code"]], dtype=np.int64), r["tbl"])[0]
+
+
+def test_embedding_short_vectors_against_brute_force(spark):
+    rng = np.random.default_rng(17)
+    bases = np.repeat(rng.standard_normal((150, 16)), 4, axis=0)
+    x = bases + rng.normal(0, 0.25, bases.shape)
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.93).sum(1) - 1
+    got = np.array([r["n_links"] for r in embedding.near_duplicates(df).orderBy("vec_id").collect()])
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum() > 300
