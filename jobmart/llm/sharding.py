@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from jobmart.llm.common import read_table, saved
 
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 1 << 20
 HASH_BITS = 60
 STEP_BITS = 12
 
