@@ -102,6 +102,21 @@ def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return pages.select(F.col(id_col), F.posexplode(links).alias("pos", "link"))
 
 
+def extract_site_links(pages: DataFrame, sites: dict[str, list[str]], keep: list[str], site_col: str = "site",
+                       url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """W1 for several sites in one scan: anchors whose raw ``href`` contains one of the
+    markers of the page's own site, resolved, distinct in document order per page ->
+    (the columns ``keep``, pos, link). Pages of other sites give no rows."""
+    own = F.lit(None)
+    for site, markers in sites.items():
+        own = F.when(F.col(site_col) == site, F.array(*(F.lit(m) for m in markers))).otherwise(own)
+    pages = pages.where(F.col(site_col).isin(list(sites)))
+    found = F.filter(hrefs(F.col(html_col)), lambda h: F.exists(own, lambda m: F.contains(h, m)))
+    pages = evaluate_once(pages, found, "_hrefs")
+    links = F.array_distinct(F.transform("_hrefs", lambda h: resolve_url(h, F.col(url_col))))
+    return pages.select(*keep, F.posexplode(links).alias("pos", "link"))
+
+
 def first_seen_links(candidates: DataFrame, url_col: str = "url", pos_col: str = "pos") -> DataFrame:
     """W2 across a whole listing: keep detail-page links (trimmed, right prefix,
     id pattern), drop the fragment, and keep each link once at its first

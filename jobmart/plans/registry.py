@@ -186,11 +186,8 @@ def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 with each site's markers over listing pages with links in many forms."""
     pages = documents.listing_pages(spark, sf_dir)
-    parts = []
-    for site, markers in documents.LISTING_SITES.items():
-        links = P.extract_links(pages.where(F.col("site") == site), "o_orderkey", markers=markers)
-        parts.append(links.select(F.lit(site).alias("site"), F.col("o_orderkey").alias("list_id"), F.col("pos").cast("bigint").alias("pos"), "link"))
-    return parts[0].unionByName(parts[1])
+    links = P.extract_site_links(pages, documents.LISTING_SITES, ["site", "o_orderkey"])
+    return links.select("site", F.col("o_orderkey").alias("list_id"), F.col("pos").cast("bigint").alias("pos"), "link")
 
 
 @register("link_filter")
@@ -932,6 +929,27 @@ def q_salary_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("n_train", "n_test", (F.col("rmse") <= F.col("spread") * 1.05).alias("within"))
 
 
+@register("salary_signal")
+def q_salary_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3–L5, A5 on a label that depends on location and level: the test error of the mean
+    per location and level, and whether the forest's error is within a third of that and
+    below half of the label's spread (which the overall mean is not)."""
+    root = shared_dir(spark, "salary-signal")
+    rows = documents.with_salary_signal(TR.training_source(q_jobs_fact(spark, sf_dir)))
+    _, predicted = TR.train(rows, root + "/model", root + "/rows")
+    forest = TR.evaluate(predicted).select("n_train", "n_test", "spread", F.col("rmse").alias("forest"))
+    cells = TR.evaluate(TR.cell_means(predicted), "cell_mean").select(F.col("rmse").alias("cells"))
+    # One row on either side.
+    return forest.join(cells, F.lit(True)).select(
+        "n_train",
+        "n_test",
+        F.round("cells", 2).alias("cells_rmse"),
+        F.round("spread", 2).alias("spread"),
+        (F.col("forest") <= F.col("cells") * 4 / 3).alias("near_cells"),
+        (F.col("forest") <= F.col("spread") / 2).alias("below_spread"),
+    )
+
+
 @register("model_reload")
 def q_model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: the saved model, loaded again, predicts the same for every row."""

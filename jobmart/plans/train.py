@@ -96,6 +96,18 @@ def encode_means(rows: DataFrame) -> DataFrame:
     return out
 
 
+def cell_means(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``cell_mean``, the train split's mean salary of the row's location and
+    level together (nulls are values here); the overall mean where training lacks them."""
+    train = rows.where("is_train")
+    columns = feature_columns(rows)
+    means = train.groupBy(*(F.col(c).alias("_" + c) for c in columns)).agg(F.avg(LABEL).alias("cell_mean"))
+    same = [F.col(c).eqNullSafe(F.col("_" + c)) for c in columns]
+    overall = F.lit(train.agg(F.avg(LABEL)).first()[0]).cast("double")
+    out = rows.join(means, same, "left").drop(*("_" + c for c in columns))
+    return out.withColumn("cell_mean", F.coalesce("cell_mean", overall))
+
+
 def evaluate(predictions: DataFrame, prediction: str = "prediction") -> DataFrame:
     """A5: RMSE on the test rows, with split sizes and the label's spread, in one aggregate."""
     err = F.pow(F.col(LABEL) - F.col(prediction), 2)

@@ -335,3 +335,12 @@ def job_link_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("c")
     ).select("c.pos", "c.url")
     return pages.unionByName(feed)
+
+
+def with_salary_signal(fact: DataFrame) -> DataFrame:
+    """``fact`` with a ``salary_avg`` that depends on location and level (a step by digits
+    of each one's MD5, none for null), and, for the rest, on the posting's own salary."""
+    step = lambda c: F.coalesce(F.conv(F.substring(F.md5(c), 1, 4), 16, 10).cast("int") % 5, F.lit(0))
+    return fact.withColumn(
+        "salary_avg", F.col("salary_avg") % 10_000 + step("location") * 5_000 + step("level") * 9_000 + 1
+    )

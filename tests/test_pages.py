@@ -136,3 +136,20 @@ def test_dom_places_and_nesting():
     assert fields("<p class=nw-company-hero__text>t<span><a>yes</a></span></p>")["company"] == "yes"
     deep = "<div>" * 20000 + "<h1>t</h1>" + "</p>" * 20000 + "</div>" * 20000
     assert fields(deep)["title"] == "t"
+
+
+def test_links_of_several_sites_in_one_scan(spark):
+    page = '<a href="/x/1">a</a><a HREF=\'/y/2#z\'>b</a><a href="/x/1">c</a><a href="/q">d</a>'
+    rows = [(1, "a", "https://a.vn/l/", page), (2, "b", "https://b.vn/l/", page), (3, "c", "https://c.vn/", page),
+            (4, "a", "https://a.vn/", None), (5, None, "https://a.vn/", page), (6, "b", "https://b.vn/", "")]
+    pages = spark.createDataFrame(rows, "id int, site string, url string, html string")
+    links = P.extract_site_links(pages, {"a": ["/x/"], "b": ["/y/", "/q"]}, ["site", "id"])
+    assert sorted(tuple(r) for r in links.collect()) == [
+        ("a", 1, 0, "https://a.vn/x/1"), ("b", 2, 0, "https://b.vn/y/2#z"), ("b", 2, 1, "https://b.vn/q"),
+    ]
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    for site in ("a", "b"):
+        one = P.extract_links(pages.where(F.col("site") == site), "id", markers={"a": ["/x/"], "b": ["/y/", "/q"]}[site])
+        assert sorted(tuple(r) for r in one.collect()) == sorted(
+            tuple(r) for r in links.where(F.col("site") == site).select("id", "pos", "link").collect()
+        )

@@ -132,3 +132,18 @@ def test_long_tags_do_not_end_the_jvm(spark):
     junk = "<a " + "x" * 1_000_000 + ' title="href=no" href="/ok">t</a>' + "<a " + "y " * 4_000_000
     rows = spark.createDataFrame([(1, "https://h.example/", junk)], "page_id int, url string, html string")
     assert [r["link"] for r in extract_links(rows).collect()] == ["https://h.example/ok"]
+
+
+def test_cell_means_of_null_and_unseen_categories(spark):
+    from jobmart.plans.train import cell_means, evaluate
+
+    rows = spark.createDataFrame(
+        [("a", "x", 10.0, True), ("a", "x", 20.0, True), (None, "x", 4.0, True), ("a", None, 6.0, True),
+         ("a", "x", 15.0, False), (None, "x", 5.0, False), ("a", None, 6.0, False), ("b", "x", 12.0, False)],
+        "location string, level string, salary_avg double, is_train boolean",
+    )
+    found = cell_means(rows)
+    test = {(r.location, r.level): r.cell_mean for r in found.where("not is_train").collect()}
+    assert test == {("a", "x"): 15.0, (None, "x"): 4.0, ("a", None): 6.0, ("b", "x"): 10.0}
+    assert evaluate(found, "cell_mean").first()["rmse"] == pytest.approx((5 / 4) ** 0.5)
+    assert cell_means(rows.where("not is_train")).where("cell_mean is not null").count() == 0
