@@ -28,9 +28,7 @@ def join_city(cities: Column | str, working_locations: Column | str) -> Column:
     """``cities`` joined when the array is not null (an empty array gives ``""``),
     else ``workingLocations`` joined; null elements are skipped."""
     cities, working_locations = _col(cities), _col(working_locations)
-    return F.when(cities.isNotNull(), F.array_join(cities, S.CITY_SEPARATOR)).otherwise(
-        F.array_join(working_locations, S.CITY_SEPARATOR)
-    )
+    return F.coalesce(F.array_join(cities, S.CITY_SEPARATOR), F.array_join(working_locations, S.CITY_SEPARATOR))
 
 
 def field_values(arr: Column | str, field: str) -> Column:

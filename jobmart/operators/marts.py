@@ -41,7 +41,7 @@ def jobs_fact(postings: DataFrame) -> DataFrame:
         _optional(postings, "cities", "array<string>"),
         _optional(postings, "workingLocations", "array<string>"),
     )
-    return postings.select(
+    fact = postings.select(
         F.col("jobId").cast("string").alias("job_id"),
         _optional(postings, "jobTitle").alias("job_title"),
         _optional(postings, "companyName").alias("company_name"),
@@ -49,12 +49,16 @@ def jobs_fact(postings: DataFrame) -> DataFrame:
         salary_min.alias("salary_min"),
         salary_max.alias("salary_max"),
         parse_posted_date(_optional(postings, "postedDate")).alias("posted_date"),
-        ((salary_min + salary_max) / 2).alias("salary_avg"),
-        city.alias("location"),
         _optional(postings, "jobLevel").alias("level"),
         _optional(postings, "salaryCurrency").alias("salary_currency"),
         _optional(postings, "source").alias("source"),
     )
+    # The salaries are columns here, so that their parse is not repeated for the average.
+    return fact.select(
+        "job_id", "job_title", "company_name", "city", "salary_min", "salary_max", "posted_date",
+        ((F.col("salary_min") + F.col("salary_max")) / 2).alias("salary_avg"),
+        F.col("city").alias("location"), "level", "salary_currency", "source",
+    )
 
 
 def job_skills(postings: DataFrame) -> DataFrame:

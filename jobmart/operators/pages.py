@@ -184,7 +184,8 @@ def dom_records(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     keyed = pages.select(dom_job_id(url_col).alias("jobId"), F.col(url_col).alias("url"), html.alias("_html"))
     keyed = keyed.where(F.col("jobId").isNotNull())
     parsed = evaluate_once(keyed, pick_job_posting(jsonld_blocks(F.col("_html"))), "json_ld")
-    parsed = parsed.withColumn("dom", dom_record(F.col("_html")))
+    # Also once: the filter below would else hold a second HTML parse of each page.
+    parsed = evaluate_once(parsed, dom_record(F.col("_html")), "dom")
     rec = parsed.where(is_posting_page(F.col("json_ld"), F.col("dom"))).select(
         "jobId", "url", "json_ld", "dom",
         F.length("_html").cast("bigint").alias("html_length"),
@@ -207,4 +208,5 @@ def jsonld_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
     )
     rec = evaluate_once(rec, jsonld_first(F.col("_html")), "json_ld").drop("_html")
     ld = F.col("json_ld")
-    return rec.where(ld.isNotNull() & truthy(ld) & is_valid_posting(ld))
+    # A block with a title is no empty one, so it is not tested for that.
+    return rec.where(is_valid_posting(ld))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart import schemas as S
+from jobmart.functions.variant import evaluate_once
 from jobmart.sources.feed import feed_base, read_table
 
 API_PAGE_SIZE = 50
@@ -234,7 +235,8 @@ def jsonld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(
         F.lit("https://www.topcv.vn/viec-lam/"), _slug(title), F.lit("/"), k.cast("string"), F.lit(".html?ta=x")
     )
-    return base.select(k, url.alias("url"), html.alias("html"))
+    # Made once a row: a filter on the page would else hold its whole expression, for each test.
+    return evaluate_once(base, html, "html").select(k, url.alias("url"), "html")
 
 
 def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +280,7 @@ def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<section class="job-requirement text-left"><p>', F.col("c_mktsegment"), "</p><section>deep</section>end</section>",
         '<div class="text-left job-benefit">', F.lit("none &amp; all"), "</div></body></html>",
     )
-    return base.select(k, html.alias("html"))
+    return evaluate_once(base, html, "html").select(k, "html")
 
 
 # Hosts and the markers that select their links.

@@ -153,3 +153,23 @@ def test_links_of_several_sites_in_one_scan(spark):
         assert sorted(tuple(r) for r in one.collect()) == sorted(
             tuple(r) for r in links.where(F.col("site") == site).select("id", "pos", "link").collect()
         )
+
+
+def test_each_page_is_made_and_parsed_once(spark):
+    """A filter on what is made or parsed holds no second copy of it."""
+    from tests.conftest import SMOKE_DIR
+
+    from jobmart.sources import documents
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    pages = documents.jsonld_pages(spark, SMOKE_DIR)
+    assert plan(P.jsonld_records(pages)).count("<html><head><title>") == 1
+    landed = spark.createDataFrame([("https://vn.joboko.com/viec-lam-x-xvi1", "<h1>a</h1>")], "url string, html string")
+    records = P.dom_records(landed)
+    assert records._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.jobId, r.dom.title) for r in records.collect()] == [("joboko_1", "a")]
+
+
+def test_markup_places_after_tags_of_all_forms():
+    html = "<!-- x -->\n<B>é</B><script>if (a<b) c</h1></script><p a=1>\r\n<section class='text-left job-requirement'><I>k</I><br/>&amp;</section ></p>"
+    assert dom.fields_of(html)[5] == "<I>k</I><br/>&amp;"
