@@ -1,12 +1,13 @@
 """Operator 3, byte-level BPE encoding and decoding in linear time.
 
 The bytes of a piece are mapped to Latin-1, so an Aho-Corasick automaton over the
-vocabulary finds the longest token at each place in one pass. The encoder takes the
-longest token, goes on to a shorter one (the longest token that begins it) if the token
-can't follow the one before, and backtracks where none can; a place that failed once
-is never tried again. Two tokens may follow each other if merging their joined bytes
-keeps the border between them, which is looked up by undoing the merges on both sides
-of the border and memoised by pair. The result is the one that merging by rank gives.
+vocabulary finds the longest token, then the longest from its end, and so on, in one
+pass; mostly each may follow the one before, and they are the ids. Else the encoder
+takes the longest token, goes on to a shorter one (the longest token that begins it) if
+the token can't follow the one before, and backtracks where none can; a place that
+failed once is never tried again. Two tokens may follow each other if merging their
+joined bytes keeps the border between them, which is looked up by undoing the merges on
+both sides of the border and memoised by pair. The result is the one that merging by rank gives.
 
 A piece that is a token as a whole is that token. Tokens that merging can't reach take
 part in nothing else. Pieces are memoised by task; texts are split by the pattern.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from itertools import chain
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -86,8 +87,10 @@ class Codec:
         self.pairs: dict[tuple[int, int], bool] = {}
         self.automaton = ahocorasick.Automaton()
         for rank in self.parts:
-            self.automaton.add_word(self.token[rank].decode("latin-1"), (rank, len(self.token[rank]) - 1))
+            self.automaton.add_word(self.token[rank].decode("latin-1"), rank)
         self.automaton.make_automaton()
+        # How far before its last byte each token begins.
+        self.back = {rank: len(token) - 1 for rank, token in self.token.items()}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both tokens keeps the border between them."""
@@ -124,56 +127,90 @@ class Codec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        longest = [0] * len(piece)
-        token = self.token
-        # Matches come by their end, so the last one from a place is its longest.
-        for end, (rank, back) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - back] = rank
+        back, known = self.back, self.pairs
+        latin, matches = piece.decode("latin-1"), self.automaton.iter_long
+        # The longest token, then the longest from its end, and so on: where each may
+        # follow the one before, these are the ids.
+        greedy, before = [], -1
+        for _, rank in matches(latin):
+            if before >= 0:
+                fits = known.get((before, rank))
+                if not (self.compatible(before, rank) if fits is None else fits):
+                    break
+            greedy.append(rank)
+            before = rank
+        else:
+            return greedy
+        # The longest token from a place, looked for where the encoder comes to.
+        longest: list[int | None] = [None] * len(piece)
         out: list[int] = []
         closed = bytearray(len(piece) + 1)
-        at, following = 0, longest[0]
+        at, following = 0, greedy[0]
         while True:
             rank, before = following, out[-1] if out else -1
             while rank is not None:
-                end = at + len(token[rank])
-                if not closed[end] and (before < 0 or self.compatible(before, rank)):
-                    break
+                end = at + back[rank] + 1
+                if not closed[end]:
+                    fits = before < 0 or known.get((before, rank))
+                    if self.compatible(before, rank) if fits is None else fits:
+                        break
                 rank = self.shorter.get(rank)
             if rank is None:
                 # Nothing fits here: the token before was wrong.
                 closed[at] = 1
                 following = out.pop()
-                at -= len(token[following])
+                at -= back[following] + 1
                 continue
             out.append(rank)
             at = end
             if at == len(piece):
                 return out
             following = longest[at]
+            if following is None:
+                following = longest[at] = next(matches(latin, at))[1]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
 class TextCodec:
-    """Whole texts: the pieces of the pattern, each encoded separately and memoised."""
+    """Whole texts: the pieces of the pattern, each encoded separately and memoised as
+    its ids in decimal, joined by commas; ids are decoded by such runs, memoised too."""
 
     def __init__(self, codec: Codec, pattern: str):
         import regex
 
         self.codec, self.split = codec, regex.compile(pattern).findall
-        self.memo: dict[str, list[int]] = {}
+        # Texts and bytes only: the collector of cycles does not walk through them.
+        self.memo: dict[str, str] = {}
+        self.bytes: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.codec.encode_piece(piece.encode("utf-8"))
+    def _piece(self, piece: str) -> str:
+        run = ",".join(map(str, self.codec.encode_piece(piece.encode("utf-8"))))
         if len(self.memo) > MAX_MEMO:
             self.memo.clear()
-        self.memo[piece] = ids
-        return ids
+        self.memo[piece] = run
+        return run
 
-    def encode(self, text: str) -> list[int]:
+    def runs(self, text: str) -> list[str]:
+        """The ids of each piece of a text."""
         get, piece = self.memo.get, self._piece
-        return list(chain.from_iterable([get(p) or piece(p) for p in self.split(text)]))
+        return [get(p) or piece(p) for p in self.split(text)]
+
+    def encode(self, text: str) -> list[int]:
+        return [int(i) for run in self.runs(text) for i in run.split(",")]
+
+    def _run(self, run: str) -> bytes:
+        decoded = self.codec.decode(map(int, run.split(",")))
+        if len(self.bytes) > MAX_MEMO:
+            self.bytes.clear()
+        self.bytes[run] = decoded
+        return decoded
+
+    def decode_runs(self, runs: list[str]) -> bytes:
+        """The bytes that runs of ids stand for."""
+        get, decode = self.bytes.get, self._run
+        return b"".join([get(r) or decode(r) for r in runs])
 
     def decode(self, ids: list[int]) -> bytes:
         return self.codec.decode(ids)
@@ -182,16 +219,15 @@ class TextCodec:
 def _digests(tables: Tables, pattern: str):
     def make():
         codec = TextCodec(Codec(tables), pattern)
-        # Decimal form of each id, made once.
-        decimal = {rank: str(rank) for rank in codec.codec.token}
 
         def work(texts: list[str]):
             count, ids_sha, decoded_sha = [], [], []
             for text in texts:
-                ids = codec.encode(text)
-                count.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                runs = codec.runs(text)
+                ids = ",".join(runs)
+                count.append(ids.count(",") + 1 if ids else 0)
+                ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
+                decoded_sha.append(hashlib.sha256(codec.decode_runs(runs)).hexdigest())
             return np.array(count, dtype=np.int64), ids_sha, decoded_sha
 
         return work
@@ -212,7 +248,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
 
     def make():
         codec = TextCodec(Codec(tables), pattern)
-        return lambda texts: ([",".join(map(str, codec.encode(t))) for t in texts],)
+        return lambda texts: ([",".join(codec.runs(t)) for t in texts],)
 
     return mapped(docs, text_col, docs.columns, {"_ids": "string"}, make)
 

@@ -310,3 +310,39 @@ def test_embedding_short_vectors_against_brute_force(spark):
     want = (u @ u.T >= 0.93).sum(1) - 1
     got = np.array([r["n_links"] for r in embedding.near_duplicates(df).orderBy("vec_id").collect()])
     assert (got <= want).all() and got.sum() >= 0.99 * want.sum() > 300
+
+
+def test_bpe_looks_for_longest_tokens_only_where_it_needs_them():
+    """Ids are those of merging by rank, also where the longest tokens don't follow each
+    other, without a scan for all tokens of a piece; memoised values are flat."""
+    import random
+
+    from jobmart.llm import byte_bpe as B
+
+    def merged(ranks, piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while True:
+            found = [(ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in ranks]
+            if not found:
+                return [ranks[p] for p in parts]
+            _, i = min(found)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    ranks = {bytes([i]): i for i in range(256)}
+    for token in (b"ab", b"bc", b"abc", b"cd", b"bcd", b"aa", b"aab", b"dd", b"abcd"):
+        ranks[token] = len(ranks)
+    codec = B.Codec(B.Tables(ranks))
+
+    class NoScan:
+        iter_long = codec.automaton.iter_long
+
+    codec.automaton = NoScan()
+    draw = random.Random(3)
+    pieces = ["".join(draw.choices("abcd", k=draw.randint(1, 12))) for _ in range(2000)]
+    for piece in pieces:
+        if piece.encode() not in ranks:
+            assert codec.encode_piece(piece.encode()) == merged(ranks, piece.encode()), piece
+    texts = B.TextCodec(codec, "[a-d]+| ")
+    text = " ".join(pieces)
+    assert texts.decode_runs(texts.runs(text)) == text.encode() == texts.decode(texts.encode(text))
+    assert all(isinstance(run, str) for run in texts.memo.values())
