@@ -7,11 +7,14 @@ the word runs are counted over the texts; every shorter count follows from the f
 gram occurs as often as the edges that begin with it, plus the runs that end with it
 (one row for a run's end: its last words stand for all shorter ends).
 
-A phrase counts only from ``least`` occurrences on, and then so do all its words and
-word pairs. Two passes before count words (exactly) and word pairs (by hash); a bit
-table of a fixed size holds those that reach ``least``, and runs are broken where a word
-or pair is not in it. That never breaks an occurrence of a phrase that counts (a false
-bit costs rows, not results), and rare text makes no edges.
+A phrase counts only from ``least`` occurrences on, and then so do all its words, word
+pairs and triples. Two passes before count words (exactly), then pairs and triples of
+frequent words together (by hash, so that their rows follow the words of the input); a
+bit table of a fixed size holds those that reach ``least``. Runs are broken where a word
+or pair is not in it; at a triple that is not, one run ends with its second word and the
+next begins there, so that no pair is in both. That never breaks an occurrence of a
+phrase that counts (a false bit costs rows, not results), and rare text makes no edges,
+nor does a rare row of frequent pairs.
 
 A unary path is a gram whose occurrences all go on in one way, to the left or the right:
 its count equals that of an extension by one word. Compacting such paths keeps only
@@ -39,8 +42,12 @@ SIZE = 5
 LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
-# Bits of a table of frequent words or pairs: 8 MiB, sent to each task at any input size.
+# Bits of a table of frequent words or short grams: 8 MiB, sent to each task at any input size.
 TABLE_BITS = 1 << 26
+# Bits of the numbers by which short grams are counted.
+NUMBER_BITS = 36
+# Words of the longest gram that is counted by hash.
+SHORT = 3
 _BLOCK_BITS = 1 << 13
 STEP_BYTES = 1 << 20
 FLUSH = 1 << 20
@@ -166,10 +173,15 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _number(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """The number of each hash of a language."""
+    salt = Rolling(np.frombuffer(lang.encode(), dtype=np.uint8)).of(np.array([0]), np.array([len(lang.encode())]))
+    return (pair_hash(salt, hashes) >> np.uint64(64 - NUMBER_BITS)).astype(np.int64)
+
+
 def _bit(lang: str, hashes: np.ndarray) -> np.ndarray:
     """The bit of each hash of a language in a table."""
-    salt = Rolling(np.frombuffer(lang.encode(), dtype=np.uint8)).of(np.array([0]), np.array([len(lang.encode())]))
-    return (pair_hash(salt, hashes) % np.uint64(TABLE_BITS)).astype(np.int64)
+    return _number(lang, hashes) % TABLE_BITS
 
 
 def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,18 +230,31 @@ def _frequent_pairs(words: Words, lang: str, table: np.ndarray) -> tuple[np.ndar
     return second, pair_hash(words.hash[second - 1], words.hash[second])
 
 
-def _count_pairs(word_table):
+def _triples(words: Words, second: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words that end two pairs on end, among the pairs that end with the words
+    ``second``, and the triples' hashes."""
+    follows = np.flatnonzero(second[1:] == second[:-1] + 1)
+    third = second[follows + 1]
+    return third, pair_hash(pairs[follows], words.hash[third])
+
+
+def _count_short(word_table, size: int):
+    """Pairs and, where phrases are as long, triples of frequent words, by number."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
 
         def flush():
             if sums.rows:
-                bits, n, _ = sums.take()
-                yield pa.RecordBatch.from_arrays([pa.array(bits), pa.array(n)], names=["bit", "n"])
+                numbers, n, _ = sums.take()
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(n)], names=["number", "n"])
 
         for lang, data in _steps(batches):
-            _, pairs = _frequent_pairs(Words(data), lang, word_table.value)
-            sums.add(_bit(lang, pairs))
+            words = Words(data)
+            second, hashes = _frequent_pairs(words, lang, word_table.value)
+            if size >= SHORT:
+                hashes = np.concatenate([hashes, _triples(words, second, hashes)[1]])
+            sums.add(_number(lang, hashes))
             if _full([sums]):
                 yield from flush()
         yield from flush()
@@ -237,7 +262,7 @@ def _count_pairs(word_table):
     return run
 
 
-def _count_grams(word_table, pair_table, size: int):
+def _count_grams(word_table, short_table, size: int):
     """Edges (``size`` words) and the ends of runs: one row with the last 2 to size - 1
     words, as many as the run has."""
 
@@ -261,13 +286,20 @@ def _count_grams(word_table, pair_table, size: int):
         for lang, data in _steps(batches):
             words = Words(data)
             second, pairs = _frequent_pairs(words, lang, word_table.value)
-            second = second[_has(pair_table.value, _bit(lang, pairs))]
+            ok = _has(short_table.value, _bit(lang, pairs))
+            second, pairs = second[ok], pairs[ok]
             linked = np.zeros(len(words.hash) + 1, dtype=bool)
             linked[second] = True
-            # How many words of its run precede each word.
+            broken = np.zeros(len(words.hash) + 1, dtype=bool)
+            if size >= SHORT:
+                third, triples = _triples(words, second, pairs)
+                broken[third] = ~_has(short_table.value, _bit(lang, triples))
+            # How many words of its run precede each word; a run that begins at a broken
+            # triple begins with the word before.
             at = np.arange(len(words.hash))
-            depth = at - np.maximum.accumulate(np.where(linked[:-1], 0, at)) if len(at) else at
-            ends = ~linked[1:]
+            first = np.where(linked[:-1], np.where(broken[:-1], at - 1, 0), at)
+            depth = at - np.maximum.accumulate(first) if len(at) else at
+            ends = ~linked[1:] | broken[1:]
             own = sums.setdefault(lang, Sums())
             for count in range(2, size + 1):
                 if count < size - 1:
@@ -287,6 +319,24 @@ def _count_grams(word_table, pair_table, size: int):
     return run
 
 
+def edges(rows: DataFrame, frequent: DataFrame, size: int, least: int) -> DataFrame:
+    """Edges and ends of runs of ``rows`` (lang, text), (lang, words, gram, n), as tasks
+    pass them on: equal ones of several tasks are not yet put together."""
+    spark = rows.sparkSession
+    word_table = spark.sparkContext.broadcast(
+        bit_table(spark, frequent.select("lang", "word").mapInArrow(_word_bits, "bit long"))
+    )
+    # Tasks have put equal numbers together; dealt first, the rest are not summed (and held) on both sides.
+    short = rows.mapInArrow(_count_short(word_table, size), "number long, n long").repartition("number")
+    short = short.groupBy("number").agg(F.sum("n").alias("n"))
+    short_bits = short.where(F.col("n") >= least).select((F.col("number") % TABLE_BITS).alias("bit"))
+    short_table = spark.sparkContext.broadcast(bit_table(spark, short_bits))
+    # Nearly all grams left are frequent and come in every task: one task a core reads its
+    # splits one after the other, so that their rows follow the grams, not the splits.
+    long_tasks = rows.coalesce(spark.sparkContext.defaultParallelism)
+    return long_tasks.mapInArrow(_count_grams(word_table, short_table, size), "lang string, words int, gram string, n long")
+
+
 def flow_counts(grams: DataFrame, size: int = SIZE) -> DataFrame:
     """Occurrences of every gram of 2 to ``size`` words, (lang, words, gram, n), from the
     edges and run ends of ``grams``: a gram's count is the flow out of it and its ends."""
@@ -307,7 +357,6 @@ def flow_counts(grams: DataFrame, size: int = SIZE) -> DataFrame:
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = SIZE, least: int = LEAST) -> DataFrame:
     """Every kept candidate: lang, phrase, a, l, r, n, cut, score."""
-    spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text")
     )
@@ -316,16 +365,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", siz
         "words",
     )
     frequent = words.where(F.col("n") >= least)
-    word_table = spark.sparkContext.broadcast(
-        bit_table(spark, frequent.select("lang", "word").mapInArrow(_word_bits, "bit long"))
-    )
-    pairs = rows.mapInArrow(_count_pairs(word_table), "bit long, n long").groupBy("bit").agg(F.sum("n").alias("n"))
-    pair_table = spark.sparkContext.broadcast(bit_table(spark, pairs.where(F.col("n") >= least).select("bit")))
-    grams = (
-        rows.mapInArrow(_count_grams(word_table, pair_table, size), "lang string, words int, gram string, n long")
-        .groupBy("lang", "words", "gram")
-        .agg(F.sum("n").alias("n"))
-    )
+    grams = edges(rows, frequent, size, least).groupBy("lang", "words", "gram").agg(F.sum("n").alias("n"))
     counts = saved(flow_counts(saved(grams, "grams"), size).where(F.col("n") >= least), "gram-counts")
     # Unary paths: a gram as frequent as one of its extensions by a word.
     longer = counts.where("words > 2")

@@ -122,6 +122,27 @@ def test_phrases_equal_brute_force(spark):
     assert sorted({r["rank"] for r in top}) == [1, 2, 3]
 
 
+def test_rare_rows_of_frequent_pairs_make_no_edges(spark):
+    from collections import Counter
+
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(20)]
+    rows = [(" ".join(rng.choice(words) for _ in range(50)), "en") for _ in range(160)]
+    rows += [("w0 w1 w2 w3 w4 w5 w6", "en")] * 12 + [("w0 w1 w2, w3 w4", "de")] * 12
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    got = {tuple(r) for r in collocation.phrases(docs, least=10).select("lang", "phrase", "a", "l", "r", "n", "cut", "score").collect()}
+    assert got == _brute_phrases(rows, 5, 10)
+
+    counts = Counter((lang, *w[i : i + 3]) for text, lang in rows for w in [text.replace(",", " ,").split(" ")] for i in range(len(w) - 2))
+    frequent = spark.createDataFrame([(lang, w, 10) for lang in ("en", "de") for w in words], "lang string, word string, n long")
+    made = collocation.edges(docs.select("lang", "text"), frequent, 5, 10).collect()
+    assert made
+    for row in made:
+        gram = row["gram"].split(" ")
+        assert len(gram) == row["words"]
+        assert all(counts[row["lang"], *gram[i : i + 3]] >= 10 for i in range(len(gram) - 2)), row
+
+
 def _brute_negatives(rows):
     usable = {}
     for i, label, v in rows:
