@@ -23,9 +23,11 @@ def dealt(rows: DataFrame, bucket: str, row_id: str, block: int = BLOCK) -> Data
     """``rows`` of buckets with two rows or more, with _piece (64 bits, one per pair of
     blocks) and _side (0 or 1; pieces of one block have side 0 only).
 
-    Bucket sizes are an aggregate; rows of a small bucket (nearly all) are sent once."""
+    Bucket sizes are an aggregate; rows of a small bucket (nearly all) are sent once. Their
+    join is never a broadcast: ``rows`` may come from an explode, whose number of rows Spark
+    does not estimate, and adaptive execution does not take a planned broadcast back."""
     sizes = rows.groupBy(bucket).agg(F.count("*").alias("_size")).where("_size > 1")
-    rows = rows.join(sizes, bucket)
+    rows = rows.join(sizes.hint("merge"), bucket)
     blocks = F.ceil(F.col("_size") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64(row_id, F.lit("block")), blocks).cast("int")
     rows = rows.withColumn("_blocks", blocks).withColumn("_own", own)
