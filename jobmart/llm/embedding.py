@@ -281,22 +281,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     pieces = buckets.dealt(_entries(coded, index), "bucket", "cls")
     schema = "_piece long, _side int, bucket long, key long, tbl int, cls long, code long"
     needed = saved(buckets.sorted_pieces(pieces).mapInPandas(_needed(index), schema), "met")
-    full = needed.join(classes.select("cls", "members", "vector"), "cls")
+    full = needed.join(classes.select("cls", "members", "vector").hint("merge"), "cls")
     linked = saved(
         buckets.sorted_pieces(full).mapInPandas(_linked(cosine, index), "cls long, other long, links long"), "linked"
     )
     sums = linked.where("other is null").groupBy("cls").agg(F.sum("links").alias("links"))
-    name = classes.select("cls", F.struct("first", "cls").alias("v"))
+    name = classes.select("cls", F.struct("first", "cls").alias("v")).hint("merge")
     edges = (
         linked.where("other is not null").select("cls", "other").join(name.select("cls", F.col("v").alias("u")), "cls")
         .join(name.select(F.col("cls").alias("other"), "v"), "other").select("u", "v")
     )
     group = components(edges).select(F.col("vertex.cls").alias("cls"), F.col("component.first").alias("component"))
-    info = classes.select("cls", "first", "members").join(sums, "cls", "left").join(group, "cls", "left")
+    info = classes.select("cls", "first", "members")
+    info = info.join(sums.hint("merge"), "cls", "left").join(group.hint("merge"), "cls", "left")
     same = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
     rows, _ = vector_classes(vectors)
     rows = rows.select("vec_id", F.when(F.col("valid"), F.xxhash64("label", same)).alias("cls"))
-    out = rows.join(info, "cls", "left").select(
+    out = rows.join(info.hint("merge"), "cls", "left").select(
         "vec_id",
         (F.coalesce("members", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "first", "vec_id").alias("component_id"),
